@@ -94,7 +94,11 @@ def build_index_fact(
     src = best.select(*[F.col(f.name).cast(f.dataType) for f in FACT_SCHEMA.fields], *tie_break)
     # 7. upsert into the current version
     tgt = target if target is not None else spark.createDataFrame([], FACT_SCHEMA)
-    tgt = tgt.select(*[F.col(f.name).cast(f.dataType) for f in FACT_SCHEMA.fields], *[F.lit(None).cast("long").alias(c) for c in tie_break])
+    tb_types = {c: src.schema[c].dataType for c in tie_break}
+    tgt = tgt.select(
+        *[F.col(f.name).cast(f.dataType) for f in FACT_SCHEMA.fields],
+        *[(F.col(c) if c in tgt.columns else F.lit(None)).cast(tb_types[c]).alias(c) for c in tie_break],
+    )
     fact = FA.upsert(tgt, src, NATURAL_KEY, UPDATE_COLS)
     if resolved is not None and compat:
         fact = FA.apply_overrides(fact, resolved).drop("__overridden")
