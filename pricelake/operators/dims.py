@@ -27,17 +27,21 @@ def assign_ids(
     """Ids ``start+1 .. start+n`` in sorted key order (ascending, NULLs first). Keys must be unique.
 
     A side of at most ``small_rows`` rows (checked) is numbered by one ``row_number()`` window. A larger side is
-    never moved to one task: rows are range-partitioned and sorted by key and written to the shared checkpoint
-    folder (so both uses below see the same partitions, also after an executor loss); each partition's row
-    count (one row per partition) gives its offset; the id is offset + position inside the partition.
+    never moved to one task: it is written once to the shared checkpoint folder (so the range partitioner's
+    sampling pass does not recompute it), range-partitioned and sorted by key and written again (so both uses
+    below see the same partitions, also after an executor loss); each partition's row count (one row per
+    partition) gives its offset; the id is offset + position inside the partition. ``small_rows=0`` skips the
+    check for inputs known to be large.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    if bounded_rows(df, small_rows):
+    if small_rows > 0 and bounded_rows(df, small_rows):
         w = Window.orderBy(*[F.col(k).asc_nulls_first() for k in keys])
         return df.withColumn(id_col, (F.lit(start) + F.row_number().over(w)).cast("long"))
     spark = df.sparkSession
     n_parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ordered = df.repartitionByRange(n_parts, *keys).sortWithinPartitions(*keys)
+    # the input is computed once: the range partitioner's sampling pass and the sort both read the checkpoint
+    base = cut_lineage(df)
+    ordered = base.repartitionByRange(n_parts, *keys).sortWithinPartitions(*keys)
     ordered = ordered.withColumn("__pid", F.spark_partition_id()).withColumn("__mid", F.monotonically_increasing_id())
     ordered = ordered.withColumn("__pos", F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), 33))
     ordered = cut_lineage(ordered)

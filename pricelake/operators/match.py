@@ -1,12 +1,9 @@
 """Matching free-text places to a dimension.
 
-The substring join (J4) matches **distinct** text values only, then joins the result back on an equi-key, so the
-theta join never sees the fact table. Two physical forms, chosen by a size check of the dimension:
-
-* small dimension: broadcast it and run the ``contains`` predicate as a broadcast nested-loop join against the
-  distinct values;
-* large dimension: an exact equi-join rewrite. Each dimension name is exploded into its substrings of exactly the
-  lengths that occur among the distinct values; ``contains(name, v)`` holds iff ``v`` equals one of them.
+The substring join (J4) is an exact equi-join rewrite: ``contains(name, v)`` holds iff ``v`` equals one of the
+substrings of ``name``. Substrings are generated from the distinct dimension names only, so the fact table is
+scanned once and joined on an equi-key; no theta join touches the facts. A broadcast nested-loop form is kept
+for small inputs.
 """
 
 from __future__ import annotations
@@ -50,6 +47,33 @@ def _match_key(c: Column, fold: bool) -> Column:
     return c
 
 
+def substring_table(dim: DataFrame, name_col: str, fold: bool = False) -> DataFrame:
+    """Every substring ``__v`` of every distinct dimension key ``__name`` (a key of length L gives at most
+    L(L+1)/2 rows; repeated keys and repeated substrings collapse in the final DISTINCT, which aggregates
+    partially before its shuffle). Its size depends on the dimension only, never on the facts."""
+    keys = (
+        dim.select(_match_key(F.col(name_col), fold).alias("__name"))
+        .where(F.col("__name").isNotNull() & (F.length("__name") > 0))
+        .withColumn("__nlen", F.length("__name"))
+    )
+    with_len = keys.withColumn("__len", F.explode(F.sequence(F.lit(1), F.col("__nlen"))))
+    return (
+        with_len.withColumn("__start", F.explode(F.sequence(F.lit(1), F.col("__nlen") - F.col("__len") + 1)))
+        .select(F.col("__name").substr(F.col("__start"), F.col("__len")).alias("__v"), "__name")
+        .distinct()
+    )
+
+
+def candidate_table(dim: DataFrame, name_col: str, take: Sequence[str], fold: bool = False, count_col: str = "n_candidates") -> DataFrame:
+    """(``__v``, ``take``..., ``n_candidates``): for every text that is contained in at least one dimension name,
+    the dimension rows containing it and how many there are. Built from the dimension alone."""
+    from pyspark.sql import Window
+
+    d = dim.select(_match_key(F.col(name_col), fold).alias("__name"), *take)
+    cand = substring_table(dim, name_col, fold).join(d, "__name", "inner").drop("__name")
+    return cand.withColumn(count_col, F.count(F.lit(1)).over(Window.partitionBy("__v")))
+
+
 def substring_matches(
     values: DataFrame,
     value_col: str,
@@ -57,27 +81,20 @@ def substring_matches(
     name_col: str,
     take: Sequence[str],
     fold: bool = False,
-    broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+    strategy: str = "substrings",
 ) -> DataFrame:
     """Pairs (value, dimension row) where the dimension name contains the value (case-insensitive; accent-folded
-    when ``fold``). ``values`` must be distinct values; the result has ``value_col`` + ``take`` columns."""
+    when ``fold``); the result has ``value_col`` + ``take`` columns.
+
+    ``strategy="substrings"`` (default): equi-join of the values to :func:`substring_table` (exact, no theta
+    join). ``strategy="nested_loop"``: broadcast nested-loop join with ``instr`` (dimension checked small)."""
     v = values.select(F.col(value_col), _match_key(F.col(value_col), fold).alias("__v")).where(F.length("__v") > 0)
-    d = dim.select(_match_key(F.col(name_col), fold).alias("__name"), *take)
-    if bounded_rows(d, broadcast_max_rows):
-        pairs = v.join(F.broadcast(d), F.instr(F.col("__name"), F.col("__v")) > 0, "inner")
-        return pairs.select(value_col, *take)
-    # exact equi-join rewrite for a large dimension
-    lengths = v.select(F.length("__v").alias("__len")).distinct()
-    lengths = F.broadcast(lengths) if bounded_rows(lengths, 100_000) else lengths
-    d = d.withColumn("__nlen", F.length("__name"))
-    subs = (
-        d.join(lengths, F.col("__len") <= F.col("__nlen"), "inner")
-        .withColumn("__start", F.explode(F.sequence(F.lit(1), F.col("__nlen") - F.col("__len") + 1)))
-        .withColumn("__v", F.substring(F.col("__name"), F.col("__start"), F.col("__len")))
-        .select("__v", F.col("__name"), *take)
-        .dropDuplicates(["__v", "__name", *take])
-    )
-    return v.join(subs, "__v", "inner").select(value_col, *take)
+    if strategy == "nested_loop":
+        d = dim.select(_match_key(F.col(name_col), fold).alias("__name"), *take)
+        d = F.broadcast(d) if bounded_rows(d, BROADCAST_MAX_ROWS) else d
+        return v.join(d, F.instr(F.col("__name"), F.col("__v")) > 0, "inner").select(value_col, *take)
+    cand = candidate_table(dim, name_col, take, fold)
+    return v.join(cand, "__v", "inner").select(value_col, *take)
 
 
 def contains_join(
@@ -88,17 +105,27 @@ def contains_join(
     take: Sequence[str],
     fold: bool = False,
     count_col: str = "n_candidates",
+    fan_out: bool = True,
 ) -> DataFrame:
     """LEFT substring join of facts to a dimension; fan-out kept (one row per hit, Q24); literal matching
-    (Q23). ``n_candidates`` counts the hits of the row's value (0 when unmatched).
-
-    Plan: distinct values (partial aggregation) -> substring match -> per-value candidate count -> equi-join back.
+    (Q23). ``n_candidates`` counts the hits of the row's value (0 when unmatched). ``fan_out=False`` keeps one
+    row per fact with its ``n_candidates`` only (no dimension columns).
+
+    Plan: the candidate table (every substring of every distinct dimension name, with its dimension rows and
+    hit count) is built from the dimension alone; the facts are scanned once and equi-joined to it on the
+    normalised city key. No size guess is made here: adaptive execution measures the materialised candidate
+    table and turns the join into a broadcast hash join when it is small (then a city holding a third of all
+    rows causes no skewed shuffle); otherwise it stays a shuffle join whose skewed partitions AQE splits.
     """
-    values = facts.select(city_col).where(F.col(city_col).isNotNull()).distinct()
-    pairs = substring_matches(values, city_col, dim, name_col, take, fold)
-    counts = pairs.groupBy(city_col).agg(F.count(F.lit(1)).alias(count_col))
-    matched = pairs.join(counts, city_col, "inner")
-    out = facts.join(matched, city_col, "left")
+    if fan_out:
+        cand = candidate_table(dim, name_col, take, fold, count_col)
+    else:
+        d = dim.select(_match_key(F.col(name_col), fold).alias("__name"))
+        cand = (
+            substring_table(dim, name_col, fold).join(d, "__name", "inner")
+            .groupBy("__v").agg(F.count(F.lit(1)).alias(count_col))
+        )
+    out = facts.withColumn("__v", _match_key(F.col(city_col), fold)).join(cand, "__v", "left").drop("__v")
     return out.withColumn(count_col, F.coalesce(F.col(count_col), F.lit(0)))
 
 

@@ -48,8 +48,8 @@ def resolve_key(m: Column | str, aliases: Sequence[str], fold: bool = False, exc
 def resolve_field(m: Column | str, aliases: Sequence[str], fold: bool = False, exclude: Column | None = None) -> Column:
     """Value of the first matching key, stripped; a hit returns its value even if empty; no hit gives ''."""
     key = resolve_key(m, aliases, fold, exclude)
-    value = F.try_element_at(_col(m), key)
-    return F.when(key.isNull(), F.lit("")).otherwise(F.coalesce(py_strip(value), F.lit("")))
+    # no hit -> NULL key -> NULL value -> ''; a hit with a NULL value also gives ''
+    return F.coalesce(py_strip(F.try_element_at(_col(m), key)), F.lit(""))
 
 
 def resolve_fields(
@@ -63,7 +63,7 @@ def resolve_fields(
     out, claimed = [], None
     for field, aliases in alias_map.items():
         key = resolve_key(m, aliases, fold, claimed if exclusive else None)
-        value = F.when(key.isNull(), F.lit("")).otherwise(F.coalesce(py_strip(F.try_element_at(_col(m), key)), F.lit("")))
+        value = F.coalesce(py_strip(F.try_element_at(_col(m), key)), F.lit(""))
         out.append(value.alias(field))
         if exclusive:
             k = F.when(key.isNotNull(), F.array(key)).otherwise(F.array().cast("array<string>"))

@@ -107,7 +107,9 @@ def build_index_fact(
 
 def with_fact_ids(fact: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
     """D1 on the fact: ``id_indice`` 1..n in natural-key order (NULLs first), ties by ``tie_break``."""
-    return D.assign_ids(fact, [*NATURAL_KEY, *tie_break], "id_indice")
+    # a fact is large by nature: skip the small-side check (it would run the whole plan once more) and number
+    # it through the checkpointed range-partition path
+    return D.assign_ids(fact, [*NATURAL_KEY, *tie_break], "id_indice", small_rows=0)
 
 
 # ------------------------------------------------------------------------------------------------ on the driver tables

@@ -58,10 +58,9 @@ def stage_prices(raw: DataFrame, exclusive: bool = False, fold: bool = False) ->
 
     Fields by tolerant lookup (P1) over the price aliases; the year is mandatory (P3); the level, region and city
     come from the path (P4-P6); price and index parse decimal commas (F5); text fields turn blank into NULL."""
-    m = S.row_map("row_json")
-    rows = raw.where(F.col("dataset") == K.DATASET_PRICES).select(
-        "run_id", "rel_path", "row_index", *resolve_fields(m, K.PRICE_ALIASES, fold=fold, exclusive=exclusive)
-    )
+    # parse each row object once (own projection), then resolve every field against the parsed map
+    parsed = raw.where(F.col("dataset") == K.DATASET_PRICES).select("run_id", "rel_path", "row_index", S.row_map("row_json").alias("__m"))
+    rows = parsed.select("run_id", "rel_path", "row_index", *resolve_fields("__m", K.PRICE_ALIASES, fold=fold, exclusive=exclusive))
     rows = rows.withColumn("annee_int", strict_int("annee"))
     lv = P.classify_level("rel_path", "region")
     staged = rows.where(F.col("annee_int").isNotNull()).select(

@@ -223,8 +223,7 @@ def folded_contains_join(spark, sf):
     t = Tables(spark, sf)
     toks = t.documents.select("doc_id", F.explode(_tok_split(F.col("text"))).alias("tok")).distinct()
     dim = t.part.select("p_name", "p_partkey")
-    matched = M.contains_join(toks, "tok", dim, "p_name", ["p_partkey"], fold=True)
-    per_tok = matched.groupBy("doc_id", "tok").agg(F.count("p_partkey").alias("n_parts"))
+    per_tok = M.contains_join(toks, "tok", dim, "p_name", [], fold=True, count_col="n_parts", fan_out=False)
     return per_tok.groupBy("doc_id").agg(
         F.count(F.lit(1)).cast("long").alias("n_tokens"),
         F.count_if(F.col("n_parts") > 0).cast("long").alias("n_matched_tokens"),
@@ -372,9 +371,8 @@ FROM p
 )
 def reject_rows(spark, sf):
     """P3/Q-9: mandatory integer parse; rejected rows counted (the same counts are exposed as an Observation)."""
-    e = Tables(spark, sf).events
-    m = F.from_json("props", "map<string,string>")
-    k = RS.resolve_field(m, ["k"])
+    e = Tables(spark, sf).events.withColumn("m", F.from_json("props", "map<string,string>"))
+    k = RS.resolve_field("m", ["k"])
     s = (
         F.when(F.col("event_type") == "error", F.concat(k, F.lit(".0")))
         .when(F.col("event_type") == "view", F.concat(F.lit(" "), k, F.lit(" ")))
@@ -423,13 +421,16 @@ FROM events
 def resolve_field(spark, sf):
     """Tolerant lookup: ' K ' matches key 'k' exactly after lower+strip; 'type' matches 'Event_Type' by
     containment; an unknown alias gives ''."""
-    e = Tables(spark, sf).events
-    m = F.map_concat(F.from_json("props", "map<string,string>"), F.create_map(F.lit("Event_Type"), F.col("event_type")))
+    e = Tables(spark, sf).events.select(
+        "event_id",
+        F.map_concat(F.from_json("props", "map<string,string>"), F.create_map(F.lit("Event_Type"), F.col("event_type"))).alias("m"),
+    )
+    # the map is parsed once per row (its own projection); the lookups reuse it
     return e.select(
         "event_id",
-        RS.resolve_field(m, [" K "]).alias("k_value"),
-        RS.resolve_field(m, ["typ", "type"]).alias("type_value"),
-        RS.resolve_field(m, ["année", "annee"]).alias("missing_value"),
+        RS.resolve_field("m", [" K "]).alias("k_value"),
+        RS.resolve_field("m", ["typ", "type"]).alias("type_value"),
+        RS.resolve_field("m", ["année", "annee"]).alias("missing_value"),
     )
 
 
