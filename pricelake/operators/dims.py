@@ -25,33 +25,52 @@ def assign_ids(
     df: DataFrame, key: Sequence[str] | str, id_col: str = "id", start: int = 0, small_rows: int = SMALL_DIM_ROWS
 ) -> DataFrame:
     """Ids ``start+1 .. start+n`` in sorted key order (ascending, NULLs first). Keys must be unique.
+    See :func:`number_rows` for the plan."""
+    keys = [key] if isinstance(key, str) else list(key)
+    return number_rows(df, keys, (), id_col, start, small_rows)
+
 
-    A side of at most ``small_rows`` rows (checked) is numbered by one ``row_number()`` window. A larger side is
-    never moved to one task: it is written once to the shared checkpoint folder (so the range partitioner's
-    sampling pass does not recompute it), range-partitioned and sorted by key and written again (so both uses
-    below see the same partitions, also after an executor loss); each partition's row count (one row per
-    partition) gives its offset; the id is offset + position inside the partition. ``small_rows=0`` skips the
-    check for inputs known to be large.
+def number_rows(
+    df: DataFrame,
+    order: Sequence[str],
+    group: Sequence[str] = (),
+    out: str = "row_index",
+    start: int = 0,
+    small_rows: int = SMALL_DIM_ROWS,
+) -> DataFrame:
+    """``start+1, start+2, ..`` within each ``group`` in ``order`` (ascending, NULLs first); ``group + order``
+    must be unique. One group may hold any share of the rows: it is never moved into one task.
+
+    An input of at most ``small_rows`` rows (checked) is numbered by one ``row_number()`` window. A larger input is
+    written once to the shared checkpoint folder (the range partitioner's sampling pass then reads the checkpoint
+    instead of recomputing the input), range-partitioned and sorted by ``group + order`` and written again (so the
+    two uses below see the same partitions, also after an executor loss). Per (partition, group) one row holds the
+    count and the first position; a running sum over the partitions of each group gives the offset; the number is
+    offset + position - first position. A hot group spanning many partitions is numbered by all of them in
+    parallel. ``small_rows=0`` skips the check for inputs known to be large.
     """
-    keys = [key] if isinstance(key, str) else list(key)
+    order, group = list(order), list(group)
     if small_rows > 0 and bounded_rows(df, small_rows):
-        w = Window.orderBy(*[F.col(k).asc_nulls_first() for k in keys])
-        return df.withColumn(id_col, (F.lit(start) + F.row_number().over(w)).cast("long"))
+        w = Window.partitionBy(*group).orderBy(*[F.col(k).asc_nulls_first() for k in order])
+        return df.withColumn(out, (F.lit(start) + F.row_number().over(w)).cast("long"))
+    keys = group + order
     spark = df.sparkSession
     n_parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    # the input is computed once: the range partitioner's sampling pass and the sort both read the checkpoint
     base = cut_lineage(df)
     ordered = base.repartitionByRange(n_parts, *keys).sortWithinPartitions(*keys)
     ordered = ordered.withColumn("__pid", F.spark_partition_id()).withColumn("__mid", F.monotonically_increasing_id())
     ordered = ordered.withColumn("__pos", F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), 33))
     ordered = cut_lineage(ordered)
-    counts = ordered.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__pid", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
-    # one row per partition: bounded by the partition count, safe to broadcast
-    out = ordered.join(F.broadcast(offsets), "__pid")
-    out = out.withColumn(id_col, (F.lit(start) + F.col("__off") + F.col("__pos") + F.lit(1)).cast("long"))
-    return out.drop("__pid", "__mid", "__pos", "__off")
+    stats = ordered.groupBy("__pid", *group).agg(F.count(F.lit(1)).alias("__n"), F.min("__pos").alias("__first"))
+    w = Window.partitionBy(*group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    stats = stats.withColumn("__off", F.coalesce(F.sum("__n").over(w), F.lit(0))).drop("__n")
+    # null-safe join on the group keys (a NULL group is a group)
+    cond = F.col("o.__pid") == F.col("s.__pid")
+    for g in group:
+        cond = cond & F.col(f"o.`{g}`").eqNullSafe(F.col(f"s.`{g}`"))
+    j = ordered.alias("o").join(stats.alias("s"), cond)
+    num = (F.lit(start) + F.col("s.__off") + F.col("o.__pos") - F.col("s.__first") + F.lit(1)).cast("long")
+    return j.select(*[F.col(f"o.`{c}`") for c in df.columns], num.alias(out))
 
 
 def max_id(dim: DataFrame, id_col: str = "id") -> int:

@@ -63,9 +63,10 @@ def stage_all_weights(city: DataFrame | None, region: DataFrame | None) -> DataF
 
 
 def shares(df: DataFrame, group: Sequence[str], value: str, out: str = "poids") -> DataFrame:
-    """Weight of each row as its share of the group total (window sum per group, one shuffle on the group)."""
-    w = Window.partitionBy(*group)
-    return df.withColumn(out, F.col(value) / F.sum(value).over(w))
+    """Weight of each row as its share of the group total. The totals are an aggregate (partial sums before the
+    shuffle) joined back on the group, so a hot group is never gathered into one task."""
+    totals = df.groupBy(*group).agg(F.sum(value).alias("__total"))
+    return df.join(totals, list(group), "left").withColumn(out, F.col(value) / F.col("__total")).drop("__total")
 
 
 def weight_fact(

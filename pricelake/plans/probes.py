@@ -401,14 +401,12 @@ FROM events
 def row_json(spark, sf):
     """Each event becomes a flat row object (all values text) with a 1-based index per user in time
     order."""
-    from pyspark.sql import Window
-
     e = Tables(spark, sf).events
     m = F.map_concat(F.from_json("props", "map<string,string>"), F.create_map(F.lit("event_type"), F.col("event_type")))
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return e.select(
-        "event_id", "user_id", F.row_number().over(w).cast("int").alias("row_index"), F.to_json(m).alias("row_json")
-    )
+    rows = e.select("event_id", "user_id", "ts", F.to_json(m).alias("row_json"))
+    # per-user numbering that never puts one user's rows into one task (a user may hold a third of the events)
+    numbered = D.number_rows(rows, ["ts", "event_id"], ["user_id"], "row_index", small_rows=0)
+    return numbered.select("event_id", "user_id", F.col("row_index").cast("int").alias("row_index"), "row_json")
 
 
 @probe(

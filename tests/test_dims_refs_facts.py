@@ -132,3 +132,19 @@ def test_overrides_by_name(spark):
 def test_poly_ref(spark):
     df = spark.createDataFrame([("T1", 1, 2), ("T3", 1, 2), ("X", 1, 2)], "t string, v long, p long")
     assert [r[0] for r in df.select(FA.poly_ref("t", {"T1": "v", "T3": "p"})).collect()] == [1, 2, None]
+
+
+def test_number_rows_hot_group(spark):
+    from pyspark.sql import Window
+
+    # group 0 holds half of the rows; NULL is a group of its own
+    df = spark.range(4000).select(
+        F.when(F.col("id") % 2 == 0, F.lit(0)).when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.col("id") % 5).alias("g"),
+        (F.lit(10_000) - F.col("id")).alias("o"),
+    )
+    got = D.number_rows(df, ["o"], ["g"], "rn", small_rows=0)
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("o")).cast("long"))
+    def key(r):
+        return (r["g"] is None, r["g"] or 0, r["o"], r["rn"])
+
+    assert sorted(got.collect(), key=key) == sorted(want.collect(), key=key)
