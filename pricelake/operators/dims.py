@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelake.functions.text import _col, is_blank, upper_trim
-from pricelake.session import bounded_rows, broadcast_if_small, cut_lineage
+from pricelake.session import bounded_rows, cut_lineage
 
 
 def distinct_keys(df: DataFrame, col: Column | str, out: str = "name") -> DataFrame:
@@ -110,14 +110,16 @@ def lookup(
     how: str = "left",
     normalise: bool = True,
 ) -> DataFrame:
-    """Left (or inner) equi-join on a normalised text key; the dimension is broadcast only after a size check.
+    """Left (or inner) equi-join on a normalised text key.
 
-    The key is materialised once as a column, so the hash join sees a plain attribute.
+    The key is materialised once as a column, so the hash join sees a plain attribute. No broadcast hint: the
+    planner broadcasts a dimension whose scanned size is under the broadcast threshold, and AQE re-plans on the
+    measured size of a derived one; a large dimension stays a shuffle join.
     """
     k = upper_trim(fact_col) if normalise else _col(fact_col)
     left = facts.withColumn("__k", k)
     right = dim.select(F.col(dim_key).alias("__k"), *take).dropDuplicates(["__k"])
-    return left.join(broadcast_if_small(right), "__k", how).drop("__k")
+    return left.join(right, "__k", how).drop("__k")
 
 
 def with_parent_fallback(df: DataFrame, parent_col: str, parents: DataFrame, parent_id: str) -> DataFrame:

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from pricelake import constants as K
 from pricelake.functions.text import _col, upper_trim
-from pricelake.session import bounded_rows
 
 
 def poly_ref(type_col: Column | str, by_type: Mapping[str, Column | str]) -> Column:
@@ -79,7 +78,6 @@ def resolve_overrides(
 ) -> DataFrame:
     """J7 (first half): overrides carry a province **name** (Q30); resolve it to the province id and its region id."""
     p = provinces.select(upper_trim(prov_name).alias("__pname"), F.col(prov_id), F.col(region_id))
-    p = F.broadcast(p) if bounded_rows(p) else p
     o = overrides.withColumn("__pname", upper_trim(name_col))
     return o.join(p, "__pname", "left").drop("__pname")
 
@@ -97,7 +95,6 @@ def apply_overrides(
     m = resolved.where(F.col(prov_id).isNotNull()).select(
         F.col(key), F.col(prov_id).alias("__op"), F.col(region_id).alias("__or")
     ).dropDuplicates([key])
-    m = F.broadcast(m) if bounded_rows(m) else m
     j = facts.join(m, key, "left")
     j = j.withColumn("__overridden", F.col(region_id).isNull() & F.col("__op").isNotNull())
     hit = F.col("__overridden")

@@ -29,12 +29,12 @@ def exclude_values(
     """Keep rows whose value is not NULL, not in ``literals`` and not an exclusion row without a target.
 
     ``NOT IN (subquery)`` is null-aware; the exclusion keys are a primary key (never NULL), so a left anti join is
-    the same relation. The exclusion table is small by construction and broadcast after a size check.
+    the same relation. The exclusion table is small by construction; the planner broadcasts it on its measured
+    size (AQE), so no hint is forced.
     """
     out = df.where(F.col(col).isNotNull() & ~F.col(col).isin(list(literals)))
     if exclusions is not None:
         drop = exclusions.where(F.col(map_target).isNull() & F.col(map_key).isNotNull()).select(F.col(map_key).alias(col))
-        drop = F.broadcast(drop) if bounded_rows(drop) else drop
         out = out.join(drop, col, "left_anti")
     return out
 

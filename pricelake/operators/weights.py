@@ -30,13 +30,16 @@ def unpivot_years(
 def stage_weights(df: DataFrame, place: str, aliases: Mapping[str, Sequence[str]], level: str) -> DataFrame:
     """R2: staging rows (niveau, lieu, variete, annee, poids) from a header-named weight table (all strings).
 
-    Columns are found with the tolerant column finder over the header names (metadata only); values are parsed
-    with the decimal-comma and strict-integer rules."""
-    cols = df.columns
+    Columns are found with the tolerant column finder over the normalised header names (metadata only); values
+    are parsed with the decimal-comma and strict-integer rules."""
+    from pricelake.functions.text import normalize_header_py
+
+    by_norm = {normalize_header_py(c): c for c in reversed(df.columns)}
+    norm_cols = [normalize_header_py(c) for c in df.columns]
 
     def pick(field):
-        c = first_col(cols, *aliases[field])
-        return F.col(f"`{c}`") if c else F.lit(None).cast("string")
+        c = first_col(norm_cols, *aliases[field])
+        return F.col(f"`{by_norm[c]}`") if c else F.lit(None).cast("string")
 
     return df.select(
         F.lit(level).alias("niveau"),
@@ -47,6 +50,28 @@ def stage_weights(df: DataFrame, place: str, aliases: Mapping[str, Sequence[str]
     )
 
 
+def stage_weight_table(df: DataFrame) -> DataFrame:
+    """R1 + R2 for one verbatim weight table: a wide table (year-named columns) is unpivoted first; the level
+    follows the place column found (city, else region)."""
+    from pricelake.functions.text import normalize_header_py
+
+    ycols = year_columns(df.columns)
+    if ycols:
+        ids = [c for c in df.columns if c not in ycols]
+        df = _unpivot_text(df, ids, ycols)
+    norm = [normalize_header_py(c) for c in df.columns]
+    if first_col(norm, *K.CITY_WEIGHT_ALIASES["ville"]):
+        return stage_weights(df, "ville", K.CITY_WEIGHT_ALIASES, K.LEVEL_CITY)
+    return stage_weights(df, "region", K.REGION_WEIGHT_ALIASES, K.LEVEL_REGION)
+
+
+def _unpivot_text(df: DataFrame, ids: Sequence[str], ycols: Sequence[str]) -> DataFrame:
+    """Year columns (text cells) -> (annee, poids) rows, keeping the cell text for the decimal parser."""
+    t = df.select(*[F.col(f"`{c}`") for c in ids], *[F.col(f"`{c}`").cast("string").alias(c.strip()) for c in ycols])
+    long = t.unpivot(list(ids), [c.strip() for c in ycols], "annee", "poids")
+    return long.where(F.col("poids").isNotNull() & (F.trim("poids") != ""))
+
+
 def stage_all_weights(city: DataFrame | None, region: DataFrame | None) -> DataFrame | None:
     """R2: city and region weights as one staging table with a ``niveau`` column."""
     parts = []
@@ -69,20 +94,48 @@ def shares(df: DataFrame, group: Sequence[str], value: str, out: str = "poids")
     return df.join(totals, list(group), "left").withColumn(out, F.col(value) / F.col("__total")).drop("__total")
 
 
+WEIGHT_KEY = ["annee", "niveau", "id_reference", "id_province_prefecture", "id_commune", "id_region"]
+
+
 def weight_fact(
     staged: DataFrame,
     varieties: DataFrame,
-    places: Mapping[str, tuple[DataFrame, str, str]],
+    provinces: DataFrame,
+    regions: DataFrame,
+    target: DataFrame | None = None,
+    fold: bool = False,
 ) -> DataFrame:
-    """Resolve variety and place ids per level, keep the natural key (annee, niveau, id_reference, place ids).
+    """The weight fact (annee, poids, niveau, id_reference, id_province_prefecture, id_commune, id_region).
 
-    ``places`` maps a level to (dimension, name column, id column), e.g. ``{'VILLE': (provinces, 'nom', 'id')}``.
-    Rows whose name is not found keep a NULL id (reported by the FK checks)."""
+    ``staged`` comes from :func:`stage_all_weights`. The variety is looked up by exact normalised name (J6); a
+    city is matched to provinces by substring (J4, or J5 with ``fold``) and takes the province's region; a region
+    row is looked up by region name. One row per natural key (W1: greatest weight, then place name), upserted
+    null-safely into ``target`` (U1). ``provinces``: nom, id, id_parent; ``regions``: nom, id; ``varieties``:
+    name, id."""
     from pricelake.operators.dims import lookup
-
-    f = lookup(staged, "variete", varieties, "name", ["id"]).withColumnRenamed("id", "id_reference")
-    for level, (dim, name_col, id_col) in places.items():
-        d = dim.select(upper_trim(name_col).alias("__pk"), F.col(id_col).alias(f"__id_{level}"))
-        f = lookup(f.withColumn("__lvl_key", F.when(F.col("niveau") == level, F.col("lieu"))), "__lvl_key", d, "__pk", [f"__id_{level}"])
-        f = f.drop("__lvl_key")
-    return f
+    from pricelake.operators.facts import desc_nulls_as, top1, upsert
+    from pricelake.operators.match import contains_join
+
+    f = lookup(staged, "variete", varieties.select("name", "id"), "name", ["id"]).withColumnRenamed("id", "id_reference")
+    f = f.withColumn("lieu_key", upper_trim("lieu"))
+    city = contains_join(
+        f.where(F.col("niveau") == K.LEVEL_CITY),
+        "lieu_key",
+        provinces.select("nom", F.col("id").alias("id_province_prefecture"), F.col("id_parent").alias("id_region")),
+        "nom",
+        ["id_province_prefecture", "id_region"],
+        fold=fold,
+    ).drop("n_candidates")
+    reg = lookup(
+        f.where(F.col("niveau") != K.LEVEL_CITY), "lieu_key", regions.select(upper_trim("nom").alias("k"), F.col("id").alias("id_region")), "k", ["id_region"], normalise=False
+    ).withColumn("id_province_prefecture", F.lit(None).cast("long"))
+    both = city.unionByName(reg).withColumn("id_commune", F.lit(None).cast("long"))
+    cols = ["annee", "poids", "niveau", "id_reference", "id_province_prefecture", "id_commune", "id_region"]
+    typed = both.select(
+        F.col("annee").cast("int"), F.col("poids").cast("decimal(18,6)"), F.col("niveau").cast("string"),
+        *[F.col(c).cast("long").alias(c) for c in ("id_reference", "id_province_prefecture", "id_commune", "id_region")],
+        "lieu_key",
+    )
+    best = top1(typed, WEIGHT_KEY, [desc_nulls_as("poids", -1), F.col("lieu_key")]).select(*cols)
+    tgt = target if target is not None else best.limit(0)
+    return upsert(tgt.select(*cols), best, WEIGHT_KEY, ["poids"])

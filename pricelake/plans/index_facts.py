@@ -114,7 +114,7 @@ def with_fact_ids(fact: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
 
 # ------------------------------------------------------------------------------------------------ on the driver tables
 def _inputs(spark: SparkSession, sf: str):
-    t = Tables(spark, sf)
+    t = Tables(spark, sf, spread=True)
     nat = t.nation
     # cities of region 0 are written without the underscore, so they need the override map
     city = F.when(F.col("n_regionkey") == 0, F.replace(F.col("n_name"), F.lit("_"), F.lit(""))).otherwise(F.col("n_name"))

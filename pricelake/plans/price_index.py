@@ -199,6 +199,40 @@ def gold_facts(staging: DataFrame, geo: dict[str, DataFrame], trade: dict[str, D
     return with_fact_ids(fact, tb).drop(*tb)
 
 
+def load_weight_file(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    """One weight file, schema from its header, names verbatim, every cell text (same dialect sniffing and
+    parser as the landing). A missing or empty file gives ``None`` (a warning, not an error)."""
+    try:
+        files = S.scan_tree(spark, root, name).select("rel_path", "content")
+    except Exception:  # noqa: BLE001 - folder absent
+        return None
+    rows = S.to_rows(S.sniff(files)).where(F.col("status") == "ok")
+    wide = S.widen(rows.select("rel_path", "row_index", S.row_map("row_json").alias("row")))
+    cols = [c for c in wide.columns if c not in ("rel_path", "row_index")]
+    return wide.select(*[F.col(f"`{c}`") for c in cols]) if cols else None
+
+
+def silver_weights(spark: SparkSession, weights_root: str) -> dict[str, DataFrame | None]:
+    """Both weight files, verbatim (Q-4: both empty is a warning only)."""
+    return {
+        "cities": load_weight_file(spark, weights_root, K.WEIGHT_FILE_CITIES),
+        "trades": load_weight_file(spark, weights_root, K.WEIGHT_FILE_TRADES),
+    }
+
+
+def gold_weights(verbatim: dict[str, DataFrame | None], geo: dict[str, DataFrame], trade: dict[str, DataFrame],
+                 target: DataFrame | None = None) -> DataFrame | None:
+    """R2 + R3: staged weights of the place-level file, then the weight fact (places matched accent-folded)."""
+    from pricelake.operators import weights as W
+
+    src = verbatim.get("cities")
+    if src is None:
+        return None
+    staged = W.stage_weight_table(src)
+    # no loader exists in the source system for this fact; places are matched accent-folded (J5), as its notes ask
+    return W.weight_fact(staged, trade["variete"], geo["province"], geo["region"], target=target, fold=True)
+
+
 def audit(tables: dict[str, DataFrame], fact: DataFrame, run_id: str) -> dict[str, DataFrame]:
     """Reports of the run (A1, A4-A6, Q-2, Q-3, Q-5, Q-8)."""
     counts = Q.table_counts(tables)
@@ -216,7 +250,7 @@ def audit(tables: dict[str, DataFrame], fact: DataFrame, run_id: str) -> dict[st
 
 
 def run(spark: SparkSession, landing_root: str, out_root: str, run_id: str, ref_root: str | None = None,
-        compat: bool = False) -> dict[str, DataFrame]:
+        compat: bool = False, weights_root: str | None = None) -> dict[str, DataFrame]:
     """Whole plan; writes raw rows (per run), staging (per run) and versioned gold tables under ``out_root``."""
     out = out_root.rstrip("/")
     manifest, raw, summary = land(spark, landing_root, run_id, ref_root, compat)
@@ -242,6 +276,17 @@ def run(spark: SparkSession, landing_root: str, out_root: str, run_id: str, ref_
     fact = SK.read_latest(spark, f"{out}/fact_indice")
     tables = {"raw_rows": raw_t.where(F.col("run_id") == run_id), "staging": staging, **{k: v for k, v in geo.items()},
               **{k: v for k, v in trade.items()}, "index": fact}
+    if weights_root:
+        verbatim = silver_weights(spark, weights_root)
+        for k, v in verbatim.items():
+            if v is not None:
+                SK.replace_table(v, f"{out}/weights_{k}")
+                tables[f"weights_{k}"] = spark.read.parquet(f"{out}/weights_{k}")
+        wf = gold_weights({k: tables.get(f"weights_{k}") for k in verbatim}, geo, trade)
+        if wf is not None:
+            SK.write_version(wf, f"{out}/fact_ponderation")
+            tables["weights"] = SK.read_latest(spark, f"{out}/fact_ponderation")
     reports = audit(tables, fact, run_id)
     reports["load_summary"] = summary
-    return {"fact": fact, **{f"dim_{k}": v for k, v in {**geo, **trade}.items()}, **reports}
+    extra = {"fact_weights": tables["weights"]} if "weights" in tables else {}
+    return {"fact": fact, **extra, **{f"dim_{k}": v for k, v in {**geo, **trade}.items()}, **reports}

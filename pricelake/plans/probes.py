@@ -220,7 +220,7 @@ GROUP BY t.doc_id
 def folded_contains_join(spark, sf):
     """Accent- and punctuation-folded substring match of every distinct word of every document (whole texts)
     against part names; per document: distinct words, words with a hit, and candidates (fan-out)."""
-    t = Tables(spark, sf)
+    t = Tables(spark, sf, spread=True)
     toks = t.documents.select("doc_id", F.explode(_tok_split(F.col("text"))).alias("tok")).distinct()
     dim = t.part.select("p_name", "p_partkey")
     per_tok = M.contains_join(toks, "tok", dim, "p_name", [], fold=True, count_col="n_parts", fan_out=False)
@@ -248,7 +248,7 @@ FROM documents
 def ci_ai_in(spark, sf):
     """Case- and accent-insensitive membership of every word (ICU ``UNICODE_CI_AI`` collation), per document,
     without an explode: one higher-order filter per row."""
-    d = Tables(spark, sf).documents
+    d = Tables(spark, sf, spread=True).documents
     toks = _tok_split(F.col("text"))
     hits = F.filter(toks, lambda x: X.isin_ci_ai(x, _CI_AI_WORDS))
     return d.select("doc_id", F.size(toks).cast("long").alias("n_tokens"), F.size(hits).cast("long").alias("n_in_list"))
@@ -257,7 +257,7 @@ def ci_ai_in(spark, sf):
 # =============================================================================================== text functions (F*)
 @probe("accent_fold", "SELECT doc_id, md5(strip_accents(text)) AS text_md5, strip_accents(text) <> text AS changed FROM documents")
 def accent_fold(spark, sf):
-    d = Tables(spark, sf).documents
+    d = Tables(spark, sf, spread=True).documents
     f = X.fold_accents("text")
     return d.select("doc_id", F.md5(f).alias("text_md5"), (f != F.col("text")).alias("changed"))
 
@@ -272,7 +272,7 @@ FROM documents
 """,
 )
 def normalize_header(spark, sf):
-    d = Tables(spark, sf).documents
+    d = Tables(spark, sf, spread=True).documents
     return d.select("doc_id", F.md5(X.normalize_header("text")).alias("header_md5"))
 
 
@@ -285,7 +285,7 @@ FROM conversations
 """,
 )
 def collapse_ws(spark, sf):
-    c = Tables(spark, sf).conversations
+    c = Tables(spark, sf, spread=True).conversations
     return c.select("conv_id", "turn", F.md5(X.collapse_ws("text")).alias("text_md5"))
 
 

@@ -10,21 +10,43 @@ TABLES = (
 ).split()
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+# primary keys used to spread a table that has fewer splits than task slots (see session.spread)
+KEYS = {
+    "lineitem": ("l_orderkey",), "orders": ("o_orderkey",), "customer": ("c_custkey",), "part": ("p_partkey",),
+    "supplier": ("s_suppkey",), "events": ("event_id",), "documents": ("doc_id",), "pages": ("page_id",),
+    "conversations": ("conv_id", "turn"), "benchmark": ("item_id",), "labels": ("doc_id",), "embeddings": ("vec_id",),
+}
+
+
+_LOADED: dict[tuple[int, str, bool], DataFrame] = {}
+
+
+def load(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """The table as a lazy DataFrame (nothing is cached: only the resolved plan is reused, so the footer read and
+    the split check happen once per session). ``spread=True`` is for CPU-heavy row work (whole-text processing,
+    long join chains): see :func:`pricelake.session.spread`."""
+    from pricelake.session import spread as _spread
+
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path, spread)
+    if key not in _LOADED:
+        df = spark.read.parquet(path)
+        _LOADED[key] = _spread(df, *KEYS.get(name, ())) if spread else df
+    return _LOADED[key]
 
 
 class Tables:
     """Lazy accessor: ``t.lineitem`` reads ``lineitem.parquet`` (column pruning and filters reach the scan)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, spread: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.spread = spread
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
-            return load(self.spark, self.sf_dir, name)
+            return load(self.spark, self.sf_dir, name, self.spread)
         raise AttributeError(name)
 
     def all(self) -> dict[str, DataFrame]:
-        return {n: load(self.spark, self.sf_dir, n) for n in TABLES}
+        return {n: load(self.spark, self.sf_dir, n, self.spread) for n in TABLES}

@@ -64,3 +64,27 @@ def bounded_rows(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast hint only behind a size check; a larger side is left to the planner (shuffle join)."""
     return F.broadcast(df) if bounded_rows(df, max_rows) else df
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Total size of the files behind ``df`` (file-system metadata only)."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm  # noqa: SLF001
+    conf = spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
+    total = 0
+    for f in df.inputFiles():
+        p = jvm.org.apache.hadoop.fs.Path(f)
+        total += p.getFileSystem(conf).getFileStatus(p).getLen()
+    return total
+
+
+def spread(df: DataFrame, *keys: str, min_bytes: int = 4 << 20) -> DataFrame:
+    """Give CPU-heavy row work all cores when the input has fewer splits than the cluster has task slots (a small
+    file with one row group is read by one task). Hash-partitions by ``keys`` (deterministic on retry), or
+    round-robin without keys. On a large input (at least as many splits as slots) it is a no-op, so it never adds
+    a shuffle at scale; inputs under ``min_bytes`` are left alone too."""
+    spark = df.sparkSession
+    slots = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots or input_bytes(df) < min_bytes:
+        return df
+    return df.repartition(slots, *keys) if keys else df.repartition(slots)

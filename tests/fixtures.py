@@ -64,7 +64,11 @@ def build_landing(root: str) -> dict[str, str]:
     os.makedirs(f"{land}/drops", exist_ok=True)
     with open(f"{land}/drops/drop_2025.zip", "wb") as f:
         f.write(buf.getvalue())
+    weights = os.path.join(root, "weights")
+    _w(f"{weights}/ponderations_villes_regions_output.csv",
+       "Ville;Variété;2019;2020\nFES;Béton B25;0,25;0,3\nKENITRA;Acier HA8;0,75;\nZZZ;Béton B25;1;1\n", bom=True)
+    _w(f"{weights}/ponderation_MC_prixindice.csv", "Corps;Poids\nGros oeuvre;0,6\n")
     _w(f"{refs}/province.csv", "\n".join(";".join(r) for r in PROVINCES) + "\n", bom=True)
     _w(f"{refs}/region.csv", "\n".join(";".join(r) for r in REGIONS) + "\n")
     _w(f"{refs}/commune.csv", "\n".join(";".join(r) for r in COMMUNES) + "\n")
-    return {"landing": land, "refs": refs}
+    return {"landing": land, "refs": refs, "weights": weights}

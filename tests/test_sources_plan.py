@@ -84,8 +84,10 @@ def test_sinks(spark, tmpdir_path):
 def test_end_to_end_and_rerun(spark, tmpdir_path):
     p = build_landing(tmpdir_path)
     out = os.path.join(tmpdir_path, "out")
-    res = PI.run(spark, p["landing"], out, "run-1", p["refs"])
+    res = PI.run(spark, p["landing"], out, "run-1", p["refs"], weights_root=p["weights"])
     fact = res["fact"]
+    w = {(r["annee"], r["id_reference"], r["id_province_prefecture"]) for r in res["fact_weights"].collect()}
+    assert len(w) == 5 and any(k[2] is not None for k in w)
     n = fact.count()
     assert n > 10
     assert res["key_duplicates"].count() == 0
