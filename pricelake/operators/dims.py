@@ -22,7 +22,7 @@ SMALL_DIM_ROWS = 200_000
 
 
 def assign_ids(
-    df: DataFrame, key: Sequence[str] | str, id_col: str = "id", start: int = 0, small_rows: int = SMALL_DIM_ROWS
+    df: DataFrame, key: Sequence[str] | str, id_col: str = "id", start: int | Column = 0, small_rows: int = SMALL_DIM_ROWS
 ) -> DataFrame:
     """Ids ``start+1 .. start+n`` in sorted key order (ascending, NULLs first). Keys must be unique.
     See :func:`number_rows` for the plan."""
@@ -30,12 +30,16 @@ def assign_ids(
     return number_rows(df, keys, (), id_col, start, small_rows)
 
 
+def _start(start: int | Column) -> Column:
+    return start if isinstance(start, Column) else F.lit(start)
+
+
 def number_rows(
     df: DataFrame,
     order: Sequence[str],
     group: Sequence[str] = (),
     out: str = "row_index",
-    start: int = 0,
+    start: int | Column = 0,
     small_rows: int = SMALL_DIM_ROWS,
 ) -> DataFrame:
     """``start+1, start+2, ..`` within each ``group`` in ``order`` (ascending, NULLs first); ``group + order``
@@ -52,7 +56,7 @@ def number_rows(
     order, group = list(order), list(group)
     if small_rows > 0 and bounded_rows(df, small_rows):
         w = Window.partitionBy(*group).orderBy(*[F.col(k).asc_nulls_first() for k in order])
-        return df.withColumn(out, (F.lit(start) + F.row_number().over(w)).cast("long"))
+        return df.withColumn(out, (_start(start) + F.row_number().over(w)).cast("long"))
     keys = group + order
     spark = df.sparkSession
     n_parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -69,14 +73,13 @@ def number_rows(
     for g in group:
         cond = cond & F.col(f"o.`{g}`").eqNullSafe(F.col(f"s.`{g}`"))
     j = ordered.alias("o").join(stats.alias("s"), cond)
-    num = (F.lit(start) + F.col("s.__off") + F.col("o.__pos") - F.col("s.__first") + F.lit(1)).cast("long")
+    num = (_start(start) + F.col("s.__off") + F.col("o.__pos") - F.col("s.__first") + F.lit(1)).cast("long")
     return j.select(*[F.col(f"o.`{c}`") for c in df.columns], num.alias(out))
 
 
-def max_id(dim: DataFrame, id_col: str = "id") -> int:
-    """Largest id of a dimension (one scalar), 0 when empty."""
-    v = dim.agg(F.max(id_col)).first()[0]
-    return int(v) if v is not None else 0
+def max_id(dim: DataFrame, id_col: str = "id") -> Column:
+    """Largest id of a dimension, 0 when empty, as a scalar subquery (evaluated once by Spark, no driver pull)."""
+    return F.coalesce(dim.select(F.max(id_col)).scalar(), F.lit(0)).cast("long")
 
 
 def new_keys(candidates: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None) -> DataFrame:
