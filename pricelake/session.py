@@ -84,7 +84,10 @@ def spread(df: DataFrame, *keys: str, min_bytes: int = 4 << 20) -> DataFrame:
     round-robin without keys. On a large input (at least as many splits as slots) it is a no-op, so it never adds
     a shuffle at scale; inputs under ``min_bytes`` are left alone too."""
     spark = df.sparkSession
-    slots = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots or input_bytes(df) < min_bytes:
+    try:
+        slots = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= slots or input_bytes(df) < min_bytes:
+            return df
+    except Exception:  # noqa: BLE001 - no split metadata available (e.g. a remote session): leave the plan alone
         return df
     return df.repartition(slots, *keys) if keys else df.repartition(slots)
