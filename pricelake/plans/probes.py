@@ -394,7 +394,7 @@ def reject_rows(spark, sf):
     r"""
 SELECT event_id, user_id,
   CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS INTEGER) AS row_index,
-  json_object('k', json_extract_string(props, '$.k'), 'event_type', event_type) AS row_json
+  CAST(json_object('k', json_extract_string(props, '$.k'), 'event_type', event_type) AS VARCHAR) AS row_json
 FROM events
 """,
 )
