@@ -561,7 +561,7 @@ def upsert_merge(spark, sf):
             .withColumn("origin", F.lit(tag))
         )
 
-    cut = F.lit("1998-01-01 00:00:00").cast("timestamp")
+    cut = F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")
     a = snap(F.col("o_orderdate") < cut, "A")
     b = snap(F.col("o_orderdate") >= cut, "B")
     return FA.upsert(a, b, ["o_custkey", "status"], ["amount", "n_orders"])
