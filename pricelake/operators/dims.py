@@ -12,6 +12,17 @@ from pricelake.functions.text import _col, is_blank, upper_trim
 from pricelake.session import bounded_rows, cut_lineage
 
 
+def one_per_key(df: DataFrame, key: Sequence[str] | str, cols: Sequence[str]) -> DataFrame:
+    """One row per key, deterministic: the smallest (``cols``...) tuple (an aggregate with map-side combine, so a
+    key repeated across a third of the rows is pre-reduced before the shuffle). ``dropDuplicates`` would keep an
+    arbitrary row, which can change when a task is retried."""
+    keys = [key] if isinstance(key, str) else list(key)
+    cols = [c for c in cols if c not in keys]
+    if not cols:
+        return df.select(*keys).distinct()
+    return df.groupBy(*keys).agg(F.min(F.struct(*cols)).alias("__v")).select(*keys, *[F.col(f"__v.{c}").alias(c) for c in cols])
+
+
 def distinct_keys(df: DataFrame, col: Column | str, out: str = "name") -> DataFrame:
     """A3: DISTINCT of the ``UPPER(TRIM())`` key, blanks dropped (partial aggregation before the shuffle)."""
     k = upper_trim(col)
@@ -97,7 +108,7 @@ def grow_dim(
     ``candidates`` holds normalised keys (plus ``extra`` columns such as a parent id). A second run with the same
     candidates adds nothing.
     """
-    cand = candidates.select(key, *extra).dropDuplicates([key])
+    cand = one_per_key(candidates, key, extra)
     fresh = new_keys(cand, dim, key)
     added = assign_ids(fresh, key, id_col, start=max_id(dim, id_col))
     cols = [id_col, key, *extra]
@@ -121,7 +132,7 @@ def lookup(
     """
     k = upper_trim(fact_col) if normalise else _col(fact_col)
     left = facts.withColumn("__k", k)
-    right = dim.select(F.col(dim_key).alias("__k"), *take).dropDuplicates(["__k"])
+    right = one_per_key(dim.select(F.col(dim_key).alias("__k"), *take), "__k", take)
     return left.join(right, "__k", how).drop("__k")
 
 

@@ -92,9 +92,13 @@ def apply_overrides(
 ) -> DataFrame:
     """Rows without a region whose raw city has a resolved override take its province and region ids and
     the label MATCHED_MANUAL. Adds ``__overridden`` for the Q-10 report."""
-    m = resolved.where(F.col(prov_id).isNotNull()).select(
-        F.col(key), F.col(prov_id).alias("__op"), F.col(region_id).alias("__or")
-    ).dropDuplicates([key])
+    from pricelake.operators.dims import one_per_key
+
+    m = one_per_key(
+        resolved.where(F.col(prov_id).isNotNull()).select(F.col(key), F.col(prov_id).alias("__op"), F.col(region_id).alias("__or")),
+        key,
+        ["__op", "__or"],
+    )
     j = facts.join(m, key, "left")
     j = j.withColumn("__overridden", F.col(region_id).isNull() & F.col("__op").isNotNull())
     hit = F.col("__overridden")
