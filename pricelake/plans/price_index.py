@@ -53,14 +53,18 @@ def land(spark: SparkSession, landing_root: str, run_id: str, ref_root: str | No
     return S.manifest(files, parsed, run_id), raw, S.load_summary(parsed)
 
 
-def stage_prices(raw: DataFrame, exclusive: bool = False, fold: bool = False) -> tuple[DataFrame, DataFrame]:
+def stage_prices(
+    raw: DataFrame, exclusive: bool = False, fold: bool = False, aliases: dict[str, list[str]] | None = None
+) -> tuple[DataFrame, DataFrame]:
     """price/index staging rows from raw row objects. Returns (staged rows, rejected rows).
 
     Fields by tolerant lookup (P1) over the price aliases; the year is mandatory (P3); the level, region and city
     come from the path (P4-P6); price and index parse decimal commas (F5); text fields turn blank into NULL."""
     # parse each row object once (own projection), then resolve every field against the parsed map
     parsed = raw.where(F.col("dataset") == K.DATASET_PRICES).select("run_id", "rel_path", "row_index", S.row_map("row_json").alias("__m"))
-    rows = parsed.select("run_id", "rel_path", "row_index", *resolve_fields("__m", K.PRICE_ALIASES, fold=fold, exclusive=exclusive))
+    # The alias map is configuration (a plain dict); the default is the source system's list
+    alias_map = aliases or K.PRICE_ALIASES
+    rows = parsed.select("run_id", "rel_path", "row_index", *resolve_fields("__m", alias_map, fold=fold, exclusive=exclusive))
     rows = rows.withColumn("annee_int", strict_int("annee"))
     lv = P.classify_level("rel_path", "region")
     staged = rows.where(F.col("annee_int").isNotNull()).select(
@@ -288,5 +292,6 @@ def run(spark: SparkSession, landing_root: str, out_root: str, run_id: str, ref_
             tables["weights"] = SK.read_latest(spark, f"{out}/fact_ponderation")
     reports = audit(tables, fact, run_id)
     reports["load_summary"] = summary
+    SK.write_report(reports["snapshot"], f"{out}/reports/dq", run_id)
     extra = {"fact_weights": tables["weights"]} if "weights" in tables else {}
     return {"fact": fact, **extra, **{f"dim_{k}": v for k, v in {**geo, **trade}.items()}, **reports}

@@ -84,3 +84,11 @@ def read_latest(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFra
     if not vs:
         return None
     return spark.read.format(fmt).load(f"{root.rstrip('/')}/{vs[-1]}")
+
+
+def write_report(df: DataFrame, path: str, run_id: str) -> str:
+    """Q-8: a run report (a handful of rows, e.g. the counts snapshot) as JSON lines under ``run_id=<id>``;
+    re-running the run replaces its report."""
+    out = f"{path.rstrip('/')}/run_id={run_id}"
+    df.coalesce(1).write.mode("overwrite").json(out)
+    return out

@@ -88,6 +88,8 @@ def test_end_to_end_and_rerun(spark, tmpdir_path):
     fact = res["fact"]
     w = {(r["annee"], r["id_reference"], r["id_province_prefecture"]) for r in res["fact_weights"].collect()}
     assert len(w) == 5 and any(k[2] is not None for k in w)
+    snap = spark.read.json(os.path.join(out, "reports", "dq", "run_id=run-1")).first()
+    assert snap["run_id"] == "run-1" and snap["counts"]["index"] == fact.count()
     n = fact.count()
     assert n > 10
     assert res["key_duplicates"].count() == 0
