@@ -25,9 +25,17 @@ from pricelake.sources import sinks as SK
 
 
 # --------------------------------------------------------------------------------------------------------- bronze
-def land(spark: SparkSession, landing_root: str, run_id: str, ref_root: str | None = None, compat: bool = False):
-    """Bronze: files (CSV and the members of ZIP drops) -> (manifest, raw rows). Nothing is collected."""
-    files = S.scan_tree(spark, landing_root, "*.csv")
+def land(spark: SparkSession, landing_root: str, run_id: str, ref_root: str | None = None, compat: bool = False,
+         native_min_bytes: int = 256 << 20):
+    """Bronze: files (CSV and the members of ZIP drops) -> (manifest, raw rows). Nothing is collected.
+
+    CSV files of at least ``native_min_bytes`` go through Spark's CSV reader (split across tasks, dialect from
+    the header line, UTF-8); smaller ones are parsed one file per record with dialect sniffing."""
+    listing = S.scan_tree(spark, landing_root, "*.csv").select("path", "rel_path", "length")
+    large = [r["path"] for r in listing.where(F.col("length") >= native_min_bytes).select("path").collect()]
+    seps = S.header_separators(spark, large)
+    big = [p for p in large if seps.get(p)]
+    files = S.scan_tree(spark, landing_root, "*.csv").where(~F.col("path").isin(big)) if big else S.scan_tree(spark, landing_root, "*.csv")
     try:
         zips = S.scan_tree(spark, landing_root, "*.zip")
         members = S.explode_archives(zips).where(F.lower(F.col("rel_path")).endswith(".csv"))
@@ -41,6 +49,12 @@ def land(spark: SparkSession, landing_root: str, run_id: str, ref_root: str | No
         files = files.unionByName(refs)
     sniffed = S.sniff(files)
     parsed = S.to_rows(sniffed, compat=compat)
+    if big:
+        by_sep: dict[str, list[str]] = {}
+        for path in big:
+            by_sep.setdefault(seps[path], []).append(path)
+        for sep, paths in by_sep.items():
+            parsed = parsed.unionByName(S.to_rows_native(spark, paths, landing_root, sep))
     rid = F.lit(run_id)
     raw = parsed.where(F.col("status") == "ok").select(
         rid.alias("run_id"),
@@ -50,7 +64,13 @@ def land(spark: SparkSession, landing_root: str, run_id: str, ref_root: str | No
         "row_json",
         F.current_timestamp().alias("load_ts"),
     )
-    return S.manifest(files, parsed, run_id), raw, S.load_summary(parsed)
+    meta = files.select("rel_path", F.md5("content").alias("__md5"))
+    if big:
+        meta = meta.unionByName(listing.where(F.col("path").isin(big)).select("rel_path", F.lit(None).cast("string").alias("__md5")))
+    man = S.manifest(meta.select("rel_path"), parsed, run_id).drop("md5_hash").join(
+        meta.withColumnRenamed("__md5", "md5_hash"), "rel_path", "left"
+    )
+    return man.select("run_id", "rel_path", "dataset", "row_count", "md5_hash", "load_ts"), raw, S.load_summary(parsed)
 
 
 def stage_prices(

@@ -203,7 +203,7 @@ def to_rows(files: DataFrame, compat: bool = False) -> DataFrame:
                     out.append((rel, 0, None, "unreadable"))
                     continue
                 for i, r in enumerate(rows, start=1):
-                    out.append((rel, i, json.dumps(dict(zip(header, r)), ensure_ascii=False), "ok"))
+                    out.append((rel, i, json.dumps(dict(zip(header, r)), ensure_ascii=False, separators=(",", ":")), "ok"))
                 for _ in range(rejected):
                     out.append((rel, 0, None, "rejected"))
             yield pd.DataFrame(out, columns=["rel_path", "row_index", "row_json", "status"])
@@ -218,10 +218,12 @@ def row_map(c: Column | str = "row_json") -> Column:
 
 # ---------------------------------------------------------------------------------------------------------- S6, S8
 def manifest(files: DataFrame, rows: DataFrame, run_id: str) -> DataFrame:
-    """One row per file: run, path, dataset class, data rows, md5 of the bytes, load stamp."""
+    """One row per file: run, path, dataset class, data rows, md5 of the bytes (NULL for files read
+    without loading their bytes), load stamp."""
     counts = rows.where(F.col("status") == "ok").groupBy("rel_path").agg(F.count(F.lit(1)).cast("int").alias("row_count"))
+    md5 = F.md5(F.col("content")) if "content" in files.columns else F.lit(None).cast("string")
     return (
-        files.select("rel_path", F.md5(F.col("content")).alias("md5_hash"))
+        files.select("rel_path", md5.alias("md5_hash"))
         .join(counts, "rel_path", "left")
         .select(
             normalize_run_id(F.lit(run_id)).alias("run_id"),
@@ -279,3 +281,96 @@ def with_referentials(files: DataFrame, spark: SparkSession, ref_root: str, fold
 def with_load_ts(df: DataFrame, col: str = "load_ts") -> DataFrame:
     """Load stamp (UTC when the session time zone is UTC)."""
     return df.withColumn(col, F.current_timestamp())
+
+
+# ------------------------------------------------------------------------------------------------- S5, large files
+def to_rows_native(
+    spark: SparkSession, paths: str | Sequence[str], root: str, sep: str = ";", max_columns: int = 256
+) -> DataFrame:
+    """S5 for large UTF-8 files of one dialect, with Spark's CSV reader: files are split across tasks instead of
+    being one record each. Same output as :func:`to_rows` (rel_path, row_index, row_json, status).
+
+    Each line is read as ``max_columns`` text cells. The position of a line in its file is the count of lines of
+    the file's earlier splits (one row per split: ``_metadata.file_block_start``) plus its position inside its
+    split; the scan is deterministic, so both uses of it agree, also after a retry. The first line of a file is its
+    header: duplicate names get ``.1``, ``.2``, blank names ``Unnamed: i`` (higher-order functions, no Python). A
+    line longer than its header is ``rejected``. Quoted cells spanning lines are not supported here (use
+    :func:`to_rows`)."""
+    from pyspark.sql import Window
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(max_columns)])
+    lines = (
+        spark.read.schema(schema)
+        .option("header", "false")
+        .option("sep", sep)
+        .option("encoding", "UTF-8")
+        .option("mode", "PERMISSIVE")
+        .option("recursiveFileLookup", "true")
+        .csv(paths if isinstance(paths, str) else list(paths))
+    )
+    lines = lines.select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("__bs"),
+        F.monotonically_increasing_id().alias("__mid"),
+        F.array(*[F.col(f"_c{i}") for i in range(max_columns)]).alias("__vals"),
+    )
+    splits = lines.groupBy("path", "__bs").agg(F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__first"))
+    w = Window.partitionBy("path").orderBy("__bs").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("__off", F.coalesce(F.sum("__n").over(w), F.lit(0))).drop("__n")
+    pos = lines.join(splits, ["path", "__bs"]).select(
+        "path", (F.col("__off") + F.col("__mid") - F.col("__first")).alias("__pos"), "__vals"
+    )
+    # header width = position of its last non-empty cell (an empty cell reads as NULL)
+    width_h = F.coalesce(F.array_max(F.transform("__vals", lambda x, i: F.when(x.isNotNull(), i + 1).otherwise(0))), F.lit(0))
+    head = pos.where(F.col("__pos") == 0).select(
+        "path",
+        F.transform(
+            F.slice("__vals", 1, F.greatest(width_h, F.lit(1))),
+            lambda x, i: F.when(i == 0, F.regexp_replace(F.coalesce(x, F.lit("")), "^﻿", "")).otherwise(F.coalesce(x, F.lit(""))),
+        ).alias("__h"),
+    )
+    names = F.transform(
+        "__h",
+        lambda x, i: F.when(F.trim(x) == "", F.concat(F.lit("Unnamed: "), i.cast("string"))).otherwise(
+            F.when(
+                F.size(F.filter(F.slice("__h", 1, i), lambda y: y == x)) > 0,
+                F.concat(x, F.lit("."), F.size(F.filter(F.slice("__h", 1, i), lambda y: y == x)).cast("string")),
+            ).otherwise(x)
+        ),
+    )
+    head = head.select("path", names.alias("__names"))
+    data = pos.where(F.col("__pos") > 0).join(head, "path")
+    width = F.size("__names")
+    cells = F.transform(F.slice("__vals", 1, width), lambda v: F.coalesce(v, F.lit("")))
+    too_long = F.exists(F.slice("__vals", width + 1, max_columns), lambda v: v.isNotNull())
+    root_norm = re.sub(r"^[a-zA-Z][a-zA-Z0-9+.\-]*:(//[^/]*)?", "", root).rstrip("/")
+    bare = _strip_scheme(F.col("path"))
+    rel = F.when(bare.startswith(root_norm + "/"), F.substring(bare, len(root_norm) + 2, 1 << 30)).otherwise(bare)
+    return data.select(
+        rel.alias("rel_path"),
+        F.col("__pos").cast("int").alias("row_index"),
+        F.when(too_long, F.lit(None)).otherwise(F.to_json(F.map_from_arrays("__names", cells))).alias("row_json"),
+        F.when(too_long, F.lit("rejected")).otherwise(F.lit("ok")).alias("status"),
+    )
+
+
+def header_separators(spark: SparkSession, paths: Sequence[str], separators: Sequence[str] = K.CSV_SEPARATORS) -> dict[str, str]:
+    """Separator per large file from its first line only (the first split of each file is scanned as text, never
+    the whole file): the first separator, in list order, that splits the header into more than one field.
+    Returns {path: sep} (file metadata, one entry per large file); ``None`` when the header is not UTF-8."""
+    if not paths:
+        return {}
+    lines = spark.read.text(list(paths)).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("bs"),
+        F.monotonically_increasing_id().alias("mid"), "value",
+    ).where((F.col("bs") == 0) & (F.length(F.trim("value")) > 0))
+    first = lines.groupBy("path").agg(F.min_by("value", "mid").alias("header"))
+    pick = None
+    for s in separators:
+        found = F.size(F.split(F.col("header"), re.escape(s), -1)) > 1
+        pick = F.when(found, F.lit(s)) if pick is None else pick.when(found, F.lit(s))
+    sep = F.coalesce(pick.otherwise(F.lit(None)), F.lit(separators[0]))
+    # a header that is not valid UTF-8 marks the file for the byte-level parser (which sniffs the charset)
+    out = first.select("path", F.when(F.is_valid_utf8("header"), sep).alias("sep"))
+    return {r["path"]: r["sep"] for r in out.collect()}

@@ -123,3 +123,31 @@ def test_stream_pickup(spark, tmpdir_path):
     q.awaitTermination(120)
     t = spark.read.parquet(out)
     assert t.count() == 5 and t.select("run_id").distinct().count() == 2
+
+
+def test_native_rows_match_file_parser(spark, tmpdir_path):
+    p = build_landing(tmpdir_path)
+    root = p["landing"]
+    with open(os.path.join(root, "NATIONAL", "dups_T1.csv"), "w", encoding="utf-8") as f:
+        f.write("a;a;;b\n1;2;3;4\n5\n\n6;7;8;9;10\n")
+    picked = ["NATIONAL/maroc_T1.csv", "NATIONAL/dups_T1.csv", "FES/fes_T1.csv", "TANTAN/tantan_T1.csv", "MS/ms_T3.csv"]
+    native = S.to_rows_native(spark, [os.path.join(root, x) for x in picked], root, ";")
+    files = S.scan_tree(spark, root, "*.csv").where(F.col("rel_path").isin(picked))
+    py = S.to_rows(S.sniff(files))
+
+    def norm(df):
+        ok = sorted((r["rel_path"], r["row_index"], r["row_json"]) for r in df.where("status = 'ok'").collect())
+        return ok, df.where("status = 'rejected'").count()
+
+    a, b = norm(native), norm(py)
+    assert a[0] == b[0] and a[1] == b[1] == 2
+
+
+def test_land_routes_large_files_natively(spark, tmpdir_path):
+    p = build_landing(tmpdir_path)
+    small = PI.land(spark, p["landing"], "r", None)
+    native = PI.land(spark, p["landing"], "r", None, native_min_bytes=200)  # the larger UTF-8 files go native
+    key = lambda df: sorted((r["rel_path"], r["row_index"], r["row_json"]) for r in df.where("dataset = 'prix_indices'").collect())
+    assert key(native[1]) == key(small[1])
+    man = {r["rel_path"]: r for r in native[0].collect()}
+    assert man["NATIONAL/maroc_T1.csv"]["row_count"] == 4
