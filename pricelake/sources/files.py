@@ -49,8 +49,8 @@ def explode_archives(archives: DataFrame) -> DataFrame:
     are spread over tasks; members stay bytes until parsed."""
 
     def fan_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cols = ["archive", "rel_path", "length", "content"]
         for pdf in batches:
-            out = []
             for archive, blob in zip(pdf["path"], pdf["content"]):
                 with zipfile.ZipFile(io.BytesIO(blob)) as z:
                     for info in z.infolist():
@@ -58,8 +58,8 @@ def explode_archives(archives: DataFrame) -> DataFrame:
                             continue
                         name = info.filename.replace("\\", "/").lstrip("/")
                         data = z.read(info)
-                        out.append((archive, name, len(data), data))
-            yield pd.DataFrame(out, columns=["archive", "rel_path", "length", "content"])
+                        # one member per output batch: memory holds one archive and one member at a time
+                        yield pd.DataFrame([(archive, name, len(data), data)], columns=cols)
 
     return archives.select("path", "content").mapInPandas(
         fan_out, "archive string, rel_path string, length long, content binary"
