@@ -181,7 +181,7 @@ def level_fk_check(df: DataFrame, level_col: str, required_fk: Mapping[str, str]
 
 # ---------------------------------------------------------------------------------------------------- Q-2, Q-3, Q-4
 def health_check(counts: DataFrame, required: Sequence[str], optional: Sequence[str] = ()) -> DataFrame:
-    """Q-2: required tables must be non-empty (ERROR), optional ones warn when empty."""
+    """Q-2: required tables must be non-empty (ERROR), optional ones warn when empty (F12: CASE-style flags)."""
     c = counts.where(F.col("table_name").isin(list(required) + list(optional)))
     is_req = F.col("table_name").isin(list(required))
     ok = F.col("row_count") > 0
