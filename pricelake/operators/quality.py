@@ -127,13 +127,14 @@ def year_coverage(facts: Mapping[str, DataFrame], year: str) -> DataFrame:
 
 
 def level_coverage(df: DataFrame, levels: Mapping[str, Column], ref: str) -> DataFrame:
-    """Coverage per geographic level: rows and distinct references among the rows of each level."""
-    out = None
-    for name, cond in levels.items():
-        part = df.where(cond).agg(_count().alias("n_rows"), F.count_distinct(ref).cast("long").alias("n_refs"))
-        part = part.select(F.lit(name).alias("level"), "*")
-        out = part if out is None else out.unionByName(part)
-    return out
+    """Coverage per geographic level: rows and distinct references among the rows of each level, all levels
+    in one scan (conditional aggregates), then stacked into rows."""
+    aggs, parts = [], []
+    for i, (name, cond) in enumerate(levels.items()):
+        aggs += [F.count_if(cond).cast("long").alias(f"n{i}"), F.count_distinct(F.when(cond, F.col(ref))).cast("long").alias(f"r{i}")]
+        parts.append(f"'{name}', n{i}, r{i}")
+    wide = df.agg(*aggs)
+    return wide.selectExpr(f"stack({len(parts)}, {', '.join(parts)}) as (level, n_rows, n_refs)")
 
 
 # ------------------------------------------------------------------------------------------------------------- A8
@@ -168,14 +169,15 @@ def fk_orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str, name: str)
 
 
 def level_fk_check(df: DataFrame, level_col: str, required_fk: Mapping[str, str]) -> DataFrame:
-    """Per level: rows and rows missing the FK that level requires, in one pass with ``count_if``."""
-    out = None
-    for level, fk in required_fk.items():
-        part = df.agg(
-            F.count_if(F.col(level_col) == level).cast("long").alias("n_rows"),
-            F.count_if((F.col(level_col) == level) & F.col(fk).isNull()).cast("long").alias("missing_fk"),
-        ).select(F.lit(level).alias("level"), F.lit(fk).alias("fk"), "*")
-        out = part if out is None else out.unionByName(part)
+    """Per level: rows and rows missing the FK that level requires, all levels in one scan (``count_if``
+    per condition), then stacked into rows."""
+    aggs, parts = [], []
+    for i, (level, fk) in enumerate(required_fk.items()):
+        is_level = F.col(level_col) == level
+        aggs += [F.count_if(is_level).cast("long").alias(f"n{i}"), F.count_if(is_level & F.col(fk).isNull()).cast("long").alias(f"m{i}")]
+        parts.append(f"'{level}', '{fk}', n{i}, m{i}")
+    wide = df.agg(*aggs)
+    out = wide.selectExpr(f"stack({len(parts)}, {', '.join(parts)}) as (level, fk, n_rows, missing_fk)")
     return out.withColumn("status", F.when(F.col("missing_fk") > 0, F.lit(WARN)).otherwise(F.lit(OK)))
 
 
