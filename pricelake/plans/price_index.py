@@ -257,6 +257,40 @@ def gold_weights(verbatim: dict[str, DataFrame | None], geo: dict[str, DataFrame
     return W.weight_fact(staged, trade["variete"], geo["province"], geo["region"], target=target, fold=True)
 
 
+def dropped_by_level(staging: DataFrame) -> DataFrame:
+    """Q20 report: staging rows that never reach the fact (no usable city: national and regional rows, excluded
+    literals and exclusion-table cities), counted per level and reason, in one aggregate."""
+    city = upper_trim("agglomeration")
+    excluded = F.lit(False)
+    for a, target, _ in K.CITY_EXCLUSIONS:
+        if target is None:
+            excluded = excluded | (city == F.lit(a))
+    reason = (
+        F.when(city.isNull(), F.lit("no city"))
+        .when(city.isin(list(K.EXCLUDED_CITY_LITERALS)), F.lit("excluded literal"))
+        .when(excluded, F.lit("exclusion table"))
+    )
+    return (
+        staging.select("niveau", reason.alias("reason"))
+        .where(F.col("reason").isNotNull())
+        .groupBy("niveau", "reason")
+        .agg(F.count(F.lit(1)).cast("long").alias("n_rows"))
+    )
+
+
+def unresolved_references(staging: DataFrame, trade: dict[str, DataFrame]) -> DataFrame:
+    """Q33 report, before the dedupe: staging rows whose variety (T1) or product (T3) name is not in its
+    dimension (their reference would be NULL and collapse in the dedupe), per type and name."""
+    t = upper_trim("file_type")
+    name = F.when(t == K.FILE_TYPE_T1, upper_trim("variete")).when(t == K.FILE_TYPE_T3, upper_trim("produit"))
+    rows = staging.select(t.alias("type_indice"), name.alias("name")).where(F.col("type_indice").isin(K.FILE_TYPE_T1, K.FILE_TYPE_T3))
+    known = trade["variete"].select(F.lit(K.FILE_TYPE_T1).alias("type_indice"), "name").unionByName(
+        trade["produit"].select(F.lit(K.FILE_TYPE_T3).alias("type_indice"), "name")
+    )
+    missing = rows.join(known, ["type_indice", "name"], "left_anti")
+    return missing.groupBy("type_indice", "name").agg(F.count(F.lit(1)).cast("long").alias("n_rows"))
+
+
 def audit(tables: dict[str, DataFrame], fact: DataFrame, run_id: str) -> dict[str, DataFrame]:
     """Reports of the run (A1, A4-A6, Q-2, Q-3, Q-5, Q-8)."""
     counts = Q.table_counts(tables)
@@ -312,6 +346,8 @@ def run(spark: SparkSession, landing_root: str, out_root: str, run_id: str, ref_
             tables["weights"] = SK.read_latest(spark, f"{out}/fact_ponderation")
     reports = audit(tables, fact, run_id)
     reports["load_summary"] = summary
+    reports["dropped_by_level"] = dropped_by_level(staging)
+    reports["unresolved_references"] = unresolved_references(staging, trade)
     SK.write_report(reports["snapshot"], f"{out}/reports/dq", run_id)
     extra = {"fact_weights": tables["weights"]} if "weights" in tables else {}
     return {"fact": fact, **extra, **{f"dim_{k}": v for k, v in {**geo, **trade}.items()}, **reports}

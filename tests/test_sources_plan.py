@@ -88,6 +88,10 @@ def test_end_to_end_and_rerun(spark, tmpdir_path):
     fact = res["fact"]
     w = {(r["annee"], r["id_reference"], r["id_province_prefecture"]) for r in res["fact_weights"].collect()}
     assert len(w) == 5 and any(k[2] is not None for k in w)
+    dropped = {(r["niveau"], r["reason"]): r["n_rows"] for r in res["dropped_by_level"].collect()}
+    assert dropped[("NATIONAL", "no city")] == 5 and dropped[("REGION", "no city")] == 2
+    unresolved = {(r["type_indice"], r["name"]) for r in res["unresolved_references"].collect()}
+    assert ("T1", None) in unresolved  # the MARRAKECH row without a variety
     snap = spark.read.json(os.path.join(out, "reports", "dq", "run_id=run-1")).first()
     assert snap["run_id"] == "run-1" and snap["counts"]["index"] == fact.count()
     n = fact.count()
