@@ -1260,3 +1260,66 @@ def _register_flagship():
 
 
 _register_flagship()
+
+
+# =============================================================================================== weight fact
+@probe(
+    "weight_fact",
+    """
+WITH var AS (
+  SELECT name, CAST(row_number() OVER (ORDER BY name) AS BIGINT) AS id
+  FROM (SELECT DISTINCT upper(trim(p_name)) AS name FROM part WHERE trim(p_name) <> '')
+), base AS (
+  SELECT n.n_name AS city, r.r_name AS region, p.p_name AS variete, CAST(year(o.o_orderdate) AS INTEGER) AS annee, l.l_discount AS d
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+  JOIN part p ON l.l_partkey = p.p_partkey
+), staged AS (
+  SELECT 'VILLE' AS niveau, city AS lieu, variete, annee, max(d) AS poids FROM base GROUP BY city, variete, annee
+  UNION ALL
+  SELECT 'REGION' AS niveau, region AS lieu, variete, annee, max(d) AS poids FROM base GROUP BY region, variete, annee
+), looked AS (
+  SELECT s.niveau, s.annee, s.poids, v.id AS id_reference, upper(trim(s.lieu)) AS lieu_key
+  FROM staged s LEFT JOIN var v ON upper(trim(s.variete)) = v.name
+), placed AS (
+  SELECT l.annee, l.poids, l.niveau, l.id_reference, CAST(d.n_nationkey AS BIGINT) AS id_province_prefecture,
+         CAST(d.n_regionkey AS BIGINT) AS id_region, l.lieu_key
+  FROM looked l LEFT JOIN nation d ON instr(upper(d.n_name), upper(l.lieu_key)) > 0 WHERE l.niveau = 'VILLE'
+  UNION ALL
+  SELECT l.annee, l.poids, l.niveau, l.id_reference, CAST(NULL AS BIGINT), CAST(r.r_regionkey AS BIGINT), l.lieu_key
+  FROM looked l LEFT JOIN region r ON upper(trim(r.r_name)) = l.lieu_key WHERE l.niveau <> 'VILLE'
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY annee, niveau, id_reference, id_province_prefecture, id_region
+                               ORDER BY coalesce(poids, -1) DESC, lieu_key) AS rn
+  FROM placed
+)
+SELECT annee, CAST(poids AS DOUBLE) AS poids, niveau, id_reference, id_province_prefecture,
+       CAST(NULL AS BIGINT) AS id_commune, id_region
+FROM ranked WHERE rn = 1
+""",
+)
+def weight_fact(spark, sf):
+    """R3 on the driver tables: city weights (customer nation as the city) and region weights (the greatest
+    discount of a variety in a place and year stands in for its weight), variety by exact name, city matched to
+    nations by substring, region by name, one row per natural key, upserted into an empty fact."""
+    t = Tables(spark, sf, spread=True)
+    base = (
+        t.lineitem.select("l_orderkey", "l_partkey", "l_discount")
+        .join(t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate"), "l_orderkey")
+        .join(t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey")
+        .join(t.nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("city"), "n_regionkey"), "c_nationkey")
+        .join(t.region.select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("region")), "n_regionkey")
+        .join(t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("variete")), "l_partkey")
+        .select("city", "region", "variete", F.year("o_orderdate").cast("int").alias("annee"), "l_discount")
+    )
+    city = base.groupBy("city", "variete", "annee").agg(F.max("l_discount").alias("poids")).select(
+        F.lit("VILLE").alias("niveau"), F.col("city").alias("lieu"), "variete", "annee", "poids"
+    )
+    reg = base.groupBy("region", "variete", "annee").agg(F.max("l_discount").alias("poids")).select(
+        F.lit("REGION").alias("niveau"), F.col("region").alias("lieu"), "variete", "annee", "poids"
+    )
+    varieties = D.assign_ids(D.distinct_keys(t.part, "p_name", "name"), "name", "id")
+    provinces = t.nation.select(F.col("n_name").alias("nom"), F.col("n_nationkey").alias("id"), F.col("n_regionkey").alias("id_parent"))
+    regions = t.region.select(F.col("r_name").alias("nom"), F.col("r_regionkey").alias("id"))
+    fact = W.weight_fact(city.unionByName(reg), varieties, provinces, regions)
+    return fact.withColumn("poids", F.col("poids").cast("double"))
