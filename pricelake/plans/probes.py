@@ -462,7 +462,7 @@ def _type_of(flag: Column) -> Column:
 def fact_lookup(spark, sf):
     """J6 + P14: lineitem decorated with variety/product ids by exact name and the region of its supplier; the
     reference id is polymorphic by type."""
-    t = Tables(spark, sf)
+    t = Tables(spark, sf, spread=True)
     part = t.part
     variety = D.assign_ids(D.distinct_keys(part, "p_name", "name"), "name", "id_variete")
     product = D.assign_ids(D.distinct_keys(part, "p_brand", "name"), "name", "id_produit")
@@ -517,7 +517,7 @@ SELECT annee, l_returnflag, l_partkey, l_orderkey, l_linenumber, l_extendedprice
 """,
 )
 def top1_dedupe(spark, sf):
-    li = Tables(spark, sf).lineitem.withColumn("annee", F.year("l_shipdate").cast("int"))
+    li = Tables(spark, sf, spread=True).lineitem.withColumn("annee", F.year("l_shipdate").cast("int"))
     best = FA.top1(
         li,
         ["annee", "l_returnflag", "l_partkey"],
