@@ -100,14 +100,15 @@ def apply_overrides(
         ["__op", "__or"],
     )
     j = facts.join(m, key, "left")
-    j = j.withColumn("__overridden", F.col(region_id).isNull() & F.col("__op").isNotNull())
-    hit = F.col("__overridden")
-    j = (
-        j.withColumn(prov_id, F.when(hit, F.col("__op")).otherwise(F.col(prov_id)))
-        .withColumn(region_id, F.when(hit, F.col("__or")).otherwise(F.col(region_id)))
-        .withColumn(label, F.when(hit, F.lit(K.MATCHED_MANUAL)).otherwise(F.col(label)))
-    )
-    return j.drop("__op", "__or")
+    hit = F.col(region_id).isNull() & F.col("__op").isNotNull()
+    new = {
+        prov_id: F.when(hit, F.col("__op")).otherwise(F.col(prov_id)),
+        region_id: F.when(hit, F.col("__or")).otherwise(F.col(region_id)),
+        label: F.when(hit, F.lit(K.MATCHED_MANUAL)).otherwise(F.col(label)),
+    }
+    # one projection (each withColumn would re-analyse the whole plan)
+    cols = [new[c].alias(c) if c in new else F.col(f"`{c}`") for c in facts.columns]
+    return j.select(*cols, hit.alias("__overridden"))
 
 
 def override_report(
