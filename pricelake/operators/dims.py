@@ -45,6 +45,23 @@ def _start(start: int | Column) -> Column:
     return start if isinstance(start, Column) else F.lit(start)
 
 
+def _bucket_of(keys: Sequence[str], types, bounds: list[tuple]) -> Column:
+    """Index of the range (0..len(bounds)) a (keys) tuple falls in, by binary search over literal bound tuples
+    (struct comparison: ascending, NULLs first)."""
+    row = F.struct(*[F.col(f"`{k}`") for k in keys])
+
+    def lit(b):
+        return F.struct(*[F.lit(v).cast(t).alias(k) for v, k, t in zip(b, keys, types)])
+
+    def search(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(row <= lit(bounds[mid]), search(lo, mid)).otherwise(search(mid + 1, hi))
+
+    return search(0, len(bounds))
+
+
 def number_rows(
     df: DataFrame,
     order: Sequence[str],
@@ -57,12 +74,12 @@ def number_rows(
     must be unique. One group may hold any share of the rows: it is never moved into one task.
 
     An input of at most ``small_rows`` rows (checked) is numbered by one ``row_number()`` window. A larger input is
-    written once to the shared checkpoint folder (the range partitioner's sampling pass then reads the checkpoint
-    instead of recomputing the input), range-partitioned and sorted by ``group + order`` and written again (so the
-    two uses below see the same partitions, also after an executor loss). Per (partition, group) one row holds the
-    count and the first position; a running sum over the partitions of each group gives the offset; the number is
-    offset + position - first position. A hot group spanning many partitions is numbered by all of them in
-    parallel. ``small_rows=0`` skips the check for inputs known to be large.
+    written once to the shared checkpoint folder, so every later pass reads the same rows (also after an executor
+    loss). A seeded sample of it gives range bounds over ``group + order`` (a few rows per output partition, the
+    only data on the driver); each row's range is a deterministic expression of its keys. Per (range, group) one
+    row holds the count; a running sum over the ranges of each group gives the offset; the number is offset +
+    ``row_number()`` inside (range, group), a window whose partitions are ranges, not whole groups, so a hot
+    group is numbered by many tasks. ``small_rows=0`` skips the check for inputs known to be large.
     """
     order, group = list(order), list(group)
     if small_rows > 0 and bounded_rows(df, small_rows):
@@ -72,19 +89,24 @@ def number_rows(
     spark = df.sparkSession
     n_parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     base = cut_lineage(df)
-    ordered = base.repartitionByRange(n_parts, *keys).sortWithinPartitions(*keys)
-    ordered = ordered.withColumn("__pid", F.spark_partition_id()).withColumn("__mid", F.monotonically_increasing_id())
-    ordered = ordered.withColumn("__pos", F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), 33))
-    ordered = cut_lineage(ordered)
-    stats = ordered.groupBy("__pid", *group).agg(F.count(F.lit(1)).alias("__n"), F.min("__pos").alias("__first"))
-    w = Window.partitionBy(*group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.withColumn("__off", F.coalesce(F.sum("__n").over(w), F.lit(0))).drop("__n")
+    total = base.count()
+    fraction = min(1.0, 20.0 * n_parts / max(total, 1))
+    sample = [tuple(r) for r in base.select(*keys).sample(False, fraction, seed=17).orderBy(*[F.col(k).asc_nulls_first() for k in keys]).collect()]
+    picked = [sample[(i * len(sample)) // n_parts] for i in range(1, n_parts)] if sample else []
+    bounds = [b for i, b in enumerate(picked) if i == 0 or b != picked[i - 1]]  # Spark's order kept, repeats dropped
+    types = [base.schema[k].dataType for k in keys]
+    with_range = base.withColumn("__r", _bucket_of(keys, types, bounds) if bounds else F.lit(0))
+    stats = with_range.groupBy("__r", *group).agg(F.count(F.lit(1)).alias("__n"))
+    ws = Window.partitionBy(*group).orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
+    stats = stats.withColumn("__off", F.coalesce(F.sum("__n").over(ws), F.lit(0))).drop("__n")
+    wr = Window.partitionBy("__r", *group).orderBy(*[F.col(k).asc_nulls_first() for k in order])
+    ranked = with_range.withColumn("__rn", F.row_number().over(wr))
     # null-safe join on the group keys (a NULL group is a group)
-    cond = F.col("o.__pid") == F.col("s.__pid")
+    cond = F.col("o.__r") == F.col("s.__r")
     for g in group:
         cond = cond & F.col(f"o.`{g}`").eqNullSafe(F.col(f"s.`{g}`"))
-    j = ordered.alias("o").join(stats.alias("s"), cond)
-    num = (_start(start) + F.col("s.__off") + F.col("o.__pos") - F.col("s.__first") + F.lit(1)).cast("long")
+    j = ranked.alias("o").join(stats.alias("s"), cond)
+    num = (_start(start) + F.col("s.__off") + F.col("o.__rn")).cast("long")
     return j.select(*[F.col(f"o.`{c}`") for c in df.columns], num.alias(out))
 
 
