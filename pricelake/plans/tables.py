@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -18,21 +20,22 @@ KEYS = {
 }
 
 
-_LOADED: dict[tuple[int, str, bool], DataFrame] = {}
+_LOADED: "weakref.WeakKeyDictionary[SparkSession, dict[tuple[str, bool], DataFrame]]" = weakref.WeakKeyDictionary()
 
 
 def load(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """The table as a lazy DataFrame (nothing is cached: only the resolved plan is reused, so the footer read and
-    the split check happen once per session). ``spread=True`` is for CPU-heavy row work (whole-text processing,
-    long join chains): see :func:`pricelake.session.spread`."""
+    """The table as a lazy DataFrame (nothing is cached: only the resolved plan is reused per session, so the footer
+    read and the split check happen once). ``spread=True`` is for CPU-heavy row work (whole-text processing, long
+    join chains): see :func:`pricelake.session.spread`."""
     from pricelake.session import spread as _spread
 
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path, spread)
-    if key not in _LOADED:
+    per_session = _LOADED.setdefault(spark, {})
+    key = (path, spread)
+    if key not in per_session:
         df = spark.read.parquet(path)
-        _LOADED[key] = _spread(df, *KEYS.get(name, ())) if spread else df
-    return _LOADED[key]
+        per_session[key] = _spread(df, *KEYS.get(name, ())) if spread else df
+    return per_session[key]
 
 
 class Tables:
