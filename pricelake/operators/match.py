@@ -47,7 +47,7 @@ def _match_key(c: Column, fold: bool) -> Column:
     return c
 
 
-def substring_table(dim: DataFrame, name_col: str, fold: bool = False) -> DataFrame:
+def substring_table(dim: DataFrame, name_col: str, fold: bool = False, max_len: int | None = None) -> DataFrame:
     """Every substring ``__v`` of every distinct dimension key ``__name`` (a key of length L gives at most
     L(L+1)/2 rows; repeated keys and repeated substrings collapse in the final DISTINCT, which aggregates
     partially before its shuffle). Its size depends on the dimension only, never on the facts."""
@@ -56,7 +56,10 @@ def substring_table(dim: DataFrame, name_col: str, fold: bool = False) -> DataFr
         .where(F.col("__name").isNotNull() & (F.length("__name") > 0))
         .withColumn("__nlen", F.length("__name"))
     )
-    with_len = keys.withColumn("__len", F.explode(F.sequence(F.lit(1), F.col("__nlen"))))
+    top = F.col("__nlen") if max_len is None else F.least(F.col("__nlen"), F.lit(max_len))
+    # with ``max_len`` (a known bound on the length of the matched values) a long name yields at most
+    # L * max_len substrings instead of L(L+1)/2; the result is the same for values within the bound
+    with_len = keys.withColumn("__len", F.explode(F.sequence(F.lit(1), top)))
     return (
         with_len.withColumn("__start", F.explode(F.sequence(F.lit(1), F.col("__nlen") - F.col("__len") + 1)))
         .select(F.col("__name").substr(F.col("__start"), F.col("__len")).alias("__v"), "__name")
@@ -64,13 +67,15 @@ def substring_table(dim: DataFrame, name_col: str, fold: bool = False) -> DataFr
     )
 
 
-def candidate_table(dim: DataFrame, name_col: str, take: Sequence[str], fold: bool = False, count_col: str = "n_candidates") -> DataFrame:
+def candidate_table(
+    dim: DataFrame, name_col: str, take: Sequence[str], fold: bool = False, count_col: str = "n_candidates", max_len: int | None = None
+) -> DataFrame:
     """(``__v``, ``take``..., ``n_candidates``): for every text that is contained in at least one dimension name,
     the dimension rows containing it and how many there are. Built from the dimension alone."""
     from pyspark.sql import Window
 
     d = dim.select(_match_key(F.col(name_col), fold).alias("__name"), *take)
-    cand = substring_table(dim, name_col, fold).join(d, "__name", "inner").drop("__name")
+    cand = substring_table(dim, name_col, fold, max_len).join(d, "__name", "inner").drop("__name")
     return cand.withColumn(count_col, F.count(F.lit(1)).over(Window.partitionBy("__v")))
 
 
@@ -106,10 +111,12 @@ def contains_join(
     fold: bool = False,
     count_col: str = "n_candidates",
     fan_out: bool = True,
+    max_len: int | None = None,
 ) -> DataFrame:
     """LEFT substring join of facts to a dimension; fan-out kept (one row per hit, Q24); literal matching
     (Q23). ``n_candidates`` counts the hits of the row's value (0 when unmatched). ``fan_out=False`` keeps one
-    row per fact with its ``n_candidates`` only (no dimension columns).
+    row per fact with its ``n_candidates`` only (no dimension columns). ``max_len`` (optional) is a known bound
+    on the length of the city values; values longer than it then never match, so give it only when it holds.
 
     Plan: the candidate table (every substring of every distinct dimension name, with its dimension rows and
     hit count) is built from the dimension alone; the facts are scanned once and equi-joined to it on the
@@ -118,11 +125,11 @@ def contains_join(
     rows causes no skewed shuffle); otherwise it stays a shuffle join whose skewed partitions AQE splits.
     """
     if fan_out:
-        cand = candidate_table(dim, name_col, take, fold, count_col)
+        cand = candidate_table(dim, name_col, take, fold, count_col, max_len)
     else:
         d = dim.select(_match_key(F.col(name_col), fold).alias("__name"))
         cand = (
-            substring_table(dim, name_col, fold).join(d, "__name", "inner")
+            substring_table(dim, name_col, fold, max_len).join(d, "__name", "inner")
             .groupBy("__v").agg(F.count(F.lit(1)).alias(count_col))
         )
     out = facts.withColumn("__v", _match_key(F.col(city_col), fold)).join(cand, "__v", "left").drop("__v")

@@ -148,3 +148,12 @@ def test_number_rows_hot_group(spark):
         return (r["g"] is None, r["g"] or 0, r["o"], r["rn"])
 
     assert sorted(got.collect(), key=key) == sorted(want.collect(), key=key)
+
+
+def test_contains_join_length_bound(spark):
+    facts = spark.createDataFrame([(1, "FES"), (2, "DE FES")], "k int, city string")
+    dim = spark.createDataFrame([("PREFECTURE DE FES", 1)], "name string, id int")
+    full = {r["k"]: r["id"] for r in M.contains_join(facts, "city", dim, "name", ["id"]).collect()}
+    bounded = {r["k"]: r["id"] for r in M.contains_join(facts, "city", dim, "name", ["id"], max_len=6).collect()}
+    assert full == bounded == {1: 1, 2: 1}
+    assert M.substring_table(dim, "name", max_len=3).count() < M.substring_table(dim, "name").count()
