@@ -10,7 +10,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pricelake.functions.text import _col, pct
 
@@ -255,4 +254,4 @@ def ordered_sample(df: DataFrame, order: Sequence[Column], n: int = 10) -> DataF
     return df.orderBy(*order).limit(n)
 
 
-__all__ = [n for n in dir() if not n.startswith("_") and n not in {"Column", "DataFrame", "SparkSession", "T", "F"}]
+__all__ = [n for n in dir() if not n.startswith("_") and n not in {"Column", "DataFrame", "SparkSession", "F"}]
