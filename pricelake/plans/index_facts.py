@@ -113,13 +113,14 @@ def with_fact_ids(fact: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
 
 
 # ------------------------------------------------------------------------------------------------ on the driver tables
-def _inputs(spark: SparkSession, sf: str):
+def _staging(spark: SparkSession, sf: str) -> DataFrame:
+    """Price rows of the flagship: lineitem lines with the order year, the customer's nation name as city text
+    (cities of region 0 are written without the underscore, so they need the override map), part brand/name."""
     t = Tables(spark, sf, spread=True)
     nat = t.nation
-    # cities of region 0 are written without the underscore, so they need the override map
     city = F.when(F.col("n_regionkey") == 0, F.replace(F.col("n_name"), F.lit("_"), F.lit(""))).otherwise(F.col("n_name"))
     flag = F.col("l_returnflag")
-    staging = (
+    return (
         t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_quantity", "l_extendedprice")
         .join(t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate"), "l_orderkey")
         .join(t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey")
@@ -137,6 +138,20 @@ def _inputs(spark: SparkSession, sf: str):
             "l_linenumber",
         )
     )
+
+
+def _exclusions(spark: SparkSession, sf: str) -> DataFrame:
+    """Exclusion table of the flagship: the nations of region 4, with no target."""
+    nat = Tables(spark, sf, spread=True).nation
+    return nat.where(F.col("n_regionkey") == 4).select(
+        upper_trim("n_name").alias("agglomeration_raw"), F.lit(None).cast("long").alias("id_province_prefecture")
+    )
+
+
+def _inputs(spark: SparkSession, sf: str):
+    t = Tables(spark, sf, spread=True)
+    nat = t.nation
+    staging = _staging(spark, sf)
     provinces = nat.select(
         F.col("n_name").alias("nom_province_prefecture"),
         F.col("n_nationkey").cast("long").alias("id_province_prefecture"),
@@ -144,9 +159,7 @@ def _inputs(spark: SparkSession, sf: str):
     )
     products = D.assign_ids(D.distinct_keys(t.part, "p_brand", "name"), "name", "id")
     varieties = D.assign_ids(D.distinct_keys(t.part, "p_name", "name"), "name", "id")
-    exclusions = nat.where(F.col("n_regionkey") == 4).select(
-        upper_trim("n_name").alias("agglomeration_raw"), F.lit(None).cast("long").alias("id_province_prefecture")
-    )
+    exclusions = _exclusions(spark, sf)
     overrides = nat.where(F.col("n_regionkey") == 0).select(
         F.replace(upper_trim("n_name"), F.lit("_"), F.lit("")).alias("agglomeration_raw"),
         upper_trim("n_name").alias("correct_province_name"),

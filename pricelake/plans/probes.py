@@ -1323,3 +1323,47 @@ def weight_fact(spark, sf):
     regions = t.region.select(F.col("r_name").alias("nom"), F.col("r_regionkey").alias("id"))
     fact = W.weight_fact(city.unionByName(reg), varieties, provinces, regions)
     return fact.withColumn("poids", F.col("poids").cast("double"))
+
+
+# =============================================================================================== Q20: rows that never reach the fact
+@probe(
+    "dropped_rows",
+    """
+WITH base AS (
+  SELECT CASE WHEN n.n_regionkey = 0 THEN replace(n.n_name, '_', '') ELSE n.n_name END AS city,
+         CASE l.l_returnflag WHEN 'R' THEN 'T1' WHEN 'A' THEN 'T3' ELSE 'UNKNOWN' END AS type_indice
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN nation n ON c.c_nationkey = n.n_nationkey
+), excl AS (SELECT upper(trim(n_name)) AS agglomeration_raw FROM nation WHERE n_regionkey = 4),
+tagged AS (
+  SELECT type_indice,
+    CASE WHEN upper(trim(city)) IS NULL THEN 'no city'
+         WHEN upper(trim(city)) IN ('AL', '') THEN 'excluded literal'
+         WHEN upper(trim(city)) IN (SELECT agglomeration_raw FROM excl) THEN 'exclusion table' END AS reason
+  FROM base
+)
+SELECT type_indice, reason, CAST(count(*) AS BIGINT) AS n_rows FROM tagged WHERE reason IS NOT NULL GROUP BY 1, 2
+""",
+)
+def dropped_rows(spark, sf):
+    """Q20 on the flagship's staging stand-in: rows that the exclusion step removes before matching, per type and
+    reason (one aggregate; the exclusion table is the nations of region 4, as in ``index_facts``)."""
+    from pricelake.plans import index_facts as IF
+
+    staging, exclusions = IF._staging(spark, sf), IF._exclusions(spark, sf)
+    city = X.upper_trim("agglomeration")
+    excl = exclusions.select(F.col("agglomeration_raw").alias("__x"), F.lit(True).alias("__excluded"))
+    tagged = staging.select(X.upper_trim("file_type").alias("type_indice"), city.alias("__c")).join(
+        excl, F.col("__c") == F.col("__x"), "left"
+    )
+    reason = (
+        F.when(F.col("__c").isNull(), F.lit("no city"))
+        .when(F.col("__c").isin("AL", ""), F.lit("excluded literal"))
+        .when(F.col("__excluded"), F.lit("exclusion table"))
+    )
+    return (
+        tagged.select("type_indice", reason.alias("reason"))
+        .where(F.col("reason").isNotNull())
+        .groupBy("type_indice", "reason")
+        .agg(F.count(F.lit(1)).cast("long").alias("n_rows"))
+    )
