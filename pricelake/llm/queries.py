@@ -18,6 +18,19 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort(_table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pricelake.llm.decontaminate import decontaminate
+
+    found = decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.drop("items", "spans")
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pricelake.llm.secrets import find_secrets
+
+    return find_secrets(_table(spark, sf_dir, "documents"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -29,6 +42,8 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op5_decontaminate": op5_decontaminate,
+    "op7_secrets": op7_secrets,
     "op10_bpe": op10_bpe,
 }
 
