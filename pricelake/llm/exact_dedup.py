@@ -29,7 +29,7 @@ def content_sort(
     text_col: str = "text",
     normalise: Callable[[Column], Column] = lambda c: c,
     keep: str = "smallest",
-    hot_rows: int = 2_000,
+    hot_rows: int = 250,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256 (of the normalised text).
 
