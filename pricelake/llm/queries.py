@@ -12,12 +12,24 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pricelake.llm.langid import train_and_predict
+
+    return train_and_predict(_table(spark, sf_dir, "documents"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pricelake.llm.exact_dedup import content_sort
 
     return content_sort(_table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pricelake.llm.toxicity import train_and_score
+
+    return train_and_score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pricelake.llm.decontaminate import decontaminate
 
@@ -41,7 +53,9 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language": op1_language,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_toxicity": op3_toxicity,
     "op5_decontaminate": op5_decontaminate,
     "op7_secrets": op7_secrets,
     "op10_bpe": op10_bpe,
