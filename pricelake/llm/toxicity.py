@@ -18,6 +18,7 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -104,20 +105,47 @@ class Lexicon:
         return float(1 / (1 + np.exp(-(bias + wa * a + wb * b))))
 
 
-def weigh(counts: list[tuple[str, int, int]], n_pos: int, n_neg: int) -> dict[str, float]:
-    """Log odds of the entries that are significantly more frequent in toxic texts; an entry whose shorter beginning is
-    one too is left out. counts: (entry, toxic texts, clean texts)."""
+def log_odds(pos: int, neg: int, n_pos: int, n_neg: int) -> float:
+    return float(np.log((pos + 0.5) / (n_pos - pos + 0.5)) - np.log((neg + 0.5) / (n_neg - neg + 0.5)))
+
+
+def g2(pos: int, neg: int, n_pos: int, n_neg: int) -> float:
+    """The log likelihood ratio of an entry's frequency in toxic against clean texts; 0 if it isn't more frequent."""
+    table = np.array([[pos, n_pos - pos], [neg, n_neg - neg]], float)
+    if pos * n_neg <= neg * n_pos:
+        return 0.0
+    expected = table.sum(1, keepdims=True) * table.sum(0, keepdims=True) / table.sum()
+    return float(2 * np.where(table > 0, table * np.log(np.maximum(table, 1e-9) / np.maximum(expected, 1e-9)), 0).sum())
+
+
+def significant(counts: list[tuple[str, int, int]], n_pos: int, n_neg: int) -> dict[str, tuple[int, int]]:
+    """The entries that are clearly more frequent in toxic texts. counts: (entry, toxic texts, clean texts)."""
+    return {
+        t: (pos, neg)
+        for t, pos, neg in counts
+        if pos >= LEAST_SUPPORT and log_odds(pos, neg, n_pos, n_neg) >= LEAST_ODDS and g2(pos, neg, n_pos, n_neg) >= LEAST_G2
+    }
+
+
+def choose(counts: dict[str, tuple[int, int]], contexts: dict[str, set[int]], n_pos: int, n_neg: int) -> dict[str, float]:
+    """Entry -> log odds. An entry must be significant by its distinct contexts (the words beside it), which copies of
+    a text don't add to, and have one for every other toxic text at least. Of entries that begin alike, the shorter
+    stays if its odds are about as high, else the longer if it explains most of the shorter's texts."""
     good = {}
-    for term, pos, neg in counts:
-        if pos < LEAST_SUPPORT:
-            continue
-        odds = np.log((pos + 0.5) / (n_pos - pos + 0.5)) - np.log((neg + 0.5) / (n_neg - neg + 0.5))
-        table = np.array([[pos, n_pos - pos], [neg, n_neg - neg]], float)
-        expected = table.sum(1, keepdims=True) * table.sum(0, keepdims=True) / table.sum()
-        g2 = 2 * np.where(table > 0, table * np.log(np.maximum(table, 1e-9) / np.maximum(expected, 1e-9)), 0).sum()
-        if odds >= LEAST_ODDS and g2 >= LEAST_G2:
-            good[term] = float(odds)
-    return {t: w for t, w in good.items() if not any(t[: n + 1] in good for n in PREFIXES if n + 1 < len(t.rstrip()) or n + 1 < len(t) and t[-1] == " ")}
+    for t, (pos, neg) in counts.items():
+        n = min(len(contexts.get(t, ())), pos)
+        if n >= max(LEAST_SUPPORT, pos / 2) and g2(n, neg, n_pos, n_neg) >= LEAST_G2:
+            good[t] = log_odds(pos, neg, n_pos, n_neg)
+    chosen = dict(good)
+    for t in sorted(good, key=lambda t: (len(t), t)):
+        for n in PREFIXES:
+            short = t[: n + 1]
+            if len(short) < len(t) and short in chosen and t in chosen:
+                if good[short] >= good[t] - 1:
+                    del chosen[t]
+                elif counts[t][0] >= 0.8 * counts[short][0]:
+                    del chosen[short]
+    return chosen
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> tuple[float, float, float]:
@@ -169,7 +197,29 @@ def fit(labelled: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS, candidate
     if pos and n_neg:
         wanted = spark.sparkContext.broadcast(frozenset(pos))
         neg = {r["term"]: r["n"] for r in _counted(labelled.where("toxic = 0"), wanted).collect()}  # candidates at most
-    weights = weigh([(t, p, neg.get(t, 0)) for t, p in pos.items()], n_pos, n_neg)
+    good = significant([(t, p, neg.get(t, 0)) for t, p in pos.items()], n_pos, n_neg)
+    shared_good = spark.sparkContext.broadcast(frozenset(good))
+
+    def beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small_batches(batches):
+            found = set()
+            for text in column_texts(b.column(0)):
+                ws = folded(text).split()
+                for i, w in enumerate(ws):
+                    context = None
+                    for t in (f" {w} ", *(" " + w[:n] for n in PREFIXES if n <= len(w))):
+                        if t in shared_good.value:
+                            context = context or xxhash.xxh3_64_intdigest(" ".join(ws[max(0, i - 1) : i] + [""] + ws[i + 1 : i + 2])) >> 1
+                            found.add((t, context))
+            rows = list(found)
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64())], names=["term", "context"])
+
+    contexts: dict[str, set[int]] = defaultdict(set)
+    if good:
+        pairs = labelled.where("toxic = 1").select("text").mapInArrow(beside, "term string, context long")
+        for r in pairs.distinct().toLocalIterator():  # bounded by the sample and the candidates
+            contexts[r["term"]].add(r["context"])
+    weights = choose(good, contexts, n_pos, n_neg)
     lexicon = spark.sparkContext.broadcast(Lexicon(weights, exceptions))
 
     def phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
