@@ -43,6 +43,12 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(_table(spark, sf_dir, "documents"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pricelake.llm.warc import round_trip
+
+    return round_trip(_table(spark, sf_dir, "pages"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -58,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op5_decontaminate": op5_decontaminate,
     "op7_secrets": op7_secrets,
+    "op8_warc": op8_warc,
     "op10_bpe": op10_bpe,
 }
 
