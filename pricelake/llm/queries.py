@@ -49,6 +49,12 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_table(spark, sf_dir, "pages"))
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pricelake.llm.licenses import scan_licenses
+
+    return scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -65,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontaminate": op5_decontaminate,
     "op7_secrets": op7_secrets,
     "op8_warc": op8_warc,
+    "op9_licenses": op9_licenses,
     "op10_bpe": op10_bpe,
 }
 
