@@ -37,6 +37,12 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("items", "spans")
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pricelake.llm.ngram_join import similarity_classes
+
+    return similarity_classes(_table(spark, sf_dir, "documents")).drop("key")
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pricelake.llm.secrets import find_secrets
 
@@ -69,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_toxicity": op3_toxicity,
     "op5_decontaminate": op5_decontaminate,
+    "op6_ngram_join": op6_ngram_join,
     "op7_secrets": op7_secrets,
     "op8_warc": op8_warc,
     "op9_licenses": op9_licenses,
