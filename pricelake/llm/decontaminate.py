@@ -212,3 +212,11 @@ def decontaminate(
         "items",
         "spans",
     )
+
+
+def keep_clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, without a match of ``items``."""
+    row = F.concat_ws(":", F.col(id_col).cast("string"), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
+    found = decontaminate(docs.select(row.alias("row"), F.col(text_col).alias("text")), items, "row", "text", **options)
+    gone = found.where("contaminated").select(F.col("doc_id").alias("__row")).distinct()
+    return docs.join(gone, row == F.col("__row"), "left_anti")

@@ -95,27 +95,21 @@ def ranged_columns(ranked: DataFrame) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest") -> DataFrame:
-    """The rows of ``docs`` that :func:`content_sort` keeps, with their columns. Rows of equal id and text count once
-    (any one of them stays); a null id equals another null id here."""
+    """The rows of ``docs`` that :func:`content_sort` keeps, with all their columns. Of rows of equal id (null equals
+    null) and equal text any one stays."""
     found = content_sort(docs, id_col, text_col, keep=keep)
-    gone = found.where(~F.col("kept") & ~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(
-        F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")
-    ).distinct()
-    keyed = docs.withColumn("__sha", F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
-    same = F.col(id_col).eqNullSafe(gone["__id"]) & (keyed["__sha"] == gone["__sha"])
-    left = keyed.join(gone, same, "left_anti")
-    twice = found.groupBy("doc_id", "text_sha256").count().where("count > 1").select(
-        F.col("doc_id").alias("__id2"), F.col("text_sha256").alias("__sha2")
-    )
-    # repeated rows are rare: only those are looked at again
-    return _once(left, twice, id_col).drop("__sha")
-
-
-def _once(left: DataFrame, twice: DataFrame, id_col: str) -> DataFrame:
-    again = F.col(id_col).eqNullSafe(F.col("__id2")) & (F.col("__sha") == F.col("__sha2"))
-    single = left.join(twice, again, "left_anti")
-    columns = [c for c in left.columns]
-    repeated = left.join(twice, again, "left_semi").groupBy(id_col, "__sha").agg(
-        *[F.first(c).alias(c) for c in columns if c not in (id_col, "__sha")]
-    )
-    return single.unionByName(repeated.select(*columns))
+    gone = found.where(~F.col("kept") & ~F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    left = _without(docs, gone, id_col, text_col, "left_anti")
+    twice = found.where("group_size > 1").groupBy("doc_id", "text_sha256").count().where("count > 1")
+    if twice.isEmpty():
+        return left
+    rest = [c for c in docs.columns if c not in (id_col, text_col)]
+    once = _without(left, twice, id_col, text_col, "left_semi").groupBy(id_col, text_col).agg(*[F.first(c).alias(c) for c in rest])
+    return _without(left, twice, id_col, text_col, "left_anti").unionByName(once.select(*docs.columns))
+
+
+def _without(docs: DataFrame, found: DataFrame, id_col: str, text_col: str, how: str) -> DataFrame:
+    """``docs`` joined to (doc_id, text_sha256) of ``found`` by ``how`` (left_anti or left_semi)."""
+    keys = found.select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")).distinct()
+    sha = F.sha2(F.coalesce(docs[text_col], F.lit("")), 256)
+    return docs.join(keys, docs[id_col].eqNullSafe(F.col("__id")) & (sha == F.col("__sha")), how)

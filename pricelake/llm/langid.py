@@ -199,6 +199,18 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     return picked.mapInArrow(run, schema)
 
 
+def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", min_score: float = 0.3) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose language is known (not ``und``) with at least ``min_score``."""
+    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small_batches(batches):
+            found = (shared.value.predict(t) for t in column_texts(b.column(at)))
+            yield b.filter(pa.array([lang != UNKNOWN and p >= min_score for lang, p in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def fold_of(id_col: str, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % folds

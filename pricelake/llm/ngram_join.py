@@ -185,7 +185,8 @@ def similarity_classes(
     block_rows: int = 400,
     block_shingles: int = 1_000_000,
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, class_id, n_links, n_copies, key.
+    """One row per row of ``docs``: doc_id, class_id, n_links, n_copies, and the digests key (of the text), root (of the
+    class).
 
     Texts with a Jaccard similarity of at least ``similarity`` of their sets of ``size``-word shingles are linked; classes
     are connected texts, named by their smallest doc_id. n_links is the number of other texts linked to the row's own,
@@ -199,7 +200,19 @@ def similarity_classes(
     texts = marks.groupBy("key").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n_copies"))
     named = texts.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     names = named.groupBy("root").agg(F.min("first").alias("class_id"))
-    whole = written(named.join(names, "root").join(links, "key", "left").select("key", "class_id", "links", "n_copies"), "texts")
+    whole = written(named.join(names, "root").join(links, "key", "left").select("key", "root", "class_id", "links", "n_copies"), "texts")
     return marks.select("doc_id", "key").join(whole, "key").select(
-        "doc_id", "class_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), "n_copies", "key"
+        "doc_id", "class_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), "n_copies", "key", "root"
     )
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, without those whose class has a row of smaller id (null is the
+    largest; of equal ids, of smaller text digest). Rows of equal id and text stay or go together."""
+    rows = written(similarity_classes(docs, id_col, text_col, **options).select("doc_id", "key", "root"), "classes")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    first = rows.groupBy("root").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    other = ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("key") == F.col("first.key")))
+    gone = rows.join(first, "root").where(other).select(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).distinct()
+    same = docs[id_col].eqNullSafe(F.col("__id")) & (text_key(docs[text_col]) == F.col("__key"))
+    return docs.join(gone, same, "left_anti")

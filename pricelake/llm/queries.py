@@ -40,7 +40,7 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pricelake.llm.ngram_join import similarity_classes
 
-    return similarity_classes(_table(spark, sf_dir, "documents")).drop("key")
+    return similarity_classes(_table(spark, sf_dir, "documents")).drop("key", "root")
 
 
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
