@@ -30,6 +30,12 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return train_and_score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pricelake.llm.passages import repeated_passages
+
+    return repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pricelake.llm.decontaminate import decontaminate
 
@@ -74,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_toxicity": op3_toxicity,
+    "op4_passages": op4_passages,
     "op5_decontaminate": op5_decontaminate,
     "op6_ngram_join": op6_ngram_join,
     "op7_secrets": op7_secrets,
