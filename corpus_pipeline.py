@@ -10,32 +10,37 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from pricelake.llm import bpe, decontaminate, exact_dedup, langid, ngram_join
-from pricelake.llm.common import written
+from pricelake.llm.common import share_code, written
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language id, learned from the rows outside the held-out fold: documents of unknown language go."""
+    share_code(spark)
     model = langid.fit(docs.where(langid.fold_of("doc_id", 5) != 0))
     return langid.keep_identified(docs, model)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the row with the largest doc_id stays."""
+    share_code(spark)
     return exact_dedup.drop_copies(docs, keep="largest")
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of similar texts, the row with the smallest doc_id stays."""
+    share_code(spark)
     return ngram_join.keep_one(docs)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a passage of the benchmark go."""
+    share_code(spark)
     return decontaminate.keep_clean(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256, ids."""
+    share_code(spark)
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.encode_documents(docs, ranks, public_tokenizers.PATTERN)
 

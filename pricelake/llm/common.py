@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,6 +15,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pricelake.session import ensure_checkpoint_dir
 
 
+_SHARED: set[str] = set()
+
+
+def share_code(spark: SparkSession) -> None:
+    """Hands this library to the Python workers of the session's application (once), wherever the driver runs."""
+    context = spark.sparkContext
+    if context.applicationId in _SHARED:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="pricelake-code-"), "pricelake.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, files in os.walk(root):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    context.addPyFile(path)
+    _SHARED.add(context.applicationId)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder below ``spark.checkpoint.dir`` (shared storage). It is deleted when the driver's JVM ends."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}/{name}"
