@@ -249,10 +249,11 @@ def fit(labelled: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS, candidate
     def inputs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches):
             got = [shared.value.inputs(folded(t)) for t in column_texts(b.column(0))]
-            yield pa.RecordBatch.from_arrays([b.column(1)] + [pa.array([g[i] for g in got], pa.float64()) for i in (0, 1)], names=["toxic", "a", "b"])
+            columns = [b.column(1), b.column(2)] + [pa.array([g[i] for g in got], pa.float64()) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays(columns, names=["toxic", "key", "a", "b"])
 
-    sampled = labelled.withColumn("key", F.xxhash64("text", F.lit(5))).orderBy("key").limit(curve_rows)
-    got = sampled.select("text", F.col("toxic").cast("int")).mapInArrow(inputs, "toxic int, a double, b double").collect()
+    keyed = labelled.select("text", F.col("toxic").cast("int"), F.xxhash64("text", F.lit(5)).alias("key"))
+    got = keyed.mapInArrow(inputs, "toxic int, key long, a double, b double").orderBy("key").limit(curve_rows).collect()
     best.curve = fit_curve(np.array([[r["a"], r["b"]] for r in got]).reshape(-1, 2), np.array([r["toxic"] for r in got], float))
     return best
 
