@@ -126,6 +126,7 @@ def fit(
 ) -> Model:
     """``sample_rows`` (the documented bound) is the number of rows that the weights and the temperature are fitted on,
     in equal parts by label, chosen by the hash of the text; idf counts all rows of ``labelled``."""
+    spark = labelled.sparkSession
     rows = labelled.where(F.col(label_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(
         F.col(label_col).cast("string").alias("label"), F.col(text_col).alias("text")
     )
@@ -149,14 +150,19 @@ def fit(
     idf[at] = np.log((1 + n_docs) / (1 + np.fromiter(df.values(), np.float64, len(df)))) + 1
 
     keyed = rows.withColumn("key", F.xxhash64("text", F.lit(3)))
-    classes = [r["label"] for r in keyed.groupBy("label").count().orderBy(F.desc("count"), "label").limit(max_classes + 1).collect()]
+    sizes = {r["label"]: r["count"] for r in keyed.groupBy("label").count().orderBy(F.desc("count"), "label").limit(max_classes + 1).collect()}
+    classes = sorted(sizes)
     if len(classes) > max_classes:
         raise ValueError(f"more than {max_classes} labels")
     if not classes:
         return Model([], idf, np.zeros((BUCKETS, 0)), np.zeros(0), 1.0)
     share = max(2, sample_rows // len(classes))
+    # about four times the share by hash, then the share: no label's rows meet in one task
+    limits = [(c, -(2**63) + min(2**64 - 1, int(4 * share / n * 2**64))) for c, n in sizes.items()]
+    near = keyed.select("label", "key").join(F.broadcast(spark.createDataFrame(limits, "label string, most long")), "label")
     rank = F.row_number().over(Window.partitionBy("label").orderBy("key"))
-    picks = keyed.select("label", "key").distinct().withColumn("rank", rank).where(F.col("rank") <= share).drop("rank")
+    picks = near.where(F.col("key") <= F.col("most")).select("label", "key").distinct().withColumn("rank", rank)
+    picks = picks.where(F.col("rank") <= share).drop("rank")
     sample = keyed.join(F.broadcast(picks), ["label", "key"]).groupBy("label", "key").agg(F.first("text").alias("text"))
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,7 +172,6 @@ def fit(
             yield pa.RecordBatch.from_arrays(columns, names=["label", "key", "at", "n"])
 
     got = sample.select("label", "text", "key").mapInArrow(counts, "label string, key long, at array<long>, n array<long>")
-    classes = sorted(classes)
     taken = sorted(got.toLocalIterator(), key=lambda r: (r["key"], r["label"]))
     xs = [weighted((np.array(r["at"]), np.array(r["n"])), idf) for r in taken]
     ys = np.array([classes.index(r["label"]) for r in taken])
