@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelake.functions.text import _col, is_blank, upper_trim
-from pricelake.session import bounded_rows, cut_lineage
+from pricelake.session import cut_lineage
 
 
 def one_per_key(df: DataFrame, key: Sequence[str] | str, cols: Sequence[str]) -> DataFrame:
@@ -29,85 +29,38 @@ def distinct_keys(df: DataFrame, col: Column | str, out: str = "name") -> DataFr
     return df.where(~is_blank(_col(col))).select(k.alias(out)).distinct()
 
 
-SMALL_DIM_ROWS = 200_000
-
-
-def assign_ids(
-    df: DataFrame, key: Sequence[str] | str, id_col: str = "id", start: int | Column = 0, small_rows: int = SMALL_DIM_ROWS
-) -> DataFrame:
+def assign_ids(df: DataFrame, key: Sequence[str] | str, id_col: str = "id", start: int | Column = 0) -> DataFrame:
     """Ids ``start+1 .. start+n`` in sorted key order (ascending, NULLs first). Keys must be unique.
     See :func:`number_rows` for the plan."""
-    keys = [key] if isinstance(key, str) else list(key)
-    return number_rows(df, keys, (), id_col, start, small_rows)
-
-
-def _start(start: int | Column) -> Column:
-    return start if isinstance(start, Column) else F.lit(start)
-
-
-def _bucket_of(keys: Sequence[str], types, bounds: list[tuple]) -> Column:
-    """Index of the range (0..len(bounds)) a (keys) tuple falls in, by binary search over literal bound tuples
-    (struct comparison: ascending, NULLs first)."""
-    row = F.struct(*[F.col(f"`{k}`") for k in keys])
-
-    def lit(b):
-        return F.struct(*[F.lit(v).cast(t).alias(k) for v, k, t in zip(b, keys, types)])
-
-    def search(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(row <= lit(bounds[mid]), search(lo, mid)).otherwise(search(mid + 1, hi))
-
-    return search(0, len(bounds))
+    return number_rows(df, [key] if isinstance(key, str) else list(key), (), id_col, start)
 
 
 def number_rows(
-    df: DataFrame,
-    order: Sequence[str],
-    group: Sequence[str] = (),
-    out: str = "row_index",
-    start: int | Column = 0,
-    small_rows: int = SMALL_DIM_ROWS,
+    df: DataFrame, order: Sequence[str], group: Sequence[str] = (), out: str = "row_index", start: int | Column = 0
 ) -> DataFrame:
     """``start+1, start+2, ..`` within each ``group`` in ``order`` (ascending, NULLs first); ``group + order``
     must be unique. One group may hold any share of the rows: it is never moved into one task.
 
-    An input of at most ``small_rows`` rows (checked) is numbered by one ``row_number()`` window. A larger input is
-    written once to the shared checkpoint folder, so every later pass reads the same rows (also after an executor
-    loss). A seeded sample of it gives range bounds over ``group + order`` (a few rows per output partition, the
-    only data on the driver); each row's range is a deterministic expression of its keys. Per (range, group) one
-    row holds the count; a running sum over the ranges of each group gives the offset; the number is offset +
-    ``row_number()`` inside (range, group), a window whose partitions are ranges, not whole groups, so a hot
-    group is numbered by many tasks. ``small_rows=0`` skips the check for inputs known to be large.
+    The rows are range-partitioned and sorted by ``group + order`` and written once, with their partition and place in
+    it, to the shared checkpoint folder, so every later pass reads the same rows (also after an executor loss). A row's
+    number is its place, less the place where its group begins in the partition, plus the group's rows in earlier
+    partitions: a join with one row per (partition, group).
     """
     order, group = list(order), list(group)
-    if small_rows > 0 and bounded_rows(df, small_rows):
-        w = Window.partitionBy(*group).orderBy(*[F.col(k).asc_nulls_first() for k in order])
-        return df.withColumn(out, (_start(start) + F.row_number().over(w)).cast("long"))
-    keys = group + order
-    spark = df.sparkSession
-    n_parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    base = cut_lineage(df)
-    total = base.count()
-    fraction = min(1.0, 20.0 * n_parts / max(total, 1))
-    sample = [tuple(r) for r in base.select(*keys).sample(False, fraction, seed=17).orderBy(*[F.col(k).asc_nulls_first() for k in keys]).collect()]
-    picked = [sample[(i * len(sample)) // n_parts] for i in range(1, n_parts)] if sample else []
-    bounds = [b for i, b in enumerate(picked) if i == 0 or b != picked[i - 1]]  # Spark's order kept, repeats dropped
-    types = [base.schema[k].dataType for k in keys]
-    with_range = base.withColumn("__r", _bucket_of(keys, types, bounds) if bounds else F.lit(0))
-    stats = with_range.groupBy("__r", *group).agg(F.count(F.lit(1)).alias("__n"))
-    ws = Window.partitionBy(*group).orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.withColumn("__off", F.coalesce(F.sum("__n").over(ws), F.lit(0))).drop("__n")
-    wr = Window.partitionBy("__r", *group).orderBy(*[F.col(k).asc_nulls_first() for k in order])
-    ranked = with_range.withColumn("__rn", F.row_number().over(wr))
-    # null-safe join on the group keys (a NULL group is a group)
-    cond = F.col("o.__r") == F.col("s.__r")
-    for g in group:
+    keys = [F.col(f"`{k}`").asc_nulls_first() for k in group + order]
+    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)  # the low bits count the partition's rows
+    base = cut_lineage(ranged.select("*", F.spark_partition_id().alias("__p"), place.alias("__place")))
+    stats = base.groupBy("__p", *group).agg(F.count(F.lit(1)).alias("__n"), F.min("__place").alias("__first"))
+    before = Window.partitionBy(*group).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    stats = stats.select("__p", *group, (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first")).alias("__shift"))
+    cond = F.col("o.__p") == F.col("s.__p")
+    for g in group:  # null-safe: a NULL group is a group
         cond = cond & F.col(f"o.`{g}`").eqNullSafe(F.col(f"s.`{g}`"))
-    j = ranked.alias("o").join(stats.alias("s"), cond)
-    num = (_start(start) + F.col("s.__off") + F.col("o.__rn")).cast("long")
-    return j.select(*[F.col(f"o.`{c}`") for c in df.columns], num.alias(out))
+    joined = base.alias("o").join(stats.alias("s"), cond)
+    first = start if isinstance(start, Column) else F.lit(start)
+    number = (first + F.col("o.__place") + F.col("s.__shift") + 1).cast("long")
+    return joined.select(*[F.col(f"o.`{c}`") for c in df.columns], number.alias(out))
 
 
 def max_id(dim: DataFrame, id_col: str = "id") -> Column:

@@ -1,9 +1,8 @@
 """Matching free-text places to a dimension.
 
 The substring join (J4) is an exact equi-join rewrite: ``contains(name, v)`` holds iff ``v`` equals one of the
-substrings of ``name``. Substrings are generated from the distinct dimension names only, so the fact table is
-scanned once and joined on an equi-key; no theta join touches the facts. A broadcast nested-loop form is kept
-for small inputs.
+substrings of ``name``. Substrings are generated from the distinct dimension names, as far as the distinct fact values
+ask for them; no theta join touches the facts.
 """
 
 from __future__ import annotations
@@ -15,7 +14,6 @@ from pyspark.sql import functions as F
 
 from pricelake import constants as K
 from pricelake.functions.text import _col, fold_accents, upper_trim
-from pricelake.session import BROADCAST_MAX_ROWS, bounded_rows
 
 
 def exclude_values(
@@ -47,58 +45,53 @@ def _match_key(c: Column, fold: bool) -> Column:
     return c
 
 
-def substring_table(dim: DataFrame, name_col: str, fold: bool = False, max_len: int | None = None) -> DataFrame:
-    """Every substring ``__v`` of every distinct dimension key ``__name`` (a key of length L gives at most
-    L(L+1)/2 rows; repeated keys and repeated substrings collapse in the final DISTINCT, which aggregates
-    partially before its shuffle). Its size depends on the dimension only, never on the facts."""
+def substring_table(dim: DataFrame, name_col: str, fold: bool = False, values: DataFrame | None = None) -> DataFrame:
+    """Substrings ``__v`` of every distinct dimension key ``__name``. With ``values`` (a column ``__v`` of the texts to be
+    matched) only substrings of their lengths are made and only those among them stay; else all (a key of length L gives
+    at most L(L+1)/2 rows)."""
     keys = (
         dim.select(_match_key(F.col(name_col), fold).alias("__name"))
-        .where(F.col("__name").isNotNull() & (F.length("__name") > 0))
+        .where(F.col("__name").isNotNull() & (F.length("__name") > 0)).distinct()
         .withColumn("__nlen", F.length("__name"))
     )
-    top = F.col("__nlen") if max_len is None else F.least(F.col("__nlen"), F.lit(max_len))
-    # with ``max_len`` (a known bound on the length of the matched values) a long name yields at most
-    # L * max_len substrings instead of L(L+1)/2; the result is the same for values within the bound
-    with_len = keys.withColumn("__len", F.explode(F.sequence(F.lit(1), top)))
-    return (
-        with_len.withColumn("__start", F.explode(F.sequence(F.lit(1), F.col("__nlen") - F.col("__len") + 1)))
+    lengths = F.sequence(F.lit(1), F.col("__nlen"))
+    if values is not None:
+        wanted = values.select(F.collect_set(F.length("__v")).alias("lens")).scalar()  # as many as there are lengths
+        lengths = F.array_intersect(lengths, wanted)
+    pieces = (
+        keys.withColumn("__len", F.explode(lengths))
+        .withColumn("__start", F.explode(F.sequence(F.lit(1), F.col("__nlen") - F.col("__len") + 1)))
         .select(F.col("__name").substr(F.col("__start"), F.col("__len")).alias("__v"), "__name")
-        .distinct()
     )
+    if values is not None:
+        pieces = pieces.join(values, "__v", "left_semi")
+    return pieces.distinct()
+
+
+def _counts(pieces: DataFrame, dim: DataFrame, name_col: str, fold: bool, count_col: str) -> DataFrame:
+    """(``__v``, hits): the dimension rows are first counted per distinct name."""
+    names = dim.select(_match_key(F.col(name_col), fold).alias("__name")).groupBy("__name").agg(F.count(F.lit(1)).alias("__n"))
+    return pieces.join(names, "__name").groupBy("__v").agg(F.sum("__n").alias(count_col))
 
 
 def candidate_table(
-    dim: DataFrame, name_col: str, take: Sequence[str], fold: bool = False, count_col: str = "n_candidates", max_len: int | None = None
+    dim: DataFrame, name_col: str, take: Sequence[str], fold: bool = False, count_col: str = "n_candidates", values: DataFrame | None = None
 ) -> DataFrame:
     """(``__v``, ``take``..., ``n_candidates``): for every text that is contained in at least one dimension name,
-    the dimension rows containing it and how many there are. Built from the dimension alone."""
-    from pyspark.sql import Window
-
+    the dimension rows containing it and how many there are. The counts are joined back, so a short text that nearly
+    every name contains needs no window over all its rows."""
+    pieces = substring_table(dim, name_col, fold, values)
     d = dim.select(_match_key(F.col(name_col), fold).alias("__name"), *take)
-    cand = substring_table(dim, name_col, fold, max_len).join(d, "__name", "inner").drop("__name")
-    return cand.withColumn(count_col, F.count(F.lit(1)).over(Window.partitionBy("__v")))
+    return pieces.join(d, "__name").drop("__name").join(_counts(pieces, dim, name_col, fold, count_col), "__v")
 
 
 def substring_matches(
-    values: DataFrame,
-    value_col: str,
-    dim: DataFrame,
-    name_col: str,
-    take: Sequence[str],
-    fold: bool = False,
-    strategy: str = "substrings",
+    values: DataFrame, value_col: str, dim: DataFrame, name_col: str, take: Sequence[str], fold: bool = False
 ) -> DataFrame:
     """Pairs (value, dimension row) where the dimension name contains the value (case-insensitive; accent-folded
-    when ``fold``); the result has ``value_col`` + ``take`` columns.
-
-    ``strategy="substrings"`` (default): equi-join of the values to :func:`substring_table` (exact, no theta
-    join). ``strategy="nested_loop"``: broadcast nested-loop join with ``instr`` (dimension checked small)."""
+    when ``fold``); the result has ``value_col`` + ``take`` columns."""
     v = values.select(F.col(value_col), _match_key(F.col(value_col), fold).alias("__v")).where(F.length("__v") > 0)
-    if strategy == "nested_loop":
-        d = dim.select(_match_key(F.col(name_col), fold).alias("__name"), *take)
-        d = F.broadcast(d) if bounded_rows(d, BROADCAST_MAX_ROWS) else d
-        return v.join(d, F.instr(F.col("__name"), F.col("__v")) > 0, "inner").select(value_col, *take)
-    cand = candidate_table(dim, name_col, take, fold)
+    cand = candidate_table(dim, name_col, take, fold, values=v.select("__v").distinct())
     return v.join(cand, "__v", "inner").select(value_col, *take)
 
 
@@ -111,27 +104,24 @@ def contains_join(
     fold: bool = False,
     count_col: str = "n_candidates",
     fan_out: bool = True,
-    max_len: int | None = None,
+    values: DataFrame | None = None,
 ) -> DataFrame:
     """LEFT substring join of facts to a dimension; fan-out kept (one row per hit, Q24); literal matching
     (Q23). ``n_candidates`` counts the hits of the row's value (0 when unmatched). ``fan_out=False`` keeps one
-    row per fact with its ``n_candidates`` only (no dimension columns). ``max_len`` (optional) is a known bound
-    on the length of the city values; values longer than it then never match, so give it only when it holds.
-
-    Plan: the candidate table (every substring of every distinct dimension name, with its dimension rows and
-    hit count) is built from the dimension alone; the facts are scanned once and equi-joined to it on the
-    normalised city key. No size guess is made here: adaptive execution measures the materialised candidate
-    table and turns the join into a broadcast hash join when it is small (then a city holding a third of all
-    rows causes no skewed shuffle); otherwise it stays a shuffle join whose skewed partitions AQE splits.
+    row per fact with its ``n_candidates`` only (no dimension columns).
+
+    Plan: only the substrings of dimension names that occur among the distinct city values are made; the facts are
+    equi-joined to them on the normalised key. ``values`` (a column ``city_col`` holding at least the facts' values) stands
+    for the distinct values where it is cheaper to have than a second pass over ``facts``. No size guess is made here:
+    adaptive execution measures the candidates and broadcasts them when small (then a city holding a third of all rows
+    causes no skewed shuffle); otherwise it stays a shuffle join whose skewed partitions AQE splits.
     """
+    wanted = (facts if values is None else values).select(_match_key(F.col(city_col), fold).alias("__v"))
+    wanted = wanted.where(F.length("__v") > 0).distinct()
     if fan_out:
-        cand = candidate_table(dim, name_col, take, fold, count_col, max_len)
+        cand = candidate_table(dim, name_col, take, fold, count_col, wanted)
     else:
-        d = dim.select(_match_key(F.col(name_col), fold).alias("__name"))
-        cand = (
-            substring_table(dim, name_col, fold, max_len).join(d, "__name", "inner")
-            .groupBy("__v").agg(F.count(F.lit(1)).alias(count_col))
-        )
+        cand = _counts(substring_table(dim, name_col, fold, wanted), dim, name_col, fold, count_col)
     out = facts.withColumn("__v", _match_key(F.col(city_col), fold)).join(cand, "__v", "left").drop("__v")
     return out.withColumn(count_col, F.coalesce(F.col(count_col), F.lit(0)))
 

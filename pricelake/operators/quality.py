@@ -44,16 +44,6 @@ def catalog_report(spark: SparkSession, tables: Mapping[str, DataFrame | None])
     return info.join(table_counts(present), "table_name", "left")
 
 
-def column_list(df: DataFrame, table: str) -> DataFrame:
-    """A11/Q-7: the sorted column list of a table as one string (the group is one table's columns: bounded)."""
-    spark = df.sparkSession
-    names = spark.createDataFrame([(table, c) for c in df.columns], "table_name string, column_name string")
-    return names.groupBy("table_name").agg(
-        F.array_join(F.array_sort(F.collect_list("column_name")), ", ").alias("columns"),
-        _count().alias("column_count"),
-    )
-
-
 def schema_check(df: DataFrame | None, table: str, required: Sequence[str] = (), forbidden: Sequence[str] = ()) -> DataFrame:
     """Q-7: table exists, required columns present, forbidden legacy columns absent."""
     cols = set(df.columns) if df is not None else set()
@@ -137,34 +127,37 @@ def level_coverage(df: DataFrame, levels: Mapping[str, Column], ref: str) -> Dat
 
 
 # ------------------------------------------------------------------------------------------------------------- A8
-def hierarchy_counts(df: DataFrame, root: str, levels: Sequence[str]) -> DataFrame:
-    """Distinct members of each level under each root, aggregated bottom-up (no Expand of count_distinct):
-    each level is deduplicated per root with partial aggregation, then counted, then the counts are joined."""
-    out = df.select(root).distinct()
-    for lv in levels:
-        c = (
-            df.where(F.col(lv).isNotNull())
-            .select(root, lv)
-            .distinct()
-            .groupBy(root)
-            .agg(_count().alias(f"n_{lv}"))
-        )
-        out = out.join(c, root, "left")
-    for lv in levels:
-        out = out.withColumn(f"n_{lv}", F.coalesce(F.col(f"n_{lv}"), F.lit(0)).cast("long"))
+def hierarchy_counts(root: DataFrame, root_key: str, levels: Sequence[tuple[str, DataFrame, str, str]]) -> DataFrame:
+    """Distinct members of each level under each root. levels, from the top: (name, table, own key, parent's key).
+    Each level is reduced to distinct (own key, parent's key), mapped to its roots once and counted at its own table;
+    ``n_<name>`` is 0 where a root has none."""
+    out = root
+    above = root.select(F.col(root_key).alias("__k"), F.col(root_key).alias("__root"))
+    for name, table, key, parent in levels:
+        own = table.select(F.col(key).alias("__own"), F.col(parent).alias("__k")).where(F.col("__own").isNotNull()).distinct()
+        above = own.join(above, "__k").select(F.col("__own").alias("__k"), "__root").distinct()
+        counts = above.groupBy(F.col("__root").alias(root_key)).agg(_count().alias(f"n_{name}"))
+        out = out.join(counts, root_key, "left").withColumn(f"n_{name}", F.coalesce(f"n_{name}", F.lit(0)).cast("long"))
     return out
 
 
 # -------------------------------------------------------------------------------------------------------- A12, Q-1
-def fk_orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str, name: str) -> DataFrame:
-    """Q-1: rows whose FK is set but absent from the parent (left anti join), rows with a NULL FK, and a verdict:
-    orphans -> WARN; empty child -> WARN; else OK."""
-    parent_keys = parent.select(F.col(pk).alias(fk)).where(F.col(fk).isNotNull()).distinct()
-    orphans = child.where(F.col(fk).isNotNull()).join(parent_keys, fk, "left_anti").agg(_count().alias("orphans"))
-    base = child.agg(_count().alias("total_rows"), F.count_if(F.col(fk).isNull()).cast("long").alias("null_fk"))
-    out = base.withColumn("orphans", orphans.select("orphans").scalar())
-    verdict = F.when(F.col("orphans") > 0, F.lit(WARN)).when(F.col("total_rows") == 0, F.lit(WARN)).otherwise(F.lit(OK))
-    return out.select(F.lit(name).alias("check_name"), "total_rows", "null_fk", "orphans", verdict.alias("status"))
+def fk_orphans(child: DataFrame, keys: Sequence[tuple[str, DataFrame, str, str]]) -> DataFrame:
+    """Q-1: per foreign key (``fk``, parent, parent's key, name of the check): rows, rows with a NULL key, rows whose key
+    is set but absent from the parent, and a verdict: orphans -> WARN; empty child -> WARN; else OK. Totals and NULLs of
+    all keys come from one aggregate; each key then takes one anti join."""
+    aggs, stacked = [_count().alias("__n")], []
+    for i, (fk, _, _, name) in enumerate(keys):
+        aggs.append(F.count_if(F.col(fk).isNull()).cast("long").alias(f"__null{i}"))
+        stacked.append(f"'{name}', __n, __null{i}")
+    base = child.agg(*aggs).selectExpr(f"stack({len(keys)}, {', '.join(stacked)}) as (check_name, total_rows, null_fk)")
+    missing = None
+    for fk, parent, pk, name in keys:
+        own = child.select(fk).where(F.col(fk).isNotNull()).join(parent.select(F.col(pk).alias(fk)), fk, "left_anti")
+        own = own.agg(_count().alias("orphans")).select(F.lit(name).alias("check_name"), "orphans")
+        missing = own if missing is None else missing.unionByName(own)
+    verdict = F.when((F.col("orphans") > 0) | (F.col("total_rows") == 0), F.lit(WARN)).otherwise(F.lit(OK))
+    return base.join(missing, "check_name").select("check_name", "total_rows", "null_fk", "orphans", verdict.alias("status"))
 
 
 def level_fk_check(df: DataFrame, level_col: str, required_fk: Mapping[str, str]) -> DataFrame:
@@ -254,4 +247,16 @@ def ordered_sample(df: DataFrame, order: Sequence[Column], n: int = 10) -> DataF
     return df.orderBy(*order).limit(n)
 
 
+def sample_with(
+    df: DataFrame, order: Sequence[Column], dims: Sequence[tuple[DataFrame, str, str, Sequence[str]]], n: int = 10
+) -> DataFrame:
+    """O2 with look-ups: the ordered TOP-n, left-joined to each (dimension, its key, fact key, columns) and in order again.
+    A dimension is first reduced to the keys of the sample, at most ``n``, which are broadcast."""
+    out = top = ordered_sample(df, order, n)
+    for dim, key, fk, take in dims:
+        wanted = F.broadcast(top.select(F.col(fk).alias(key)).distinct())
+        out = out.join(dim.select(key, *take).join(wanted, key, "left_semi").withColumnRenamed(key, fk), fk, "left")
+    return out.orderBy(*order)
+
+
 __all__ = [n for n in dir() if not n.startswith("_") and n not in {"Column", "DataFrame", "SparkSession", "F"}]

@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from pricelake.functions.text import _col, fold_accents, has_letter, normalize_header_py, py_strip, strict_int
+from pricelake.functions.text import _col, fold_accents, has_letter, header_key, py_strip, strict_int
 
 
 def _norm_key(k: Column, fold: bool) -> Column:
@@ -85,14 +85,17 @@ def require_int(df: DataFrame, src: str, out: str, name: str = "rejected_rows")
     return observed.where(F.col(out).isNotNull()), parsed.where(F.col(out).isNull()), obs
 
 
+def ranked_columns(columns: Sequence[str], candidates: Sequence[str]) -> list[str]:
+    """The columns that hold a candidate's key in their name, best first: by the rank of the earliest such
+    candidate, then by position (metadata only)."""
+    keys = [header_key(c) for c in candidates]
+    scored = [(min((r for r, k in enumerate(keys) if k and k in c), default=None), i, c) for i, c in enumerate(columns)]
+    return [c for r, i, c in sorted((r, i, c) for r, i, c in scored if r is not None)]
+
+
 def first_col(columns: Sequence[str], *candidates: str) -> str | None:
-    """Candidate-major search; first column whose name contains the normalised candidate (metadata only)."""
-    for cand in candidates:
-        needle = normalize_header_py(cand)
-        for c in columns:
-            if needle and needle in c:
-                return c
-    return None
+    """The best column of :func:`ranked_columns`, if any."""
+    return next(iter(ranked_columns(columns, candidates)), None)
 
 
 def column_profile(df: DataFrame, columns: Sequence[str], code: Column | str | None = None) -> DataFrame:
@@ -110,21 +113,14 @@ def column_profile(df: DataFrame, columns: Sequence[str], code: Column | str | N
 def pick_name_column(
     df: DataFrame, candidates: Sequence[str], code: Column | str, threshold: float = 0.5
 ) -> str | None:
-    """P10: first candidate column with >= 50 % letters and < 50 % equal to the code; else first column with
-    >= 50 % letters; else None. The shares come from one aggregate job; the choice is made on the tiny result."""
+    """P10: of the columns with >= 50 % letters, the best-ranked one that equals the code in < 50 % of the rows; without
+    such a candidate, the first by position; else None. The shares come from one aggregate job over the columns."""
     cols = list(df.columns)
     if not cols:
         return None
-    prof = column_profile(df, cols, code).first().asDict()
-    for cand in candidates:
-        c = first_col(cols, cand)
-        if c is None:
-            continue
-        letters = prof.get(f"{c}__letters") or 0.0
-        equal = prof.get(f"{c}__equal_code") or 0.0
-        if letters >= threshold and equal < threshold:
-            return c
-    for c in cols:
-        if (prof.get(f"{c}__letters") or 0.0) >= threshold:
-            return c
-    return None
+    shares = column_profile(df, cols, code).first().asDict()
+    lettered = [c for c in cols if (shares[f"{c}__letters"] or 0.0) >= threshold]
+    # a candidate stands for its first column only, as P9 picks it
+    picks = [first_col(cols, cand) for cand in candidates]
+    named = [c for c in picks if c in lettered and (shares[f"{c}__equal_code"] or 0.0) < threshold]
+    return next(iter(named + lettered), None)

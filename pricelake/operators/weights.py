@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelake import constants as K
-from pricelake.functions.text import parse_decimal, strict_int, upper_trim, year_columns
+from pricelake.functions.text import header_key, is_blank, parse_decimal, strict_int, upper_trim, year_columns
 from pricelake.operators.resolve import first_col
 
 
@@ -32,10 +32,8 @@ def stage_weights(df: DataFrame, place: str, aliases: Mapping[str, Sequence[str]
 
     Columns are found with the tolerant column finder over the normalised header names (metadata only); values
     are parsed with the decimal-comma and strict-integer rules."""
-    from pricelake.functions.text import normalize_header_py
-
-    by_norm = {normalize_header_py(c): c for c in reversed(df.columns)}
-    norm_cols = [normalize_header_py(c) for c in df.columns]
+    by_norm = {header_key(c): c for c in reversed(df.columns)}
+    norm_cols = [header_key(c) for c in df.columns]
 
     def pick(field):
         c = first_col(norm_cols, *aliases[field])
@@ -51,18 +49,19 @@ def stage_weights(df: DataFrame, place: str, aliases: Mapping[str, Sequence[str]
 
 
 def stage_weight_table(df: DataFrame) -> DataFrame:
-    """R1 + R2 for one verbatim weight table: a wide table (year-named columns) is unpivoted first; the level
-    follows the place column found (city, else region)."""
-    from pricelake.functions.text import normalize_header_py
-
+    """R1 + R2 for one verbatim weight table: a wide table (year-named columns) is unpivoted first. A row with a city is of
+    the city level, any other of the region level; a table with one of the two columns is of that level."""
     ycols = year_columns(df.columns)
     if ycols:
         ids = [c for c in df.columns if c not in ycols]
         df = _unpivot_text(df, ids, ycols)
-    norm = [normalize_header_py(c) for c in df.columns]
-    if first_col(norm, *K.CITY_WEIGHT_ALIASES["ville"]):
-        return stage_weights(df, "ville", K.CITY_WEIGHT_ALIASES, K.LEVEL_CITY)
-    return stage_weights(df, "region", K.REGION_WEIGHT_ALIASES, K.LEVEL_REGION)
+    norm = [header_key(c) for c in df.columns]
+    city, region = first_col(norm, *K.CITY_WEIGHT_ALIASES["ville"]), first_col(norm, *K.REGION_WEIGHT_ALIASES["region"])
+    if not (city and region):
+        return stage_weights(df, "ville", K.CITY_WEIGHT_ALIASES, K.LEVEL_CITY) if city else stage_weights(df, "region", K.REGION_WEIGHT_ALIASES, K.LEVEL_REGION)
+    no_city = is_blank(F.col(f"`{df.columns[norm.index(city)]}`"))
+    own = stage_weights(df.where(~no_city), "ville", K.CITY_WEIGHT_ALIASES, K.LEVEL_CITY)
+    return own.unionByName(stage_weights(df.where(no_city), "region", K.REGION_WEIGHT_ALIASES, K.LEVEL_REGION))
 
 
 def _unpivot_text(df: DataFrame, ids: Sequence[str], ycols: Sequence[str]) -> DataFrame:
@@ -72,21 +71,6 @@ def _unpivot_text(df: DataFrame, ids: Sequence[str], ycols: Sequence[str]) -> Da
     return long.where(F.col("poids").isNotNull() & (F.trim("poids") != ""))
 
 
-def stage_all_weights(city: DataFrame | None, region: DataFrame | None) -> DataFrame | None:
-    """R2: city and region weights as one staging table with a ``niveau`` column."""
-    parts = []
-    if city is not None:
-        parts.append(stage_weights(city, "ville", K.CITY_WEIGHT_ALIASES, K.LEVEL_CITY))
-    if region is not None:
-        parts.append(stage_weights(region, "region", K.REGION_WEIGHT_ALIASES, K.LEVEL_REGION))
-    if not parts:
-        return None
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
 def shares(df: DataFrame, group: Sequence[str], value: str, out: str = "poids") -> DataFrame:
     """Weight of each row as its share of the group total. The totals are an aggregate (partial sums before the
     shuffle) joined back on the group, so a hot group is never gathered into one task."""
@@ -107,7 +91,7 @@ def weight_fact(
 ) -> DataFrame:
     """The weight fact (annee, poids, niveau, id_reference, id_province_prefecture, id_commune, id_region).
 
-    ``staged`` comes from :func:`stage_all_weights`. The variety is looked up by exact normalised name (J6); a
+    ``staged`` comes from :func:`stage_weight_table`. The variety is looked up by exact normalised name (J6); a
     city is matched to provinces by substring (J4, or J5 with ``fold``) and takes the province's region; a region
     row is looked up by region name. One row per natural key (W1: greatest weight, then place name), upserted
     null-safely into ``target`` (U1). ``provinces``: nom, id, id_parent; ``regions``: nom, id; ``varieties``:

@@ -20,6 +20,7 @@ from pricelake.operators import dims as D
 from pricelake.operators import facts as FA
 from pricelake.operators import match as M
 from pricelake.plans.tables import Tables
+from pricelake.session import cut_lineage
 
 FACT_SCHEMA = T.StructType(
     [
@@ -49,6 +50,7 @@ def build_index_fact(
     tie_break: Sequence[str] = (),
     compat: bool = False,
     fold: bool = False,
+    cities: DataFrame | None = None,
 ) -> DataFrame:
     """Compose the fact.
 
@@ -58,9 +60,9 @@ def build_index_fact(
     correct_province_name. ``target``: the current fact (``None`` = empty, as after the rebuild).
 
     ``compat=True`` applies the overrides after the dedupe and upsert, as the source system does (Q25): the
-    unmatched cities then collapse before they are fixed. ``fold=True`` matches accent-folded names (J5).
+    unmatched cities then collapse before they are fixed. ``fold=True`` matches accent-folded names (J5). ``cities``: a
+    column ``agglomeration`` that holds every city of the staging rows, if that is cheaper to read than they are.
     """
-    spark = staging.sparkSession
     # 1. normalise
     base = staging.select(
         F.col("annee").cast("int").alias("annee"),
@@ -76,7 +78,8 @@ def build_index_fact(
     kept = M.exclude_values(base, "agglomeration_raw", K.EXCLUDED_CITY_LITERALS, exclusions)
     # 3. match distinct cities (fan-out kept)
     prov = provinces.select("nom_province_prefecture", "id_province_prefecture", "id_region")
-    matched = M.contains_join(kept, "agglomeration_raw", prov, "nom_province_prefecture", ["id_province_prefecture", "id_region"], fold=fold)
+    values = cities.select(upper_trim("agglomeration").alias("agglomeration_raw")) if cities is not None else None
+    matched = M.contains_join(kept, "agglomeration_raw", prov, "nom_province_prefecture", ["id_province_prefecture", "id_region"], fold=fold, values=values)
     matched = matched.drop("n_candidates").withColumn("match_quality", M.match_label("id_province_prefecture"))
     resolved = FA.resolve_overrides(overrides, prov) if overrides is not None else None
     # 4. overrides by name, before the dedupe
@@ -92,24 +95,34 @@ def build_index_fact(
     order = [FA.desc_nulls_as("prix_moyen", -1), FA.desc_nulls_as("valeur_indice", -1), *[F.col(c) for c in tie_break]]
     best = FA.top1(looked, NATURAL_KEY, order)
     src = best.select(*[F.col(f.name).cast(f.dataType) for f in FACT_SCHEMA.fields], *tie_break)
-    # 7. upsert into the current version
-    tgt = target if target is not None else spark.createDataFrame([], FACT_SCHEMA)
-    tb_types = {c: src.schema[c].dataType for c in tie_break}
-    tgt = tgt.select(
-        *[F.col(f.name).cast(f.dataType) for f in FACT_SCHEMA.fields],
-        *[(F.col(c) if c in tgt.columns else F.lit(None)).cast(tb_types[c]).alias(c) for c in tie_break],
-    )
-    fact = FA.upsert(tgt, src, NATURAL_KEY, UPDATE_COLS)
+    # 7. upsert into the current version; without one the deduplicated rows are the new version
+    fact = src
+    if target is not None:
+        types_of = {c: src.schema[c].dataType for c in tie_break}
+        tgt = target.select(
+            *[F.col(f.name).cast(f.dataType) for f in FACT_SCHEMA.fields],
+            *[(F.col(c) if c in target.columns else F.lit(None)).cast(types_of[c]).alias(c) for c in tie_break],
+        )
+        fact = FA.upsert(tgt, src, NATURAL_KEY, UPDATE_COLS)
     if resolved is not None and compat:
         fact = FA.apply_overrides(fact, resolved).drop("__overridden")
     return fact
 
 
-def with_fact_ids(fact: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
-    """D1 on the fact: ``id_indice`` 1..n in natural-key order (NULLs first), ties by ``tie_break``."""
-    # a fact is large by nature: skip the small-side check (it would run the whole plan once more) and number
-    # it through the checkpointed range-partition path
-    return D.assign_ids(fact, [*NATURAL_KEY, *tie_break], "id_indice", small_rows=0)
+def with_fact_ids(fact: DataFrame, tie_break: Sequence[str] = (), known: DataFrame | None = None) -> DataFrame:
+    """D1 on the fact: ``id_indice`` 1..n in natural-key order (NULLs first), ties by ``tie_break``. Natural keys of
+    ``known`` (the version before) keep their ids; only new ones are numbered, from its greatest id on."""
+    order = [*NATURAL_KEY, *tie_break]
+    if known is None:
+        return D.assign_ids(fact, order, "id_indice")
+    old = known.groupBy(*[F.col(k).alias(f"__{k}") for k in NATURAL_KEY]).agg(F.min("id_indice").alias("id_indice"))
+    same = None
+    for k in NATURAL_KEY:
+        one = F.col(k).eqNullSafe(F.col(f"__{k}"))
+        same = one if same is None else same & one
+    joined = cut_lineage(fact.join(old, same, "left").select(*fact.columns, "id_indice"))
+    fresh = D.assign_ids(joined.where("id_indice IS NULL").drop("id_indice"), order, "id_indice", start=D.max_id(known, "id_indice"))
+    return joined.where("id_indice IS NOT NULL").unionByName(fresh)
 
 
 # ------------------------------------------------------------------------------------------------ on the driver tables
@@ -140,6 +153,12 @@ def _staging(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _cities(spark: SparkSession, sf: str) -> DataFrame:
+    """The city texts of the flagship, from the small table that they come from."""
+    nat = Tables(spark, sf).nation
+    return nat.select(F.when(F.col("n_regionkey") == 0, F.replace(F.col("n_name"), F.lit("_"), F.lit(""))).otherwise(F.col("n_name")).alias("agglomeration"))
+
+
 def _exclusions(spark: SparkSession, sf: str) -> DataFrame:
     """Exclusion table of the flagship: the nations of region 4, with no target."""
     nat = Tables(spark, sf, spread=True).nation
@@ -172,7 +191,7 @@ _OUT = ["id_indice", "annee", "type_indice", "id_reference", "id_province_prefec
 
 def _run(spark: SparkSession, sf: str, compat: bool) -> DataFrame:
     tb = ["l_orderkey", "l_linenumber"]
-    fact = build_index_fact(*_inputs(spark, sf), tie_break=tb, compat=compat)
+    fact = build_index_fact(*_inputs(spark, sf), tie_break=tb, compat=compat, cities=_cities(spark, sf))
     fact = with_fact_ids(fact, tb)
     return fact.select(
         *[F.col(c).cast("double").alias(c) if c in ("valeur_indice", "prix_moyen") else F.col(c) for c in _OUT]

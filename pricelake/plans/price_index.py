@@ -20,57 +20,42 @@ from pricelake.operators import quality as Q
 from pricelake.operators import refs as R
 from pricelake.operators.resolve import first_col, pick_name_column, resolve_fields
 from pricelake.plans.index_facts import build_index_fact, with_fact_ids
+from pricelake.session import cut_lineage
 from pricelake.sources import files as S
 from pricelake.sources import sinks as SK
 
 
 # --------------------------------------------------------------------------------------------------------- bronze
-def land(spark: SparkSession, landing_root: str, run_id: str, ref_root: str | None = None, compat: bool = False,
-         native_min_bytes: int = 256 << 20):
-    """Bronze: files (CSV and the members of ZIP drops) -> (manifest, raw rows). Nothing is collected.
-
-    CSV files of at least ``native_min_bytes`` go through Spark's CSV reader (split across tasks, dialect from
-    the header line, UTF-8); smaller ones are parsed one file per record with dialect sniffing."""
-    listing = S.scan_tree(spark, landing_root, "*.csv").select("path", "rel_path", "length")
-    large = [r["path"] for r in listing.where(F.col("length") >= native_min_bytes).select("path").collect()]
-    seps = S.header_separators(spark, large)
-    big = [p for p in large if seps.get(p)]
-    files = S.scan_tree(spark, landing_root, "*.csv").where(~F.col("path").isin(big)) if big else S.scan_tree(spark, landing_root, "*.csv")
-    try:
-        zips = S.scan_tree(spark, landing_root, "*.zip")
-        members = S.explode_archives(zips).where(F.lower(F.col("rel_path")).endswith(".csv"))
-        files = files.select("rel_path", "content").unionByName(members.select("rel_path", "content"))
-    except Exception:  # noqa: BLE001 - no archive in the drop
-        files = files.select("rel_path", "content")
+def land_rows(spark: SparkSession, landing_root: str, ref_root: str | None = None, compat: bool = False,
+              drops: str = "newest") -> DataFrame:
+    """Bronze: the rows (all statuses, see :func:`S.to_rows`) of the CSV files, of the newest ZIP drop (S3; ``drops="all"``:
+    of every drop) and of the reference CSVs, which join the run under their own folder (S12)."""
+    files = S.scan_tree(spark, landing_root, "*.csv")
+    zips = S.scan_tree(spark, landing_root, "*.zip")
+    if drops == "newest":
+        zips = zips.where(F.col("path") == zips.select(F.max("path")).scalar())
+    columns = ["archive", "rel_path", "content"]
+    members = S.explode_archives(zips).where(F.lower(F.col("rel_path")).endswith(".csv"))
+    files = files.select(*columns).unionByName(members.select(*columns))
     if ref_root:
-        refs = S.scan_tree(spark, ref_root, "*.csv").select(
-            F.concat(F.lit(K.REFERENCE_FOLDER + "/"), F.col("rel_path")).alias("rel_path"), "content"
-        )
-        files = files.unionByName(refs)
-    sniffed = S.sniff(files)
-    parsed = S.to_rows(sniffed, compat=compat)
-    if big:
-        by_sep: dict[str, list[str]] = {}
-        for path in big:
-            by_sep.setdefault(seps[path], []).append(path)
-        for sep, paths in by_sep.items():
-            parsed = parsed.unionByName(S.to_rows_native(spark, paths, landing_root, sep))
-    rid = F.lit(run_id)
-    raw = parsed.where(F.col("status") == "ok").select(
-        rid.alias("run_id"),
-        "rel_path",
-        P.dataset_class(F.col("rel_path")).alias("dataset"),
-        "row_index",
-        "row_json",
-        F.current_timestamp().alias("load_ts"),
-    )
-    meta = files.select("rel_path", F.md5("content").alias("__md5"))
-    if big:
-        meta = meta.unionByName(listing.where(F.col("path").isin(big)).select("rel_path", F.lit(None).cast("string").alias("__md5")))
-    man = S.manifest(meta.select("rel_path"), parsed, run_id).drop("md5_hash").join(
-        meta.withColumnRenamed("__md5", "md5_hash"), "rel_path", "left"
+        refs = S.scan_tree(spark, ref_root, "*.csv")
+        files = files.unionByName(refs.select("archive", F.concat(F.lit(K.REFERENCE_FOLDER + "/"), "rel_path").alias("rel_path"), "content"))
+    return S.to_rows(S.sniff(files), compat=compat)
+
+
+def raw_rows(parsed: DataFrame, run_id: str) -> DataFrame:
+    """The data rows of a run with their dataset and load stamp."""
+    return parsed.where(F.col("status") == "ok").select(
+        F.lit(run_id).alias("run_id"), *S.FILE_KEY, P.dataset_class(F.col("rel_path"), fold=True).alias("dataset"),
+        "row_index", "row_json", F.current_timestamp().alias("load_ts"),
     )
-    return man.select("run_id", "rel_path", "dataset", "row_count", "md5_hash", "load_ts"), raw, S.load_summary(parsed)
+
+
+def land(spark: SparkSession, landing_root: str, run_id: str, ref_root: str | None = None, compat: bool = False,
+         drops: str = "newest") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(manifest, raw rows, all parsed rows) of a run. Every file is parsed once; the parsed rows are checkpointed."""
+    parsed = cut_lineage(land_rows(spark, landing_root, ref_root, compat, drops))
+    return S.manifest(parsed, run_id), raw_rows(parsed, run_id), parsed
 
 
 def stage_prices(
@@ -81,10 +66,10 @@ def stage_prices(
     Fields by tolerant lookup (P1) over the price aliases; the year is mandatory (P3); the level, region and city
     come from the path (P4-P6); price and index parse decimal commas (F5); text fields turn blank into NULL."""
     # parse each row object once (own projection), then resolve every field against the parsed map
-    parsed = raw.where(F.col("dataset") == K.DATASET_PRICES).select("run_id", "rel_path", "row_index", S.row_map("row_json").alias("__m"))
+    parsed = raw.where(F.col("dataset") == K.DATASET_PRICES).select("run_id", *S.FILE_KEY, "row_index", S.row_map("row_json").alias("__m"))
     # The alias map is configuration (a plain dict); the default is the source system's list
     alias_map = aliases or K.PRICE_ALIASES
-    rows = parsed.select("run_id", "rel_path", "row_index", *resolve_fields("__m", alias_map, fold=fold, exclusive=exclusive))
+    rows = parsed.select("run_id", *S.FILE_KEY, "row_index", *resolve_fields("__m", alias_map, fold=fold, exclusive=exclusive))
     rows = rows.withColumn("annee_int", strict_int("annee"))
     lv = P.classify_level("rel_path", "region")
     staged = rows.where(F.col("annee_int").isNotNull()).select(
@@ -99,11 +84,11 @@ def stage_prices(
         parse_decimal("prix_ttc").alias("prix_ttc"),
         parse_decimal("indice").alias("indice"),
         P.file_type("rel_path").alias("file_type"),
-        F.col("rel_path").alias("source_file"),
+        F.when(F.col("archive") == "", F.col("rel_path")).otherwise(F.concat_ws("!/", *S.FILE_KEY)).alias("source_file"),
         "row_index",
         F.current_timestamp().alias("load_ts"),
     )
-    rejected = rows.where(F.col("annee_int").isNull()).select("rel_path", "row_index", "annee")
+    rejected = rows.where(F.col("annee_int").isNull()).select(*S.FILE_KEY, "row_index", "annee")
     return staged, rejected
 
 
@@ -137,7 +122,8 @@ def load_reference(raw: DataFrame, run_id: str, spec: RefSpec) -> DataFrame | No
     if name is None:
         raise ValueError(f"name column not found among {cols}")
     parent = first_col(cols, *spec.parent_cols) if spec.parent_cols else None
-    return R.clean_ref(wide, F.col(f"`{code}`"), F.col(f"`{name}`"), F.col(f"`{parent}`") if parent else None, order_by=None)
+    # Q15: one name per code, the first by file and row
+    return R.clean_ref(wide, F.col(f"`{code}`"), F.col(f"`{name}`"), F.col(f"`{parent}`") if parent else None, order_by=F.struct("rel_path", "row_index"))
 
 
 def silver_references(raw: DataFrame, run_id: str, compat: bool = False) -> dict[str, DataFrame | None]:
@@ -162,6 +148,8 @@ def _empty_dim(spark: SparkSession, extra: str = "") -> DataFrame:
 
 def geography(refs: dict[str, DataFrame | None], current: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """Three-level geography grown insert-only; a missing parent takes the first parent id (J9, flagged)."""
+    if not any(d is not None for d in refs.values()):
+        raise ValueError("no reference table was loaded")
     spark = next(d for d in refs.values() if d is not None).sparkSession
     current = current or {}
     out = {}
@@ -189,6 +177,8 @@ def trade_chain(staging: DataFrame, current: dict[str, DataFrame] | None = None)
     spark = staging.sparkSession
     current = current or {}
     out = {}
+    # all levels are built from the distinct chains, written once
+    staging = cut_lineage(staging.select("corps", "activite", "produit", "variete").distinct())
     out["metier"] = D.grow_dim(current.get("metier", _empty_dim(spark)), D.distinct_keys(staging, "corps", "name"), "name", "id")
     chain = [("corps", "corps", None, "metier"), ("activite", "activite", "corps", "corps"),
              ("produit", "produit", "activite", "activite"), ("variete", "variete", "produit", "produit")]
@@ -202,17 +192,18 @@ def trade_chain(staging: DataFrame, current: dict[str, DataFrame] | None = None)
 
 
 def gold_facts(staging: DataFrame, geo: dict[str, DataFrame], trade: dict[str, DataFrame], compat: bool = False,
-               target: DataFrame | None = None) -> DataFrame:
-    """The index fact (see :func:`pricelake.plans.index_facts.build_index_fact`) with ids."""
+               target: DataFrame | None = None, known: DataFrame | None = None) -> DataFrame:
+    """The index fact (see :func:`pricelake.plans.index_facts.build_index_fact`) with ids; natural keys of ``known`` (the
+    last version of the fact) keep theirs."""
     spark = staging.sparkSession
     provinces = geo["province"].select(
         F.col("nom").alias("nom_province_prefecture"), F.col("id").alias("id_province_prefecture"), F.col("id_parent").alias("id_region")
     )
     exclusions = spark.createDataFrame(
-        [(a, t) for a, t, _ in K.CITY_EXCLUSIONS], "agglomeration_raw string, id_province_prefecture long"
+        list(K.CITY_EXCLUSIONS), "agglomeration_raw string, id_province_prefecture long"
     )
     overrides = spark.createDataFrame(
-        [(a, n, c) for a, n, c, _ in K.CITY_OVERRIDES], "agglomeration_raw string, correct_province_name string, row_count int"
+        list(K.CITY_OVERRIDES), "agglomeration_raw string, correct_province_name string, row_count int"
     )
     tb = ["source_file", "row_index"]
     fact = build_index_fact(
@@ -220,16 +211,13 @@ def gold_facts(staging: DataFrame, geo: dict[str, DataFrame], trade: dict[str, D
         provinces, trade["produit"].select("name", "id"), trade["variete"].select("name", "id"),
         exclusions, overrides, target=target, tie_break=tb, compat=compat,
     )
-    return with_fact_ids(fact, tb).drop(*tb)
+    return with_fact_ids(fact, tb, known).drop(*tb)
 
 
 def load_weight_file(spark: SparkSession, root: str, name: str) -> DataFrame | None:
     """One weight file, schema from its header, names verbatim, every cell text (same dialect sniffing and
     parser as the landing). A missing or empty file gives ``None`` (a warning, not an error)."""
-    try:
-        files = S.scan_tree(spark, root, name).select("rel_path", "content")
-    except Exception:  # noqa: BLE001 - folder absent
-        return None
+    files = S.scan_tree(spark, root, name)
     rows = S.to_rows(S.sniff(files)).where(F.col("status") == "ok")
     wide = S.widen(rows.select("rel_path", "row_index", S.row_map("row_json").alias("row")))
     cols = [c for c in wide.columns if c not in ("rel_path", "row_index")]
@@ -262,7 +250,7 @@ def dropped_by_level(staging: DataFrame) -> DataFrame:
     literals and exclusion-table cities), counted per level and reason, in one aggregate."""
     city = upper_trim("agglomeration")
     excluded = F.lit(False)
-    for a, target, _ in K.CITY_EXCLUSIONS:
+    for a, target in K.CITY_EXCLUSIONS:
         if target is None:
             excluded = excluded | (city == F.lit(a))
     reason = (
@@ -291,49 +279,77 @@ def unresolved_references(staging: DataFrame, trade: dict[str, DataFrame]) -> Da
     return missing.groupBy("type_indice", "name").agg(F.count(F.lit(1)).cast("long").alias("n_rows"))
 
 
-def audit(tables: dict[str, DataFrame], fact: DataFrame, run_id: str) -> dict[str, DataFrame]:
-    """Reports of the run (A1, A4-A6, Q-2, Q-3, Q-5, Q-8)."""
+def audit(tables: dict[str, DataFrame], fact: DataFrame, run_id: str, staging: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Reports of the run: counts and health (A1, Q-2, Q-3, Q-8), match quality (A4-A6), keys and references (Q-1, Q-5),
+    profile and coverage of the fact (A7, A9, A10) and, with ``staging``, its rows that reach no fact (Q20, Q33)."""
     counts = Q.table_counts(tables)
-    return {
+    keys = [(fk, tables[k], "id", f"index.{fk}") for fk, k in (("id_region", "region"), ("id_province_prefecture", "province")) if k in tables]
+    levels = {"province": F.col("id_province_prefecture").isNotNull(), "region": F.col("id_province_prefecture").isNull() & F.col("id_region").isNotNull()}
+    out = {
         "counts": counts,
         "null_report": Q.null_report(fact, ["id_province_prefecture", "id_region"]),
         "match_quality": Q.share_of_total(fact, "match_quality"),
         "success": Q.match_report(fact, "id_region"),
         "key_duplicates": Q.key_duplicates(fact, ["annee", "type_indice", "id_reference", "id_province_prefecture", "id_region"]),
-        "health": Q.health_check(counts, ["region", "province", "index"], ["commune"]),
+        "health": Q.health_check(counts, ["region", "province", "index"], ["commune", "weights"]),
         "thresholds": Q.threshold_check(counts, {"region": K.MIN_ROWS["regions"], "province": K.MIN_ROWS["provinces"],
-                                                 "commune": K.MIN_ROWS["communes"], "index": K.MIN_ROWS["index"]}),
+                                                 "commune": K.MIN_ROWS["communes"], "index": K.MIN_ROWS["index"], "weights": K.MIN_ROWS["weights"]}),
         "snapshot": Q.run_snapshot(run_id, counts),
+        "profile_by_type": Q.profile_by(fact, "type_indice", "prix_moyen", "annee", "id_reference"),
+        "year_coverage": Q.year_coverage({k: tables[k] for k in ("index", "weights") if k in tables}, "annee"),
+        "level_coverage": Q.level_coverage(fact, levels, "id_reference"),
+        "sample": Q.ordered_sample(fact, [F.col("id_indice")], 10),
     }
+    if keys:
+        out["fk_orphans"] = Q.fk_orphans(fact, keys)
+    if {"region", "province"} <= tables.keys():
+        below = [("province", tables["province"], "id", "id_parent")]
+        below += [("commune", tables["commune"], "id", "id_parent")] if "commune" in tables else []
+        out["hierarchy_counts"] = Q.hierarchy_counts(tables["region"].select("id", "nom"), "id", below)
+    if staging is not None:
+        trade = {k: tables[k] for k in ("variete", "produit")}
+        out |= {"dropped_by_level": dropped_by_level(staging), "unresolved_references": unresolved_references(staging, trade)}
+    return out
 
 
 def run(spark: SparkSession, landing_root: str, out_root: str, run_id: str, ref_root: str | None = None,
-        compat: bool = False, weights_root: str | None = None) -> dict[str, DataFrame]:
-    """Whole plan; writes raw rows (per run), staging (per run) and versioned gold tables under ``out_root``."""
+        compat: bool = False, weights_root: str | None = None, drops: str = "newest") -> dict[str, DataFrame]:
+    """Whole plan; writes raw rows (per run and dataset), staging (per run) and versioned gold tables under ``out_root``.
+
+    A run without a valid price row, or with an empty reference, is an error; rows that the parser or the mandatory year
+    left out are written per file and reason."""
     out = out_root.rstrip("/")
-    manifest, raw, summary = land(spark, landing_root, run_id, ref_root, compat)
+    manifest, raw, parsed = land(spark, landing_root, run_id, ref_root, compat, drops)
     SK.append_run(manifest.drop("run_id"), f"{out}/raw_files", run_id)
-    SK.append_run(raw.drop("run_id"), f"{out}/raw_rows", run_id)
+    SK.append_run(raw.drop("run_id"), f"{out}/raw_rows", run_id, by=["dataset"])
     raw_t = spark.read.parquet(f"{out}/raw_rows")
-    staged, _rejected = stage_prices(raw_t.where(F.col("run_id") == run_id))
+    staged, rejected = stage_prices(raw_t.where(F.col("run_id") == run_id))
+    no_year = rejected.groupBy(*S.FILE_KEY).agg(F.count(F.lit(1)).cast("long").alias("n_rows")).withColumn("reason", F.lit("no valid year"))
+    SK.append_run(S.skipped_rows(parsed).unionByName(no_year), f"{out}/skipped_rows", run_id)
     SK.append_run(staged, f"{out}/staging_prices", run_id)
-    staging = spark.read.parquet(f"{out}/staging_prices").where(F.col("run_id") == run_id)
+    staging = spark.read.schema(staged.schema.add("run_id", "string")).parquet(f"{out}/staging_prices").where(F.col("run_id") == run_id)
+    if staging.isEmpty():
+        raise ValueError(f"run {run_id}: no valid price row")
     refs = silver_references(raw_t, run_id, compat)
     for k, v in refs.items():
         if v is not None:
             SK.replace_table(v, f"{out}/ref_{k}")
     refs = {k: (spark.read.parquet(f"{out}/ref_{k}") if v is not None else None) for k, v in refs.items()}
+    loaded = {k: v for k, v in refs.items() if v is not None}
+    if not loaded:
+        raise ValueError("no reference table was loaded")
+    Q.require_rows(Q.table_counts(loaded), list(loaded))
     geo = geography(refs, {k: d for k in ("region", "province", "commune") if (d := SK.read_latest(spark, f"{out}/dim_{k}")) is not None})
+    if "province" not in geo:
+        raise ValueError("the fact needs the province reference")
     trade = trade_chain(staging, {k: d for k in ("metier", "corps", "activite", "produit", "variete") if (d := SK.read_latest(spark, f"{out}/dim_{k}")) is not None})
     for k, v in {**geo, **trade}.items():
         SK.write_version(v, f"{out}/dim_{k}")
     geo = {k: SK.read_latest(spark, f"{out}/dim_{k}") for k in geo}
     trade = {k: SK.read_latest(spark, f"{out}/dim_{k}") for k in trade}
-    fact = gold_facts(staging, geo, trade, compat)
-    SK.write_version(fact, f"{out}/fact_indice")
+    SK.write_version(gold_facts(staging, geo, trade, compat, known=SK.read_latest(spark, f"{out}/fact_indice")), f"{out}/fact_indice")
     fact = SK.read_latest(spark, f"{out}/fact_indice")
-    tables = {"raw_rows": raw_t.where(F.col("run_id") == run_id), "staging": staging, **{k: v for k, v in geo.items()},
-              **{k: v for k, v in trade.items()}, "index": fact}
+    tables = {"raw_rows": raw_t.where(F.col("run_id") == run_id), "staging": staging, **geo, **trade, "index": fact}
     if weights_root:
         verbatim = silver_weights(spark, weights_root)
         for k, v in verbatim.items():
@@ -344,10 +360,9 @@ def run(spark: SparkSession, landing_root: str, out_root: str, run_id: str, ref_
         if wf is not None:
             SK.write_version(wf, f"{out}/fact_ponderation")
             tables["weights"] = SK.read_latest(spark, f"{out}/fact_ponderation")
-    reports = audit(tables, fact, run_id)
-    reports["load_summary"] = summary
-    reports["dropped_by_level"] = dropped_by_level(staging)
-    reports["unresolved_references"] = unresolved_references(staging, trade)
+    reports = audit(tables, fact, run_id, staging)
+    reports["load_summary"] = S.load_summary(parsed)
+    reports["skipped_rows"] = spark.read.parquet(f"{out}/skipped_rows").where(F.col("run_id") == run_id)
     SK.write_report(reports["snapshot"], f"{out}/reports/dq", run_id)
     extra = {"fact_weights": tables["weights"]} if "weights" in tables else {}
     return {"fact": fact, **extra, **{f"dim_{k}": v for k, v in {**geo, **trade}.items()}, **reports}

@@ -26,6 +26,7 @@ from pricelake.operators import refs as R
 from pricelake.operators import resolve as RS
 from pricelake.operators import weights as W
 from pricelake.plans.tables import TABLES, Tables
+from pricelake.sources import files as FS
 
 Probe = Callable[[SparkSession, str], DataFrame]
 PROBES: dict[str, Probe] = {}
@@ -96,8 +97,7 @@ WITH existing AS (
   FROM (SELECT DISTINCT upper(trim(split_part(p_name, ' ', 1))) AS name FROM part
         WHERE trim(split_part(p_name, ' ', 1)) <> '')
 ), cand AS (
-  SELECT DISTINCT upper(trim(split_part(p_name, ' ', 2))) AS name FROM part
-  WHERE trim(split_part(p_name, ' ', 2)) <> ''
+  SELECT DISTINCT upper(w) AS name FROM (SELECT unnest(string_split(p_name, ' ')[2:]) AS w FROM part) WHERE trim(w) <> ''
 ), fresh AS (
   SELECT name FROM cand WHERE name NOT IN (SELECT name FROM existing)
 )
@@ -109,11 +109,12 @@ SELECT CAST((SELECT coalesce(max(id), 0) FROM existing) + row_number() OVER (ORD
 
 @probe("dim_new_rows", _WORD_DIM_SQL)
 def dim_new_rows(spark, sf):
-    """A word dimension holding the first words of part names grows with the second words."""
+    """A word dimension holding the first words of part names grows with all the others."""
     part = Tables(spark, sf).part
     first = D.distinct_keys(part, F.split_part(F.col("p_name"), F.lit(" "), F.lit(1)), "name")
     existing = D.assign_ids(first, "name", "id")
-    cand = D.distinct_keys(part, F.split_part(F.col("p_name"), F.lit(" "), F.lit(2)), "name")
+    words = part.select(F.explode(F.slice(F.split("p_name", " "), 2, F.greatest(F.size(F.split("p_name", " ")), F.lit(1)))).alias("w"))
+    cand = D.distinct_keys(words, "w", "name")
     return D.grow_dim(existing, cand, "name", "id").select("id", "name")
 
 
@@ -379,12 +380,13 @@ def reject_rows(spark, sf):
         .when(F.col("event_type") == "signup", F.concat(F.lit("y"), k))
         .otherwise(k)
     )
-    parsed = e.select(X.strict_int(s).alias("annee"))
-    return parsed.agg(
+    accepted, rejected, _ = RS.require_int(e.select(s.alias("year")), "year", "annee")
+    both = accepted.select("annee", F.lit(1).alias("ok")).unionByName(rejected.select("annee", F.lit(0).alias("ok")))
+    return both.agg(
         F.count(F.lit(1)).cast("long").alias("processed"),
-        F.count("annee").cast("long").alias("accepted"),
-        F.count_if(F.col("annee").isNull()).cast("long").alias("skipped"),
-        F.sum("annee").cast("long").alias("sum_accepted"),
+        F.sum("ok").cast("long").alias("accepted"),
+        F.sum(1 - F.col("ok")).cast("long").alias("skipped"),
+        F.sum(F.when(F.col("ok") == 1, F.col("annee"))).cast("long").alias("sum_accepted"),
     )
 
 
@@ -405,10 +407,58 @@ def row_json(spark, sf):
     m = F.map_concat(F.from_json("props", "map<string,string>"), F.create_map(F.lit("event_type"), F.col("event_type")))
     rows = e.select("event_id", "user_id", "ts", F.to_json(m).alias("row_json"))
     # per-user numbering that never puts one user's rows into one task (a user may hold a third of the events)
-    numbered = D.number_rows(rows, ["ts", "event_id"], ["user_id"], "row_index", small_rows=0)
+    numbered = D.number_rows(rows, ["ts", "event_id"], ["user_id"], "row_index")
     return numbered.select("event_id", "user_id", F.col("row_index").cast("int").alias("row_index"), "row_json")
 
 
+_CSV_SQL = r"""
+SELECT c_custkey,
+  CASE c_mktsegment
+    WHEN 'AUTOMOBILE' THEN concat('Clé;Nom;Nation;Solde', chr(10), c_custkey, ';', c_name, ';', c_nationkey, ';', CAST(c_acctbal AS DECIMAL(18,2)), chr(10))
+    WHEN 'BUILDING' THEN concat('"Clé","Nom","Nation","Solde"', chr(13), chr(10), '"', c_custkey, '","', c_name, ' ""x"",', chr(10), 'y","', c_nationkey, '","', CAST(c_acctbal AS DECIMAL(18,2)), '"', chr(13), chr(10))
+    WHEN 'FURNITURE' THEN concat(chr(10), 'nation', chr(9), 'solde', chr(9), 'nom', chr(9), 'clé', chr(10), c_nationkey, chr(9), CAST(c_acctbal AS DECIMAL(18,2)), chr(9), c_name, chr(9), c_custkey)
+    WHEN 'HOUSEHOLD' THEN concat('CLÉ|NOM|NATION|SOLDE', chr(10), 'too|long|a|row|!', chr(10), c_custkey, '|', c_name, '|', c_nationkey, '|', CAST(c_acctbal AS DECIMAL(18,2)), chr(10))
+    ELSE concat('Nom ;Nation;Clé', chr(10), c_name, ';', c_nationkey, ';', c_custkey, chr(10), chr(10)) END AS content
+FROM customer
+"""
+
+
+def _customer_files(spark, sf) -> DataFrame:
+    """Every customer as a small CSV file of its own; separator, quoting, line ends and header differ by segment."""
+    key, name, nation = (F.col(c).cast("string") for c in ("c_custkey", "c_name", "c_nationkey"))
+    money = F.col("c_acctbal").cast("decimal(18,2)").cast("string")
+    seg = F.col("c_mktsegment")
+    text = (
+        F.when(seg == "AUTOMOBILE", F.concat(F.lit("Clé;Nom;Nation;Solde\n"), F.concat_ws(";", key, name, nation, money), F.lit("\n")))
+        .when(seg == "BUILDING", F.concat(F.lit('"Clé","Nom","Nation","Solde"\r\n"'), F.concat_ws('","', key, F.concat(name, F.lit(' ""x"",\ny')), nation, money), F.lit('"\r\n')))
+        .when(seg == "FURNITURE", F.concat(F.lit("\nnation\tsolde\tnom\tclé\n"), F.concat_ws("\t", nation, money, name, key)))
+        .when(seg == "HOUSEHOLD", F.concat(F.lit("CLÉ|NOM|NATION|SOLDE\ntoo|long|a|row|!\n"), F.concat_ws("|", key, name, nation, money), F.lit("\n")))
+        .otherwise(F.concat(F.lit("Nom ;Nation;Clé\n"), F.concat_ws(";", name, nation, key), F.lit("\n\n")))
+    )
+    rel = F.concat(F.lit("x/"), F.col("c_custkey").cast("string"), F.lit("_T1.csv"))
+    return Tables(spark, sf).customer.select(seg.alias("archive"), rel.alias("rel_path"), F.encode(text, "UTF-8").alias("content"))
+
+
+@probe(
+    "csv_rows",
+    """
+SELECT c_mktsegment AS archive, CAST(c_custkey AS VARCHAR) AS key,
+  CASE WHEN c_mktsegment = 'BUILDING' THEN concat(c_name, ' "x",', chr(10), 'y') ELSE c_name END AS name,
+  CAST(c_nationkey AS VARCHAR) AS nation,
+  CASE WHEN c_mktsegment NOT IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD') THEN '' ELSE CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) END AS balance,
+  CAST(1 AS INTEGER) AS row_index
+FROM customer
+""",
+)
+def csv_rows(spark, sf):
+    """Sniff, parse and tolerant look-up of every customer's CSV file: separators, quotes, doubled quotes, a
+    line break in a cell, a rejected row, blank lines, other column orders and a missing column."""
+    rows = FS.to_rows(FS.sniff(_customer_files(spark, sf))).where("status = 'ok'")
+    rows = rows.select("archive", "row_index", FS.row_map("row_json").alias("m"))
+    fields = {"key": ["cle", "clé"], "name": ["nom"], "nation": ["nation"], "balance": ["solde"]}
+    return rows.select("archive", *[RS.resolve_field("m", v).alias(k) for k, v in fields.items()], "row_index")
+
+
 @probe(
     "resolve_field",
     r"""
@@ -567,6 +617,51 @@ def upsert_merge(spark, sf):
     return FA.upsert(a, b, ["o_custkey", "status"], ["amount", "n_orders"])
 
 
+_FACT_IDS_SQL = """
+WITH nat AS (
+  SELECT CAST(EXTRACT(year FROM l_shipdate) AS INTEGER) AS annee, 'T1' AS type_indice, CAST(l_partkey AS BIGINT) AS id_reference,
+         CAST(l_suppkey AS BIGINT) AS id_province_prefecture, CAST(NULL AS BIGINT) AS id_region,
+         CAST(max(l_extendedprice) AS DECIMAL(18,6)) AS prix_moyen, CAST(max(l_quantity) AS DECIMAL(18,6)) AS valeur_indice, 'X' AS match_quality,
+         CAST(NULL AS VARCHAR) AS agglomeration_raw
+  FROM lineitem GROUP BY 1, 3, 4
+), old AS (
+  SELECT *, row_number() OVER (ORDER BY annee, id_reference, id_province_prefecture) AS id_indice FROM nat WHERE annee <= 1995
+), fresh AS (
+  SELECT annee, id_reference, id_province_prefecture, prix_moyen + 1 AS prix_moyen FROM nat WHERE annee >= 1995
+), merged AS (
+  SELECT coalesce(f.annee, o.annee) AS annee, coalesce(f.id_reference, o.id_reference) AS id_reference,
+         coalesce(f.id_province_prefecture, o.id_province_prefecture) AS id_province_prefecture,
+         coalesce(f.prix_moyen, o.prix_moyen) AS prix_moyen, o.id_indice
+  FROM old o FULL JOIN fresh f ON o.annee = f.annee AND o.id_reference = f.id_reference AND o.id_province_prefecture = f.id_province_prefecture
+)
+SELECT annee, id_reference, id_province_prefecture, CAST(prix_moyen AS DOUBLE) AS prix_moyen,
+       CAST(coalesce(id_indice, (SELECT max(id_indice) FROM old)
+         + row_number() OVER (PARTITION BY id_indice IS NULL ORDER BY annee, id_reference, id_province_prefecture)) AS BIGINT) AS id_indice
+FROM merged
+"""
+
+
+@probe("fact_upsert", _FACT_IDS_SQL)
+def fact_upsert(spark, sf):
+    """The facts from 1995 on are upserted into an earlier version (up to 1995); known natural keys keep their ids,
+    new ones are numbered from the greatest on. The region key is NULL throughout: keys match null-safely."""
+    from pricelake.plans import index_facts as IF
+
+    nat = (
+        Tables(spark, sf).lineitem.groupBy(
+            F.year("l_shipdate").cast("int").alias("annee"), F.lit("T1").alias("type_indice"), F.col("l_partkey").cast("long").alias("id_reference"),
+            F.col("l_suppkey").cast("long").alias("id_province_prefecture"), F.lit(None).cast("long").alias("id_region"),
+        )
+        .agg(F.max("l_extendedprice").cast("decimal(18,6)").alias("prix_moyen"), F.max("l_quantity").cast("decimal(18,6)").alias("valeur_indice"))
+        .withColumn("match_quality", F.lit("X")).withColumn("agglomeration_raw", F.lit(None).cast("string"))
+    )
+    old = IF.with_fact_ids(nat.where("annee <= 1995"))
+    fresh = nat.where("annee >= 1995").withColumn("prix_moyen", (F.col("prix_moyen") + 1).cast("decimal(18,6)"))
+    merged = FA.upsert(old.drop("id_indice"), fresh, IF.NATURAL_KEY, IF.UPDATE_COLS)
+    out = IF.with_fact_ids(merged, known=old)
+    return out.select("annee", "id_reference", "id_province_prefecture", F.col("prix_moyen").cast("double").alias("prix_moyen"), "id_indice")
+
+
 # ---- overrides on unmatched cities (J7, U3, Q-10) and the reports over the result
 _OVR_BASE_SQL = """
 WITH f AS (
@@ -795,14 +890,10 @@ GROUP BY r.r_name ORDER BY r.r_name DESC LIMIT 10
 """,
 )
 def hierarchy_counts(spark, sf):
-    """Chain of left joins down the hierarchy, distinct members per level bottom-up, TOP 10 by name."""
+    """Members per level below each root, each level counted at its own table, TOP 10 by name."""
     t = Tables(spark, sf)
-    h = (
-        t.region.select("r_regionkey", "r_name")
-        .join(t.nation.select(F.col("n_regionkey").alias("r_regionkey"), F.col("n_nationkey").alias("nation")), "r_regionkey", "left")
-        .join(t.customer.select(F.col("c_nationkey").alias("nation"), F.col("c_custkey").alias("customer")), "nation", "left")
-    )
-    counts = Q.hierarchy_counts(h, "r_name", ["nation", "customer"])
+    levels = [("nation", t.nation, "n_nationkey", "n_regionkey"), ("customer", t.customer, "c_custkey", "c_nationkey")]
+    counts = Q.hierarchy_counts(t.region.select("r_regionkey", "r_name"), "r_regionkey", levels).drop("r_regionkey")
     return Q.ordered_sample(counts, [F.col("r_name").desc()], 10)
 
 
@@ -824,15 +915,10 @@ FROM lineitem
 """,
 )
 def fk_orphans(spark, sf):
+    """Q-1: three foreign keys of one table, totals and NULLs in one scan."""
     t = Tables(spark, sf)
-    li = t.lineitem
-    parts = [
-        Q.fk_orphans(li.select("l_orderkey"), "l_orderkey", t.orders, "o_orderkey", "lineitem.l_orderkey"),
-        Q.fk_orphans(li.select("l_partkey"), "l_partkey", t.part, "p_partkey", "lineitem.l_partkey"),
-        Q.fk_orphans(li.select("l_suppkey"), "l_suppkey", t.supplier, "s_suppkey", "lineitem.l_suppkey"),
-    ]
-    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return out.select("check_name", "total_rows", "null_fk", "orphans")
+    keys = [("l_orderkey", t.orders, "o_orderkey"), ("l_partkey", t.part, "p_partkey"), ("l_suppkey", t.supplier, "s_suppkey")]
+    return Q.fk_orphans(t.lineitem, [(fk, parent, pk, f"lineitem.{fk}") for fk, parent, pk in keys]).drop("status")
 
 
 @probe(
@@ -846,7 +932,7 @@ FROM orders
 )
 def fk_verdict(spark, sf):
     t = Tables(spark, sf)
-    return Q.fk_orphans(t.orders.select("o_custkey"), "o_custkey", t.customer, "c_custkey", "orders.o_custkey").select("check_name", "status")
+    return Q.fk_orphans(t.orders, [("o_custkey", t.customer, "c_custkey", "orders.o_custkey")]).select("check_name", "status")
 
 
 @probe(
@@ -979,22 +1065,6 @@ def run_snapshot(spark, sf):
     return snap.select("run_id", F.to_json(sorted_map).alias("counts_json"))
 
 
-@probe(
-    "column_list",
-    "SELECT table_name, CAST(count(*) AS BIGINT) AS column_count, string_agg(column_name, ', ' ORDER BY column_name) AS columns\n"
-    "FROM information_schema.columns WHERE table_name IN ("
-    + ", ".join(f"'{n}'" for n in TABLES)
-    + ") GROUP BY table_name",
-)
-def column_list(spark, sf):
-    t = Tables(spark, sf)
-    out = None
-    for n in TABLES:
-        part = Q.column_list(getattr(t, n), n)
-        out = part if out is None else out.unionByName(part)
-    return out.select("table_name", "column_count", "columns")
-
-
 @probe(
     "column_profile",
     """
@@ -1134,21 +1204,15 @@ def classify_path(spark, sf):
 # =============================================================================================== manifests and runs
 @probe(
     "manifest",
-    """
-SELECT source AS rel_path, CAST(count(*) AS BIGINT) AS row_count, CAST(sum(n_chars) AS BIGINT) AS total_chars,
-       CAST(count(DISTINCT md5(text)) AS BIGINT) AS distinct_texts, min(md5(text)) AS min_md5
-FROM documents GROUP BY source
+    "WITH f AS (" + _CSV_SQL + """)
+SELECT 'manual_1' AS run_id, c.c_mktsegment AS archive, concat('x/', c.c_custkey, '_T1.csv') AS rel_path, 'prix_indices' AS dataset,
+       CAST(1 AS INTEGER) AS row_count, md5(f.content) AS md5_hash
+FROM f JOIN customer c USING (c_custkey)
 """,
 )
 def manifest(spark, sf):
-    """S6/F14 on documents grouped by source: rows, characters, distinct content hashes (copies collapse)."""
-    d = Tables(spark, sf).documents.select("source", "n_chars", F.md5("text").alias("h"))
-    return d.groupBy(F.col("source").alias("rel_path")).agg(
-        F.count(F.lit(1)).cast("long").alias("row_count"),
-        F.sum("n_chars").cast("long").alias("total_chars"),
-        F.count_distinct("h").cast("long").alias("distinct_texts"),
-        F.min("h").alias("min_md5"),
-    )
+    """The manifest of the customers' CSV files, each parsed once (key, dataset, data rows, MD5 of the bytes)."""
+    return FS.manifest(FS.to_rows(FS.sniff(_customer_files(spark, sf))), "Manual:1").drop("load_ts")
 
 
 @probe(
@@ -1166,7 +1230,7 @@ def latest_run(spark, sf):
     runs = d.groupBy("source").agg(F.max("doc_id").alias("load_ts")).select(
         X.normalize_run_id(F.concat(F.lit("Run:"), F.col("source"))).alias("run_id"), "load_ts"
     )
-    return runs.agg(F.max_by("run_id", F.struct("load_ts", "run_id")).alias("run_id"))
+    return FS.latest_run(runs)
 
 
 # =============================================================================================== ordered samples
@@ -1181,9 +1245,8 @@ ORDER BY l.l_extendedprice DESC, l.l_orderkey, l.l_linenumber LIMIT 10
 def fact_sample(spark, sf):
     t = Tables(spark, sf)
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice", "l_partkey", "l_suppkey")
-    top = Q.ordered_sample(li, [F.col("l_extendedprice").desc(), F.col("l_orderkey"), F.col("l_linenumber")], 10)
-    top = top.join(t.part.select(F.col("p_partkey").alias("l_partkey"), "p_name"), "l_partkey", "left")
-    top = top.join(t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_name"), "l_suppkey", "left")
+    order = [F.col("l_extendedprice").desc(), F.col("l_orderkey"), F.col("l_linenumber")]
+    top = Q.sample_with(li, order, [(t.part, "p_partkey", "l_partkey", ["p_name"]), (t.supplier, "s_suppkey", "l_suppkey", ["s_name"])])
     return top.select("l_orderkey", "l_linenumber", "l_extendedprice", "p_name", "s_name")
 
 
@@ -1242,14 +1305,14 @@ def weights_long(spark, sf):
         .join(t.part.select(F.col("p_partkey").alias("l_partkey"), X.upper_trim("p_brand").alias("variete")), "l_partkey")
         .join(geo, "l_suppkey")
     )
-    nat = base.groupBy("variete", "annee").agg(F.sum("l_quantity").alias("v")).select(
-        F.lit("NATIONAL").alias("niveau"), F.lit("MAROC").alias("lieu"), "variete", "annee", "v"
-    )
-    reg = base.groupBy("region", "variete", "annee").agg(F.sum("l_quantity").alias("v")).select(
-        F.lit("REGION").alias("niveau"), F.col("region").alias("lieu"), "variete", "annee", "v"
-    )
-    out = W.shares(nat.unionByName(reg), ["niveau", "lieu", "annee"], "v")
-    return out.select("niveau", "lieu", "variete", "annee", F.round("poids", 6).alias("poids"))
+    # a verbatim weight table, all text: place columns of both levels (a national row names its place as a city)
+    weight = F.sum("l_quantity").cast("decimal(18,2)").cast("string").alias("Poids")
+    nat = base.groupBy("variete", "annee").agg(weight).select(F.lit("MAROC").alias("Ville"), F.lit("").alias("Région"), "*")
+    reg = base.groupBy("region", "variete", "annee").agg(weight).select(F.lit(" ").alias("Ville"), F.col("region").alias("Région"), "variete", "annee", "Poids")
+    verbatim = nat.unionByName(reg).withColumnRenamed("variete", "Variété").withColumn("Année", F.concat(F.col("annee"), F.lit(" "))).drop("annee")
+    out = W.shares(W.stage_weight_table(verbatim), ["niveau", "lieu", "annee"], "poids", "share")
+    level = F.when(F.col("niveau") == K.LEVEL_CITY, F.lit("NATIONAL")).otherwise(F.col("niveau"))
+    return out.select(level.alias("niveau"), "lieu", "variete", "annee", F.round(F.col("share").cast("double"), 6).alias("poids"))
 
 
 def _register_flagship():

@@ -1,4 +1,4 @@
-"""Session helpers: a tuned local session for tests, the shared checkpoint folder, size-checked broadcast."""
+"""Session helpers: a tuned local session for tests, the shared checkpoint folder, spreading of small inputs."""
 
 from __future__ import annotations
 
@@ -6,10 +6,6 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Rows under which a dimension-like side may be broadcast. Broadcast is only ever applied after counting the side.
-BROADCAST_MAX_ROWS = 2_000_000
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "pricelake") -> SparkSession:
@@ -36,14 +32,16 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the platform sets it to shared storage and it is used as is. Only when it is unset (local tests)
-    a scratch folder is created and registered.
+    On a cluster the platform sets it to shared storage and it is used as is; a cluster without it is an error. Only a
+    session whose executors are threads of the driver (``local``, as in tests) gets a scratch folder.
     """
     conf = spark.sparkContext.getConf()
     current = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("spark.checkpoint.dir must name a folder on shared storage")
     path = tempfile.mkdtemp(prefix="pricelake-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
@@ -56,38 +54,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def bounded_rows(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows. Counts at most ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only behind a size check; a larger side is left to the planner (shuffle join)."""
-    return F.broadcast(df) if bounded_rows(df, max_rows) else df
-
-
-def input_bytes(df: DataFrame) -> int:
-    """Total size of the files behind ``df`` (file-system metadata only)."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm  # noqa: SLF001
-    conf = spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
-    total = 0
-    for f in df.inputFiles():
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        total += p.getFileSystem(conf).getFileStatus(p).getLen()
-    return total
-
-
-def spread(df: DataFrame, *keys: str, min_bytes: int = 4 << 20) -> DataFrame:
-    """Give CPU-heavy row work all cores when the input has fewer splits than the cluster has task slots (a small
-    file with one row group is read by one task). Hash-partitions by ``keys`` (deterministic on retry), or
-    round-robin without keys. On a large input (at least as many splits as slots) it is a no-op, so it never adds
-    a shuffle at scale; inputs under ``min_bytes`` are left alone too."""
-    spark = df.sparkSession
-    try:
-        slots = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= slots or input_bytes(df) < min_bytes:
-            return df
-    except Exception:  # noqa: BLE001 - no split metadata available (e.g. a remote session): leave the plan alone
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """For CPU-heavy row work on an input with fewer splits than task slots (a file with one row group is read by one
+    task): hash-partitions it by ``keys`` (deterministic on retry), or round-robin. An input of as many splits as slots
+    stays as it is, so this adds no shuffle at scale; results never depend on it."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
         return df
     return df.repartition(slots, *keys) if keys else df.repartition(slots)

@@ -1,16 +1,20 @@
-"""Landing of CSV trees and archives.
+"""Landing of CSV trees and archives.
 
-Files are read with the ``binaryFile`` source: one record per file, so every later step is a distributed job
-over files. Encoding and separator are decided per file by Spark expressions; the parse of one file into row
-objects is a small Arrow-batched helper (``mapInPandas``), because headers differ from file to file.
+Files are read with the ``binaryFile`` source: one record per file, so every later step is a distributed job over files
+(Spark refuses a file of more than 2 GB instead of cutting it). Encoding and separator are decided per file by Spark
+expressions over all its bytes; the parse of one file into row objects is a small Arrow-batched helper, because headers
+differ from file to file. One parser serves every size. A file's key is (archive, rel_path): members of different
+archives may have equal paths.
 """
 
 from __future__ import annotations
 
 import csv
+import hashlib
 import io
 import json
 import re
+import sys
 import zipfile
 from collections.abc import Iterator, Sequence
 
@@ -22,12 +26,13 @@ from pricelake import constants as K
 from pricelake.functions.text import normalize_header, normalize_run_id
 from pricelake.operators.paths import dataset_class
 
-FILES_SCHEMA = "path string, rel_path string, modificationTime timestamp, length long, content binary"
-ROWS_SCHEMA = "rel_path string, row_index int, row_json string"
-PARSE_SCHEMA = "rel_path string, row_index int, row_json string, status string"
+FILE_KEY = ["archive", "rel_path"]
+PARSE_SCHEMA = "archive string, rel_path string, row_index int, row_json string, status string"
+#: rows of a file handed over at a time
+BATCH_ROWS = 5_000
 
-# cp1252 leaves these five bytes undefined; a file containing one can only be latin-1
-_CP1252_HOLES = ("81", "8D", "8F", "90", "9D")
+# bytes that cp1252 leaves undefined; a file containing one can only be latin-1
+_CP1252_HOLES = r"[\x{81}\x{8D}\x{8F}\x{90}\x{9D}]"
 
 
 def _strip_scheme(p: Column) -> Column:
@@ -41,17 +46,17 @@ def scan_tree(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
     root_norm = re.sub(r"^[a-zA-Z][a-zA-Z0-9+.\-]*:(//[^/]*)?", "", root).rstrip("/")
     bare = _strip_scheme(F.col("path"))
     rel = F.when(bare.startswith(root_norm + "/"), F.substring(bare, len(root_norm) + 2, 1 << 30)).otherwise(bare)
-    return df.withColumn("rel_path", rel).select("path", "rel_path", "modificationTime", "length", "content")
+    return df.select("path", F.lit("").alias("archive"), rel.alias("rel_path"), "modificationTime", "length", "content")
 
 
 def explode_archives(archives: DataFrame) -> DataFrame:
-    """Each ZIP record becomes one row per member (rel_path, content). One archive per record, so archives
-    are spread over tasks; members stay bytes until parsed."""
+    """Each ZIP record becomes one row per member: archive (the ZIP's ``rel_path``), rel_path, length, content. One
+    archive per record, so archives are spread over tasks; members stay bytes until parsed."""
 
     def fan_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cols = ["archive", "rel_path", "length", "content"]
         for pdf in batches:
-            for archive, blob in zip(pdf["path"], pdf["content"]):
+            for archive, blob in zip(pdf["rel_path"], pdf["content"]):
                 with zipfile.ZipFile(io.BytesIO(blob)) as z:
                     for info in z.infolist():
                         if info.is_dir():
@@ -61,57 +66,55 @@ def explode_archives(archives: DataFrame) -> DataFrame:
                         # one member per output batch: memory holds one archive and one member at a time
                         yield pd.DataFrame([(archive, name, len(data), data)], columns=cols)
 
-    return archives.select("path", "content").mapInPandas(
+    return archives.select("rel_path", "content").mapInPandas(
         fan_out, "archive string, rel_path string, length long, content binary"
     )
 
 
-def latest_drop(spark: SparkSession, folders: Sequence[str], glob: str = "*.zip") -> DataFrame:
+def _exists(spark: SparkSession, folder: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)  # noqa: SLF001
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)  # noqa: SLF001
+
+
+def latest_drop(spark: SparkSession, folders: Sequence[str], glob: str = "*.zip", recursive: bool = False) -> DataFrame:
     """S3 (batch): the lexicographically last full path among the drops of all folders (one row); raise when
-    there is none. Only paths are read, never contents."""
+    there is none. A folder that doesn't exist holds no drop; any other error is raised. Only paths are read."""
     paths = None
     for f in folders:
-        try:
-            d = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(f).select("path")
-        except Exception:  # noqa: BLE001 - a missing folder holds no drop
+        if not _exists(spark, f):
             continue
+        found = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", str(recursive).lower())
+        d = found.load(f).select("path")
         paths = d if paths is None else paths.unionByName(d)
-    if paths is None:
-        raise FileNotFoundError(f"no {glob} under {', '.join(folders)}")
-    out = paths.agg(F.max("path").alias("path"))
-    if out.first()["path"] is None:
+    newest = None if paths is None else paths.agg(F.max("path").alias("path"))
+    if newest is None or newest.first()["path"] is None:
         raise FileNotFoundError(f"no {glob} under {', '.join(folders)}")
-    return out
+    return newest
 
 
 def sniff(files: DataFrame, separators: Sequence[str] = K.CSV_SEPARATORS) -> DataFrame:
-    """S4 as Spark expressions per file: ``charset`` (utf-8 if the bytes are valid UTF-8, else cp1252 unless a
-    byte undefined in cp1252 occurs, else latin-1; a BOM is noted) and ``sep``: the first separator, in list
+    """S4 as Spark expressions per file, over all its bytes: ``charset`` (utf-8 if the bytes are valid UTF-8, else cp1252
+    unless a byte undefined in cp1252 occurs, else latin-1; a BOM is noted) and ``sep``: the first separator, in list
     order, that splits the header into more than one field and gives the first data line the same field count
-    (Q1 fix), else the first separator found in the header, else ``;``."""
+    (Q1 fix), else the first separator found in the header, else ``;``. Separators inside quotes don't count."""
     text = F.col("content").cast("string")
-    valid = F.is_valid_utf8(text)
-    hexed = F.hex(F.substring(F.col("content"), 1, 1 << 20))
-    holes = F.lit(False)
-    for h in _CP1252_HOLES:
-        holes = holes | F.regexp_like(hexed, F.lit(f"^(..)*{h}"))
-    charset = F.when(valid, F.lit("utf-8")).when(~holes, F.lit("cp1252")).otherwise(F.lit("latin1"))
+    holes = F.decode(F.col("content"), "ISO-8859-1").rlike(_CP1252_HOLES)
+    charset = F.when(F.is_valid_utf8(text), F.lit("utf-8")).when(holes, F.lit("latin1")).otherwise(F.lit("cp1252"))
     bom = F.substring(F.col("content"), 1, 3) == F.unhex(F.lit("EFBBBF"))
-    head = F.substring(text, 1, 65536)
-    lines = F.filter(F.split(head, r"\r?\n"), lambda x: F.length(F.trim(x)) > 0)
-    header, first = F.get(lines, 0), F.get(lines, 1)
+    # the first two lines that aren't blank
+    two = r"\A(?:[ \t]*(?:\r?\n|\r))*([^\r\n]+)(?:(?:\r?\n|\r)[ \t]*)*([^\r\n]*)"
+    bare = F.regexp_replace(text, r'"(?:[^"]|"")*+"', '""')
+    header, first = F.regexp_extract(bare, two, 1), F.regexp_extract(bare, two, 2)
 
     def n_fields(line: Column, sep: str) -> Column:
         return F.size(F.split(line, re.escape(sep), -1))
 
-    consistent = None
-    any_sep = None
-    for s in separators:
-        ok = (n_fields(header, s) > 1) & (first.isNull() | (n_fields(first, s) == n_fields(header, s)))
-        consistent = F.when(ok, F.lit(s)) if consistent is None else consistent.when(ok, F.lit(s))
+    consistent = any_sep = F.lit(None).cast("string")
+    for s in reversed(separators):
         found = n_fields(header, s) > 1
-        any_sep = F.when(found, F.lit(s)) if any_sep is None else any_sep.when(found, F.lit(s))
-    sep = F.coalesce(consistent.otherwise(F.lit(None)), any_sep.otherwise(F.lit(None)), F.lit(separators[0]))
+        any_sep = F.when(found, F.lit(s)).otherwise(any_sep)
+        consistent = F.when(found & ((first == "") | (n_fields(first, s) == n_fields(header, s))), F.lit(s)).otherwise(consistent)
+    sep = F.coalesce(consistent, any_sep, F.lit(separators[0]))
     return files.withColumn("charset", charset).withColumn("has_bom", F.coalesce(bom, F.lit(False))).withColumn("sep", sep)
 
 
@@ -138,24 +141,19 @@ def _decode(blob: bytes, charset: str) -> str:
     return blob.decode(charset)
 
 
-def parse_csv_bytes(blob: bytes, sep: str, charset: str) -> tuple[list[str], list[list[str]], int]:
-    """One file -> (header, rows, rejected). Cells are text; a short row is padded with ''; a row longer than the
-    header is rejected (counted); blank lines are skipped."""
-    text = _decode(blob, charset)
-    reader = csv.reader(io.StringIO(text, newline=""), delimiter=sep, quotechar='"')
+def parse_csv(blob: bytes, sep: str, charset: str) -> Iterator[list[str] | None]:
+    """One file: its header, then its rows, one at a time. Cells are text; a short row is padded with ''; a row longer
+    than the header is rejected (None); blank lines are skipped; a quoted cell may hold line breaks."""
+    csv.field_size_limit(sys.maxsize)
     header: list[str] | None = None
-    rows, rejected = [], 0
-    for rec in reader:
-        if not rec or all(c == "" for c in rec) and len(rec) <= 1:
+    for rec in csv.reader(io.StringIO(_decode(blob, charset), newline=""), delimiter=sep, quotechar='"'):
+        if not rec or rec == [""]:
             continue
         if header is None:
             header = _unique_headers(rec)
-            continue
-        if len(rec) > len(header):
-            rejected += 1
-            continue
-        rows.append(rec + [""] * (len(header) - len(rec)))
-    return header or [], rows, rejected
+            yield header
+        else:
+            yield rec + [""] * (len(header) - len(rec)) if len(rec) <= len(header) else None
 
 
 def _compat_parse(blob: bytes) -> tuple[str, str] | None:
@@ -179,36 +177,40 @@ def _compat_parse(blob: bytes) -> tuple[str, str] | None:
 
 
 def to_rows(files: DataFrame, compat: bool = False) -> DataFrame:
-    """Each file (``rel_path``, ``content``, and ``sep``/``charset`` from :func:`sniff`) becomes its row
-    objects: ``row_index`` 1-based within the file, ``row_json`` a flat JSON object of text cells keyed by
-    header (non-ASCII kept). Header-only files give no row. ``status`` is ``ok``, or ``rejected``/``unreadable``
-    on a row without data for the load summary.
+    """Each file (``archive``, ``rel_path``, ``content``, and ``sep``/``charset`` from :func:`sniff`) becomes its row
+    objects, status ``ok``: ``row_index`` 1-based within the file, ``row_json`` a flat JSON object of text cells keyed by
+    header (non-ASCII kept). A row longer than the header is ``rejected`` (without data). Last comes one row of status
+    ``file``, or ``unreadable`` if the file broke the parser: ``row_index`` is its number of ok rows and ``row_json`` the
+    MD5 of its bytes, so a manifest needs no second pass.
 
     ``compat=True`` ignores the sniffed dialect and takes the first separator x encoding that parses."""
-    cols = ["rel_path", "content", "sep", "charset"]
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cols = ["archive", "rel_path", "row_index", "row_json", "status"]
         for pdf in batches:
-            out = []
-            for rel, blob, sep, charset in zip(pdf["rel_path"], pdf["content"], pdf["sep"], pdf["charset"]):
-                if compat:
-                    picked = _compat_parse(blob)
-                    if picked is None:
-                        out.append((rel, 0, None, "unreadable"))
-                        continue
-                    sep, charset = picked
+            for archive, rel, blob, sep, charset in zip(*(pdf[c] for c in ("archive", "rel_path", "content", "sep", "charset"))):
+                out, n, ended = [], 0, "file"
+                dialect = _compat_parse(blob) if compat else (sep, charset)
                 try:
-                    header, rows, rejected = parse_csv_bytes(blob, sep, charset)
+                    records = parse_csv(blob, *dialect) if dialect else iter(())
+                    header = next(records, [])
+                    ended = ended if dialect else "unreadable"
+                    for rec in records:
+                        if rec is None:
+                            out.append((archive, rel, 0, None, "rejected"))
+                        else:
+                            n += 1
+                            cells = json.dumps(dict(zip(header, rec)), ensure_ascii=False, separators=(",", ":"))
+                            out.append((archive, rel, n, cells, "ok"))
+                        if len(out) >= BATCH_ROWS:
+                            yield pd.DataFrame(out, columns=cols)
+                            out = []
                 except (UnicodeDecodeError, csv.Error):
-                    out.append((rel, 0, None, "unreadable"))
-                    continue
-                for i, r in enumerate(rows, start=1):
-                    out.append((rel, i, json.dumps(dict(zip(header, r)), ensure_ascii=False, separators=(",", ":")), "ok"))
-                for _ in range(rejected):
-                    out.append((rel, 0, None, "rejected"))
-            yield pd.DataFrame(out, columns=["rel_path", "row_index", "row_json", "status"])
+                    ended = "unreadable"
+                out.append((archive, rel, n, hashlib.md5(blob).hexdigest(), ended))
+                yield pd.DataFrame(out, columns=cols)
 
-    return files.select(*cols).mapInPandas(parse, PARSE_SCHEMA)
+    return files.select("archive", "rel_path", "content", "sep", "charset").mapInPandas(parse, PARSE_SCHEMA)
 
 
 def row_map(c: Column | str = "row_json") -> Column:
@@ -217,22 +219,16 @@ def row_map(c: Column | str = "row_json") -> Column:
 
 
 # ---------------------------------------------------------------------------------------------------------- S6, S8
-def manifest(files: DataFrame, rows: DataFrame, run_id: str) -> DataFrame:
-    """One row per file: run, path, dataset class, data rows, md5 of the bytes (NULL for files read
-    without loading their bytes), load stamp."""
-    counts = rows.where(F.col("status") == "ok").groupBy("rel_path").agg(F.count(F.lit(1)).cast("int").alias("row_count"))
-    md5 = F.md5(F.col("content")) if "content" in files.columns else F.lit(None).cast("string")
-    return (
-        files.select("rel_path", md5.alias("md5_hash"))
-        .join(counts, "rel_path", "left")
-        .select(
-            normalize_run_id(F.lit(run_id)).alias("run_id"),
-            "rel_path",
-            dataset_class(F.col("rel_path")).alias("dataset"),
-            F.coalesce(F.col("row_count"), F.lit(0)).alias("row_count"),
-            "md5_hash",
-            F.current_timestamp().alias("load_ts"),
-        )
+def manifest(rows: DataFrame, run_id: str) -> DataFrame:
+    """One row per file with data rows, from the rows of :func:`to_rows`: run, archive, path, dataset class, data
+    rows, md5 of the bytes, load stamp."""
+    return rows.where((F.col("status") == "file") & (F.col("row_index") > 0)).select(
+        normalize_run_id(F.lit(run_id)).alias("run_id"),
+        *FILE_KEY,
+        dataset_class(F.col("rel_path"), fold=True).alias("dataset"),
+        F.col("row_index").alias("row_count"),
+        F.col("row_json").alias("md5_hash"),
+        F.current_timestamp().alias("load_ts"),
     )
 
 
@@ -245,10 +241,16 @@ def load_summary(rows: DataFrame) -> DataFrame:
     """Q-9: processed rows and skipped rows (rejected rows and unreadable files)."""
     return rows.agg(
         F.count_if(F.col("status") == "ok").cast("long").alias("processed"),
-        F.count_if(F.col("status") != "ok").cast("long").alias("skipped"),
+        F.count_if(F.col("status").isin("rejected", "unreadable")).cast("long").alias("skipped"),
     )
 
 
+def skipped_rows(rows: DataFrame) -> DataFrame:
+    """Rows that the parser left out, per file and reason (unreadable files are named)."""
+    left = rows.where(F.col("status").isin("rejected", "unreadable"))
+    return left.groupBy(*FILE_KEY, F.col("status").alias("reason")).agg(F.count(F.lit(1)).cast("long").alias("n_rows"))
+
+
 # ---------------------------------------------------------------------------------------------------------------- S7
 def read_rows(raw: DataFrame, run_id: str | Column, dataset: str, candidates: Sequence[str]) -> DataFrame:
     """Row objects of one run and dataset whose path equals one of ``candidates`` case- and
@@ -269,108 +271,3 @@ def widen(rows: DataFrame, map_col: str = "row") -> DataFrame:
     keys = rows.select(F.posexplode(F.map_keys(map_col)).alias("pos", "k")).groupBy("k").agg(F.min("pos").alias("pos"))
     names = [r["k"] for r in keys.orderBy("pos", "k").collect()]
     return rows.select(*[c for c in rows.columns if c != map_col], *[F.coalesce(F.col(map_col)[n], F.lit("")).alias(n) for n in names])
-
-
-# --------------------------------------------------------------------------------------------------------- S12, S13
-def with_referentials(files: DataFrame, spark: SparkSession, ref_root: str, folder: str = K.REFERENCE_FOLDER) -> DataFrame:
-    """Reference CSVs join the same run, under ``referentiels/<name>``."""
-    refs = scan_tree(spark, ref_root, "*.csv").withColumn("rel_path", F.concat(F.lit(folder + "/"), F.col("rel_path")))
-    return files.unionByName(refs)
-
-
-def with_load_ts(df: DataFrame, col: str = "load_ts") -> DataFrame:
-    """Load stamp (UTC when the session time zone is UTC)."""
-    return df.withColumn(col, F.current_timestamp())
-
-
-# ------------------------------------------------------------------------------------------------- S5, large files
-def to_rows_native(
-    spark: SparkSession, paths: str | Sequence[str], root: str, sep: str = ";", max_columns: int = 256
-) -> DataFrame:
-    """S5 for large UTF-8 files of one dialect, with Spark's CSV reader: files are split across tasks instead of
-    being one record each. Same output as :func:`to_rows` (rel_path, row_index, row_json, status).
-
-    Each line is read as ``max_columns`` text cells. The position of a line in its file is the count of lines of
-    the file's earlier splits (one row per split: ``_metadata.file_block_start``) plus its position inside its
-    split; the scan is deterministic, so both uses of it agree, also after a retry. The first line of a file is its
-    header: duplicate names get ``.1``, ``.2``, blank names ``Unnamed: i`` (higher-order functions, no Python). A
-    line longer than its header is ``rejected``. Quoted cells spanning lines are not supported here (use
-    :func:`to_rows`)."""
-    from pyspark.sql import Window
-    from pyspark.sql import types as T
-
-    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(max_columns)])
-    lines = (
-        spark.read.schema(schema)
-        .option("header", "false")
-        .option("sep", sep)
-        .option("encoding", "UTF-8")
-        .option("mode", "PERMISSIVE")
-        .option("recursiveFileLookup", "true")
-        .csv(paths if isinstance(paths, str) else list(paths))
-    )
-    lines = lines.select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("__bs"),
-        F.monotonically_increasing_id().alias("__mid"),
-        F.array(*[F.col(f"_c{i}") for i in range(max_columns)]).alias("__vals"),
-    )
-    splits = lines.groupBy("path", "__bs").agg(F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__first"))
-    w = Window.partitionBy("path").orderBy("__bs").rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.withColumn("__off", F.coalesce(F.sum("__n").over(w), F.lit(0))).drop("__n")
-    pos = lines.join(splits, ["path", "__bs"]).select(
-        "path", (F.col("__off") + F.col("__mid") - F.col("__first")).alias("__pos"), "__vals"
-    )
-    # header width = position of its last non-empty cell (an empty cell reads as NULL)
-    width_h = F.coalesce(F.array_max(F.transform("__vals", lambda x, i: F.when(x.isNotNull(), i + 1).otherwise(0))), F.lit(0))
-    head = pos.where(F.col("__pos") == 0).select(
-        "path",
-        F.transform(
-            F.slice("__vals", 1, F.greatest(width_h, F.lit(1))),
-            lambda x, i: F.when(i == 0, F.regexp_replace(F.coalesce(x, F.lit("")), "^﻿", "")).otherwise(F.coalesce(x, F.lit(""))),
-        ).alias("__h"),
-    )
-    names = F.transform(
-        "__h",
-        lambda x, i: F.when(F.trim(x) == "", F.concat(F.lit("Unnamed: "), i.cast("string"))).otherwise(
-            F.when(
-                F.size(F.filter(F.slice("__h", 1, i), lambda y: y == x)) > 0,
-                F.concat(x, F.lit("."), F.size(F.filter(F.slice("__h", 1, i), lambda y: y == x)).cast("string")),
-            ).otherwise(x)
-        ),
-    )
-    head = head.select("path", names.alias("__names"))
-    data = pos.where(F.col("__pos") > 0).join(head, "path")
-    width = F.size("__names")
-    cells = F.transform(F.slice("__vals", 1, width), lambda v: F.coalesce(v, F.lit("")))
-    too_long = F.exists(F.slice("__vals", width + 1, max_columns), lambda v: v.isNotNull())
-    root_norm = re.sub(r"^[a-zA-Z][a-zA-Z0-9+.\-]*:(//[^/]*)?", "", root).rstrip("/")
-    bare = _strip_scheme(F.col("path"))
-    rel = F.when(bare.startswith(root_norm + "/"), F.substring(bare, len(root_norm) + 2, 1 << 30)).otherwise(bare)
-    return data.select(
-        rel.alias("rel_path"),
-        F.col("__pos").cast("int").alias("row_index"),
-        F.when(too_long, F.lit(None)).otherwise(F.to_json(F.map_from_arrays("__names", cells))).alias("row_json"),
-        F.when(too_long, F.lit("rejected")).otherwise(F.lit("ok")).alias("status"),
-    )
-
-
-def header_separators(spark: SparkSession, paths: Sequence[str], separators: Sequence[str] = K.CSV_SEPARATORS) -> dict[str, str]:
-    """Separator per large file from its first line only (the first split of each file is scanned as text, never
-    the whole file): the first separator, in list order, that splits the header into more than one field.
-    Returns {path: sep} (file metadata, one entry per large file); ``None`` when the header is not UTF-8."""
-    if not paths:
-        return {}
-    lines = spark.read.text(list(paths)).select(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("bs"),
-        F.monotonically_increasing_id().alias("mid"), "value",
-    ).where((F.col("bs") == 0) & (F.length(F.trim("value")) > 0))
-    first = lines.groupBy("path").agg(F.min_by("value", "mid").alias("header"))
-    pick = None
-    for s in separators:
-        found = F.size(F.split(F.col("header"), re.escape(s), -1)) > 1
-        pick = F.when(found, F.lit(s)) if pick is None else pick.when(found, F.lit(s))
-    sep = F.coalesce(pick.otherwise(F.lit(None)), F.lit(separators[0]))
-    # a header that is not valid UTF-8 marks the file for the byte-level parser (which sniffs the charset)
-    out = first.select("path", F.when(F.is_valid_utf8("header"), sep).alias("sep"))
-    return {r["path"]: r["sep"] for r in out.collect()}

@@ -1,42 +1,24 @@
-"""Sinks (S9-S11, U5): schema-on-read loads, idempotent run appends, table replacement by versions."""
+"""Sinks (S10, S11, U5): idempotent run appends, table replacement by versions."""
 
 from __future__ import annotations
 
 import time
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
-
-
-def load_dynamic(spark: SparkSession, path: str, sep: str = ";", encoding: str = "UTF-8") -> DataFrame:
-    """Header becomes the schema, names kept verbatim, every column text; a missing or empty file gives an
-    empty frame instead of an error."""
-    try:
-        df = (
-            spark.read.option("header", "true")
-            .option("inferSchema", "false")
-            .option("sep", sep)
-            .option("encoding", encoding)
-            .option("enforceSchema", "false")
-            .csv(path)
-        )
-    except AnalysisException:
-        return spark.createDataFrame([], "value string").limit(0)
-    return df
-
-
-def append_run(df: DataFrame, path: str, run_id: str, partition_col: str = "run_id", fmt: str = "parquet") -> None:
-    """Write one run's rows under ``run_id=<id>`` with dynamic partition overwrite: a retried run replaces
-    its own partition instead of appending duplicates (Q9 fix); other runs are untouched."""
-    (
-        df.withColumn(partition_col, F.lit(run_id))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_col)
-        .format(fmt)
-        .save(path)
-    )
+
+
+def append_run(
+    df: DataFrame, path: str, run_id: str, partition_col: str = "run_id", fmt: str = "parquet", by: Sequence[str] = ()
+) -> None:
+    """Write one run's rows under ``run_id=<id>`` (and below it by ``by``). A retried run replaces its own folder,
+    also where the retry has fewer rows or none (Q9 fix); other runs are untouched."""
+    fs, root, jvm = _fs(df.sparkSession, path)
+    own = jvm.org.apache.hadoop.fs.Path(root, f"{partition_col}={run_id}")
+    if fs.exists(own):
+        fs.delete(own, True)
+    df.withColumn(partition_col, F.lit(run_id)).write.mode("append").partitionBy(partition_col, *by).format(fmt).save(path)
 
 
 def replace_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:

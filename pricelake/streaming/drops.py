@@ -8,12 +8,16 @@ replaying a batch after a crash rewrites the same partition instead of duplicati
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from pricelake.plans.price_index import raw_rows
+from pricelake.session import cut_lineage
 from pricelake.sources import files as S
 from pricelake.sources import sinks as SK
 
@@ -31,39 +35,60 @@ def stream_files(spark: SparkSession, root: str, glob: str = "*.csv", max_files_
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     df = r.load(root)
-    import re
-
     root_norm = re.sub(r"^[a-zA-Z][a-zA-Z0-9+.\-]*:(//[^/]*)?", "", root).rstrip("/")
     bare = F.regexp_replace(F.col("path"), r"^[a-zA-Z][a-zA-Z0-9+.\-]*:(//[^/]*)?", "")
     rel = F.when(bare.startswith(root_norm + "/"), F.substring(bare, len(root_norm) + 2, 1 << 30)).otherwise(bare)
-    return df.withColumn("rel_path", rel)
+    return df.withColumn("archive", F.lit("")).withColumn("rel_path", rel)
 
 
 def rows_sink(out_path: str, run_prefix: str = "stream") -> Callable[[DataFrame, int], None]:
-    """foreachBatch handler: parse the batch's files to row objects and write them as run ``<prefix>-<batch>``
-    (the batch id is stable across replays, so a replay overwrites its own partition)."""
+    """foreachBatch handler: parse the batch's files (and the members of its ZIP drops) and write them as run
+    ``<prefix>-<batch>``, with the schema of the batch plan: ``raw_rows`` below ``out_path``, and ``raw_files`` and
+    ``skipped_rows`` beside them. The batch id is stable across replays, so a replay overwrites its own run."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         run_id = f"{run_prefix}-{batch_id:08d}"
-        parsed = S.to_rows(S.sniff(batch.select("rel_path", "content")))
-        rows = parsed.where(F.col("status") == "ok").select("rel_path", "row_index", "row_json")
-        SK.append_run(rows, out_path, run_id)
+        is_zip = F.lower("rel_path").endswith(".zip")
+        columns = ["archive", "rel_path", "content"]
+        members = S.explode_archives(batch.where(is_zip)).where(F.lower("rel_path").endswith(".csv"))
+        parsed = cut_lineage(S.to_rows(S.sniff(batch.where(~is_zip).select(*columns).unionByName(members.select(*columns)))))
+        out = out_path.rstrip("/")
+        SK.append_run(raw_rows(parsed, run_id).drop("run_id"), f"{out}/raw_rows", run_id, by=["dataset"])
+        SK.append_run(S.manifest(parsed, run_id).drop("run_id"), f"{out}/raw_files", run_id)
+        SK.append_run(S.skipped_rows(parsed), f"{out}/skipped_rows", run_id)
 
     return handle
 
 
+def checkpoint_name(spark: SparkSession, checkpoint: str) -> str:
+    """A name that belongs to a checkpoint folder for as long as it exists: kept in a file beside the offsets. A new
+    checkpoint, whose batches count from 0 again, gets another one and so never overwrites older runs."""
+    jvm = spark.sparkContext._jvm  # noqa: SLF001
+    path = jvm.org.apache.hadoop.fs.Path(checkpoint, "pricelake-run-name")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
+    if not fs.exists(path):
+        stream = fs.create(path)
+        stream.writeUTF(uuid.uuid4().hex[:12])
+        stream.close()
+    stream = fs.open(path)
+    name = stream.readUTF()
+    stream.close()
+    return name
+
+
 def start_drops(
     spark: SparkSession,
     root: str,
     out_path: str,
     checkpoint: str,
-    glob: str = "*.csv",
+    glob: str = "*.{csv,zip}",
     available_now: bool = True,
     handler: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
     """Start the pick-up. ``available_now=True`` processes everything new and stops (scheduled runs);
     otherwise it keeps polling. ``checkpoint`` must be on shared storage."""
     src = stream_files(spark, root, glob)
-    w = src.writeStream.foreachBatch(handler or rows_sink(out_path)).option("checkpointLocation", checkpoint)
+    sink = handler or rows_sink(out_path, f"stream-{checkpoint_name(spark, checkpoint)}")
+    w = src.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()

@@ -15,6 +15,13 @@ def test_weight_staging_wide_and_long(spark):
     assert (r["niveau"], r["lieu"], r["annee"], float(r["poids"])) == ("REGION", "Souss", 2020, 0.5)
 
 
+def test_both_weight_levels_are_staged(spark):
+    rows = [("FES", "Fès-Meknès", "Béton", "2020", "0,25"), (" ", "Souss", "Béton", "2020", "0,5"), (None, "Souss", "Acier", "2020", "1")]
+    df = spark.createDataFrame(rows, "`Ville` string, `Région` string, `Variété` string, `Année` string, `Poids` string")
+    got = sorted((r["niveau"], r["lieu"], r["variete"]) for r in W.stage_weight_table(df).collect())
+    assert got == [("REGION", "Souss", "Acier"), ("REGION", "Souss", "Béton"), ("VILLE", "FES", "Béton")]
+
+
 def test_weight_fact_dedupe_and_upsert(spark):
     staged = spark.createDataFrame(
         [("VILLE", "fes", "BÉTON", 2020, 0.2), ("VILLE", "FES", "BÉTON", 2020, 0.4), ("REGION", "souss", "BÉTON", 2020, 0.9)],
@@ -56,7 +63,7 @@ def test_reports(spark):
     prof = {r["q"]: r for r in Q.profile_by(df, "q", "k", "k", "fk").collect()}
     assert prof["(NULL)"]["n_rows"] == 1
     parent = spark.createDataFrame([(5,)], "id long")
-    orph = Q.fk_orphans(df, "fk", parent, "id", "t.fk").first()
+    orph = Q.fk_orphans(df, [("fk", parent, "id", "t.fk")]).first()
     assert (orph["null_fk"], orph["orphans"], orph["status"]) == (1, 0, "OK")
     rules = {r["rule_name"]: r["violations"] for r in Q.row_rules(df, {"has_fk": F.col("fk").isNotNull(), "one": Q.exactly_one("fk", "q")}).collect()}
     assert rules == {"has_fk": 1, "one": 1}

@@ -1,7 +1,8 @@
 import json
 import os
+import zipfile
 
-from pyspark.sql import functions as F
+import pytest
 
 from fixtures import build_landing
 from pricelake.plans import price_index as PI
@@ -11,10 +12,9 @@ from pricelake.streaming import drops as ST
 
 
 def test_parse_helpers():
-    header, rows, rejected = S.parse_csv_bytes("a;a;;b\n1;2;3;4\n5\n6;7;8;9;10\n\n".encode(), ";", "utf-8")
+    header, *rows = S.parse_csv("a;a;;b\n1;2;3;4\n5\n6;7;8;9;10\n\n".encode(), ";", "utf-8")
     assert header == ["a", "a.1", "Unnamed: 2", "b"]
-    assert rows == [["1", "2", "3", "4"], ["5", "", "", ""]]
-    assert rejected == 1
+    assert rows == [["1", "2", "3", "4"], ["5", "", "", ""], None]
     assert S._compat_parse("x,y\n1,2\n".encode()) == (";", "utf-8")  # Q1 reproduced: ';' parses as one column
     assert S._compat_parse("é;x\n".encode("cp1252"))[1] == "cp1252"
 
@@ -32,10 +32,9 @@ def test_scan_sniff_rows_manifest(spark, tmpdir_path):
     assert first["Année"] == "2019" and first["Variété"] == "Béton B25"
     assert ok.where("rel_path = 'CASA/casa_T1.csv'").count() == 0  # header only
     assert rows.where("status = 'rejected'").count() == 1  # the long TANTAN row
-    man = {r["rel_path"]: r for r in S.manifest(files, rows, "Manual:1").collect()}
+    man = {r["rel_path"]: r for r in S.manifest(rows, "Manual:1").collect()}
     assert man["NATIONAL/maroc_T1.csv"]["row_count"] == 4 and len(man["NATIONAL/maroc_T1.csv"]["md5_hash"]) == 32
-    assert man["CASA/casa_T1.csv"]["row_count"] == 0
-    assert "EMPTY/empty_T1.csv" not in man  # zero-byte files are skipped by the file source, as unreadable files were
+    assert "CASA/casa_T1.csv" not in man and "EMPTY/empty_T1.csv" not in man  # no data row, no manifest row
     assert {r["run_id"] for r in man.values()} == {"manual_1"}
 
 
@@ -73,12 +72,8 @@ def test_sinks(spark, tmpdir_path):
     SK.write_version(df.limit(1), root)
     assert SK.read_latest(spark, root).count() == 1
     assert len(SK.versions(spark, root)) == 2
-    w = os.path.join(tmpdir_path, "w.csv")
-    with open(w, "w", encoding="utf-8") as f:
-        f.write("Ville;Variété;2019;2020\nFES;Béton;1,5;2\n")
-    dyn = SK.load_dynamic(spark, w)
-    assert dyn.columns == ["Ville", "Variété", "2019", "2020"] and dyn.count() == 1
-    assert SK.load_dynamic(spark, os.path.join(tmpdir_path, "absent.csv")).count() == 0
+    SK.append_run(df.limit(0), out, "r1")  # a retry without rows leaves nothing behind
+    assert spark.read.parquet(out).count() == 1
 
 
 def test_end_to_end_and_rerun(spark, tmpdir_path):
@@ -118,40 +113,76 @@ def test_stream_pickup(spark, tmpdir_path):
     ck = os.path.join(tmpdir_path, "ck")
     q = ST.start_drops(spark, os.path.join(p["landing"], "NATIONAL"), out, ck)
     q.awaitTermination(120)
-    n1 = spark.read.parquet(out).count()
-    assert n1 == 4
+    assert spark.read.parquet(out + "/raw_rows").where("dataset = 'prix_indices'").count() == 4
+    assert spark.read.parquet(out + "/raw_files").count() == 1
     # a new file arrives: only it is processed by the next run
     with open(os.path.join(p["landing"], "NATIONAL", "national_T3.csv"), "w", encoding="utf-8") as f:
         f.write("Année;Produit;Indice\n2021;Béton;101,2\n")
     q = ST.start_drops(spark, os.path.join(p["landing"], "NATIONAL"), out, ck)
     q.awaitTermination(120)
-    t = spark.read.parquet(out)
+    t = spark.read.parquet(out + "/raw_rows")
     assert t.count() == 5 and t.select("run_id").distinct().count() == 2
-
-
-def test_native_rows_match_file_parser(spark, tmpdir_path):
+    # a new checkpoint starts over under other run ids: nothing is overwritten
+    q = ST.start_drops(spark, os.path.join(p["landing"], "NATIONAL"), out, ck + "2")
+    q.awaitTermination(120)
+    t = spark.read.parquet(out + "/raw_rows")
+    assert t.count() == 10 and t.select("run_id").distinct().count() == 3
+    staged, _ = PI.stage_prices(t)  # the batch plan reads the stream's rows
+    assert staged.count() == 10
+
+
+def _parsed(spark, root):
+    got = {}
+    for r in S.to_rows(S.sniff(S.scan_tree(spark, root))).collect():
+        got.setdefault(r["rel_path"], []).append(r)
+    return got
+
+
+def test_one_parser_for_awkward_files(spark, tmpdir_path):
+    def put(name, data):
+        with open(os.path.join(tmpdir_path, name), "wb") as f:
+            f.write(data)
+
+    put("quotes.csv", b'a;b\n"he said ""hi""";"x;y"\n"two\nlines";1\n1;2;3;4\n2023;z\n')
+    put("wide.csv", ";".join(f"c{i}" for i in range(300)).encode() + b"\n" + ";".join(str(i) for i in range(300)).encode() + b"\n")
+    put("late.csv", b"a;b\n" + b"1;2\n" * 400_000 + b"\x81;\xe9\n")
+    put("cp.csv", "a;b\n1;2\n".encode() + "Béton;3\n".encode("cp1252"))
+    put("header.csv", ("x" * 70_000 + ",b\n1,2\n").encode())
+    put("cell.csv", ("a,b\n" + "y" * 200_000 + ",2\n").encode())
+    got = _parsed(spark, tmpdir_path)
+    rows = [json.loads(r["row_json"]) for r in got["quotes.csv"] if r["status"] == "ok"]
+    assert rows == [{"a": 'he said "hi"', "b": "x;y"}, {"a": "two\nlines", "b": "1"}, {"a": "2023", "b": "z"}]
+    assert [r["row_index"] for r in got["quotes.csv"]] == [1, 2, 0, 3, 3]
+    assert [r["status"] for r in got["quotes.csv"]] == ["ok", "ok", "rejected", "ok", "file"]
+    assert len(json.loads(got["wide.csv"][0]["row_json"])) == 300
+    late = [r for r in got["late.csv"] if r["status"] == "ok"]
+    assert len(late) == 400_001 and json.loads(late[-1]["row_json"]) == {"a": "\x81", "b": "é"}
+    assert json.loads(got["cp.csv"][1]["row_json"])["a"] == "Béton"
+    assert json.loads(got["header.csv"][0]["row_json"])["b"] == "2" and json.loads(got["cell.csv"][0]["row_json"])["b"] == "2"
+
+
+def test_members_keep_their_archive_and_the_newest_drop_counts(spark, tmpdir_path):
     p = build_landing(tmpdir_path)
-    root = p["landing"]
-    with open(os.path.join(root, "NATIONAL", "dups_T1.csv"), "w", encoding="utf-8") as f:
-        f.write("a;a;;b\n1;2;3;4\n5\n\n6;7;8;9;10\n")
-    picked = ["NATIONAL/maroc_T1.csv", "NATIONAL/dups_T1.csv", "FES/fes_T1.csv", "TANTAN/tantan_T1.csv", "MS/ms_T3.csv"]
-    native = S.to_rows_native(spark, [os.path.join(root, x) for x in picked], root, ";")
-    files = S.scan_tree(spark, root, "*.csv").where(F.col("rel_path").isin(picked))
-    py = S.to_rows(S.sniff(files))
-
-    def norm(df):
-        ok = sorted((r["rel_path"], r["row_index"], r["row_json"]) for r in df.where("status = 'ok'").collect())
-        return ok, df.where("status = 'rejected'").count()
-
-    a, b = norm(native), norm(py)
-    assert a[0] == b[0] and a[1] == b[1] == 2
-
-
-def test_land_routes_large_files_natively(spark, tmpdir_path):
+    for name, n in (("drop_2026_a.zip", 1), ("drop_2026_b.zip", 2)):
+        with zipfile.ZipFile(os.path.join(p["landing"], "drops", name), "w") as z:
+            z.writestr("NATIONAL/maroc_T1.csv", "Année;Prix\n" + "2020;1\n" * n)
+    manifest, raw, _ = PI.land(spark, p["landing"], "r", drops="all")
+    same = {(r["archive"], r["row_count"]) for r in manifest.where("rel_path = 'NATIONAL/maroc_T1.csv'").collect()}
+    assert same == {("", 4), ("drops/drop_2026_a.zip", 1), ("drops/drop_2026_b.zip", 2)}
+    assert raw.groupBy("archive", "rel_path", "row_index").count().where("count > 1").count() == 0
+    manifest, _, _ = PI.land(spark, p["landing"], "r")
+    assert {r["archive"] for r in manifest.select("archive").distinct().collect()} == {"", "drops/drop_2026_b.zip"}
+
+
+def test_failure_rules(spark, tmpdir_path):
     p = build_landing(tmpdir_path)
-    small = PI.land(spark, p["landing"], "r", None)
-    native = PI.land(spark, p["landing"], "r", None, native_min_bytes=200)  # the larger UTF-8 files go native
-    key = lambda df: sorted((r["rel_path"], r["row_index"], r["row_json"]) for r in df.where("dataset = 'prix_indices'").collect())
-    assert key(native[1]) == key(small[1])
-    man = {r["rel_path"]: r for r in native[0].collect()}
-    assert man["NATIONAL/maroc_T1.csv"]["row_count"] == 4
+    bare = os.path.join(tmpdir_path, "bare")
+    os.makedirs(bare)
+    with open(os.path.join(bare, "a_T1.csv"), "w", encoding="utf-8") as f:
+        f.write("Année;Prix\nx;1\n")
+    with pytest.raises(ValueError, match="no valid price row"):
+        PI.run(spark, bare, os.path.join(tmpdir_path, "o1"), "r", p["refs"])
+    skipped = spark.read.parquet(os.path.join(tmpdir_path, "o1", "skipped_rows")).collect()
+    assert [(r["rel_path"], r["reason"], r["n_rows"]) for r in skipped] == [("a_T1.csv", "no valid year", 1)]
+    with pytest.raises(ValueError, match="no reference"):
+        PI.run(spark, p["landing"], os.path.join(tmpdir_path, "o2"), "r")
