@@ -7,17 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pricelake.llm.common import share_code
+from pricelake.session import spread
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def _table(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -> DataFrame:
+    """With ``key``, a table of fewer splits than task slots is spread by it, for work in Python tasks."""
     share_code(spark)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    table = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(table, key) if key else table
 
 
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pricelake.llm.langid import train_and_predict
 
-    return train_and_predict(_table(spark, sf_dir, "documents"))
+    return train_and_predict(_table(spark, sf_dir, "documents", "doc_id"))
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,32 +32,32 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pricelake.llm.toxicity import train_and_score
 
-    return train_and_score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return train_and_score(_table(spark, sf_dir, "documents", "doc_id"), _table(spark, sf_dir, "labels"))
 
 
 def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pricelake.llm.passages import repeated_passages
 
-    return repeated_passages(_table(spark, sf_dir, "documents"))
+    return repeated_passages(_table(spark, sf_dir, "documents", "doc_id"))
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pricelake.llm.decontaminate import decontaminate
 
-    found = decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    found = decontaminate(_table(spark, sf_dir, "documents", "doc_id"), _table(spark, sf_dir, "benchmark"))
     return found.drop("items", "spans")
 
 
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pricelake.llm.ngram_join import similarity_classes
 
-    return similarity_classes(_table(spark, sf_dir, "documents")).drop("key", "root")
+    return similarity_classes(_table(spark, sf_dir, "documents", "doc_id")).drop("key", "root")
 
 
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pricelake.llm.secrets import find_secrets
 
-    return find_secrets(_table(spark, sf_dir, "documents"))
+    return find_secrets(_table(spark, sf_dir, "documents", "doc_id"))
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +78,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pricelake.llm.bpe import encode_documents
 
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return encode_documents(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, with_ids=False)
+    return encode_documents(_table(spark, sf_dir, "documents", "doc_id"), ranks, public_tokenizers.PATTERN, with_ids=False)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
