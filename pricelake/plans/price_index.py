@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pricelake import constants as K
 from pricelake.functions.text import blank_to_null, normalize_code, parse_decimal, strict_int, upper_trim
 from pricelake.operators import dims as D
+from pricelake.operators import facts as FA
 from pricelake.operators import paths as P
 from pricelake.operators import quality as Q
 from pricelake.operators import refs as R
@@ -191,6 +192,10 @@ def trade_chain(staging: DataFrame, current: dict[str, DataFrame] | None = None)
     return out
 
 
+def _overrides(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(list(K.CITY_OVERRIDES), "agglomeration_raw string, correct_province_name string, row_count int")
+
+
 def gold_facts(staging: DataFrame, geo: dict[str, DataFrame], trade: dict[str, DataFrame], compat: bool = False,
                target: DataFrame | None = None, known: DataFrame | None = None) -> DataFrame:
     """The index fact (see :func:`pricelake.plans.index_facts.build_index_fact`) with ids; natural keys of ``known`` (the
@@ -202,9 +207,7 @@ def gold_facts(staging: DataFrame, geo: dict[str, DataFrame], trade: dict[str, D
     exclusions = spark.createDataFrame(
         list(K.CITY_EXCLUSIONS), "agglomeration_raw string, id_province_prefecture long"
     )
-    overrides = spark.createDataFrame(
-        list(K.CITY_OVERRIDES), "agglomeration_raw string, correct_province_name string, row_count int"
-    )
+    overrides = _overrides(spark)
     tb = ["source_file", "row_index"]
     fact = build_index_fact(
         staging.select("annee", "indice", "prix_ttc", "file_type", "agglomeration", "produit", "variete", *tb),
@@ -298,6 +301,7 @@ def audit(tables: dict[str, DataFrame], fact: DataFrame, run_id: str, staging: D
         "profile_by_type": Q.profile_by(fact, "type_indice", "prix_moyen", "annee", "id_reference"),
         "year_coverage": Q.year_coverage({k: tables[k] for k in ("index", "weights") if k in tables}, "annee"),
         "level_coverage": Q.level_coverage(fact, levels, "id_reference"),
+        "overrides": FA.override_report(fact.withColumn("__overridden", F.col("match_quality") == K.MATCHED_MANUAL), _overrides(fact.sparkSession)),
         "sample": Q.ordered_sample(fact, [F.col("id_indice")], 10),
     }
     if keys:
