@@ -21,7 +21,8 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
             break
         before = state
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        # written, so that the join below reads two exchanges, of which Spark splits those of nodes with many neighbours
+        least = written(both.groupBy("a").agg(F.min("b").alias("b")).select("a", F.least("a", "b").alias("m")), "least")
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b")
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
