@@ -151,13 +151,14 @@ def fk_orphans(child: DataFrame, keys: Sequence[tuple[str, DataFrame, str, str]]
         aggs.append(F.count_if(F.col(fk).isNull()).cast("long").alias(f"__null{i}"))
         stacked.append(f"'{name}', __n, __null{i}")
     base = child.agg(*aggs).selectExpr(f"stack({len(keys)}, {', '.join(stacked)}) as (check_name, total_rows, null_fk)")
-    missing = None
+    parts = base.withColumn("orphans", F.lit(0).cast("long"))
     for fk, parent, pk, name in keys:
         own = child.select(fk).where(F.col(fk).isNotNull()).join(parent.select(F.col(pk).alias(fk)), fk, "left_anti")
-        own = own.agg(_count().alias("orphans")).select(F.lit(name).alias("check_name"), "orphans")
-        missing = own if missing is None else missing.unionByName(own)
+        zero = F.lit(0).cast("long")
+        parts = parts.unionByName(own.agg(_count().alias("orphans")).select(F.lit(name).alias("check_name"), zero.alias("total_rows"), zero.alias("null_fk"), "orphans"))
+    sums = parts.groupBy("check_name").agg(*[F.sum(c).alias(c) for c in ("total_rows", "null_fk", "orphans")])
     verdict = F.when((F.col("orphans") > 0) | (F.col("total_rows") == 0), F.lit(WARN)).otherwise(F.lit(OK))
-    return base.join(missing, "check_name").select("check_name", "total_rows", "null_fk", "orphans", verdict.alias("status"))
+    return sums.select("check_name", "total_rows", "null_fk", "orphans", verdict.alias("status"))
 
 
 def level_fk_check(df: DataFrame, level_col: str, required_fk: Mapping[str, str]) -> DataFrame:
