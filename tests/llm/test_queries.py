@@ -129,7 +129,7 @@ def test_compact_windows_are_the_cartesian_tree():
     tokens[100:130] = tokens[100]
     bounds = np.array([0, 300, 300, 330, 700])
     got = passages.compact_windows(tokens, bounds, 20, passages._SEEDS[0])
-    key = (passages.mix(tokens * passages._SEEDS[0]) & ~passages._LOW) | np.arange(700, dtype=np.uint64)
+    key = passages.packed(tokens, passages._SEEDS[0])
     want = []
 
     def split(low, high):
