@@ -144,6 +144,22 @@ def test_compact_windows_are_the_cartesian_tree():
     assert sorted(map(tuple, got.T.tolist())) == sorted(want)
 
 
+@pytest.mark.parametrize(("n", "edits"), [(50, (25,)), (50, ()), (96, (31, 63)), (120, (40,))])
+@pytest.mark.parametrize("at", [0, 200])
+def test_passages_at_exactly_the_similarity(n, edits, at):
+    rng = np.random.default_rng(n + at)
+    own, other, shared = (rng.integers(0, 1 << 62, k) for k in (300, 300, n))
+    a, b = np.concatenate([own[:100], shared, own[100:]]), np.concatenate([other[:at], shared, other[at:]])
+    for i in edits:
+        a[100 + i] = -i
+    tokens = [np.array([hash(tuple(t[i : i + 5])) for i in range(len(t) - 4)]) for t in (a.tolist(), b.tolist())]
+    shift, l, r = np.array([100 - at]), np.array([100]), np.array([100 + n - 5])
+    want = [(100, 100 + n - 5, at, at + n - 5)]
+    assert passages.verify(*tokens, shift, l, r, 46, 0.8) == want
+    back = passages.verify(*tokens[::-1], -shift, l - 100 + at, r - 100 + at, 46, 0.8)
+    assert back == [(x, y, p, q) for p, q, x, y in want]
+
+
 def test_repeated_passages(rows, docs):
     seen, of = defaultdict(set), {r.doc_id: r for r in rows("op4_passages")}
     for d, t, _ in docs:
