@@ -160,6 +160,30 @@ def test_passages_at_exactly_the_similarity(n, edits, at):
     assert back == [(x, y, p, q) for p, q, x, y in want]
 
 
+@pytest.mark.parametrize("edited", [False, True])
+def test_passages_with_a_frequent_line(spark, edited):
+    rng = np.random.default_rng(5)
+
+    def some(n):
+        return [f"w{x}" for x in rng.integers(0, 10**9, n)]
+
+    texts, want = [], {}
+    for _ in range(30):
+        line, before, after = some(30), some(15), some(15)
+        for k in range(2):
+            lead, end = some(40), list(after)
+            if edited and k:
+                end[8] = "other"
+            want[len(texts)] = set(range(40, 100))
+            texts.append(lead + before + line + end + some(40))
+        texts += [some(40) + line + some(40) for _ in range(30)]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = passages.repeated_passages(docs).collect()
+    spans = {r.doc_id: {i for s in r.spans.split(",") if s for i in range(int(s.split(":")[0]), int(s.split(":")[1]))} for r in got}
+    assert [i for i, s in spans.items() if s != want.get(i, set())] == []
+    assert all(r.n_links == (r.doc_id in want) for r in got)
+
+
 def test_repeated_passages(rows, docs):
     seen, of = defaultdict(set), {r.doc_id: r for r in rows("op4_passages")}
     for d, t, _ in docs:
