@@ -7,6 +7,9 @@ to the digests of the known licence texts, which go through the same functions.
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +43,7 @@ WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABL
 CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF
 CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS
 SOFTWARE."""
-# Licence texts and usual one-line notices. Users pass a table of their own for more.
+# Licence texts and usual one-line notices; known_texts() adds the files of license_texts.
 KNOWN = (
     ("MIT", f"The MIT License\n\n{_MIT_GRANT}\n\n{_MIT_NO_WARRANTY}"),
     ("MIT", f"{_MIT_GRANT}\n\n{_MIT_NO_WARRANTY}"),
@@ -58,6 +61,56 @@ KNOWN = (
 )
 
 
+# Titles that stand above a text, and first blocks of the notices that stand at the head of source files.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "MIT", "License: MIT", "(The MIT License)", "The MIT License:", "Expat License"),
+    "MIT-0": ("MIT No Attribution", "MIT No Attribution License", "MIT-0"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)", "The ISC License (ISC)", "ISC"),
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD", "Zero Clause BSD License", "0BSD", "BSD Zero Clause License (0BSD)"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", 'BSD 2-Clause "Simplified" License', "Simplified BSD License", "FreeBSD License", "BSD License", "The BSD License", "BSD-2-Clause"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License', "New BSD License", "Modified BSD License", "BSD License", "The BSD License", "BSD-3-Clause"),
+    "Zlib": ("zlib License", "The zlib License", "zlib/libpng License", "The zlib/libpng License"),
+    "BSL-1.0": ("Boost Software License 1.0", "Boost Software License 1.0 (BSL-1.0)"),
+    "Unlicense": ("The Unlicense", "Unlicense", "UNLICENSE"),
+    "Apache-2.0": ("Apache License, Version 2.0", "Apache License 2.0", "Apache License 2.0 (Apache)"),
+    "MPL-2.0": ("Mozilla Public License 2.0", "Mozilla Public License, version 2.0", "Mozilla Public License 2.0 (MPL)"),
+    "CC0-1.0": ("CC0 1.0 Universal", "Creative Commons CC0 1.0 Universal"),
+}
+#: Texts whose file begins with the title.
+TITLED = ("Apache-2.0", "Artistic-1.0-Perl", "BSL-1.0", "CC0-1.0", "GFDL-1.2", "GFDL-1.3", "GPL-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0", "MPL-1.1", "MPL-2.0")
+_FREE = "is free software{s} you can redistribute it and/or modify it under the terms of the GNU {name}General Public License as published by the Free Software Foundation; either version {n} of the License, or (at your option) any later version."
+HEADERS = (
+    ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at'),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    *[(f"{short}-{v}", f"This {what} " + _FREE.format(s=";", name=name, n=n)) for short, name, versions in (
+        ("GPL", "", (("2.0", "2"), ("3.0", "3"))), ("LGPL", "Lesser ", (("2.1", "2.1"), ("3.0", "3"))), ("AGPL", "Affero ", (("3.0", "3"),)))
+        for v, n in versions for what in ("program", "library", "file")],
+)
+
+
+def known_texts() -> list[tuple[str, str]]:
+    """(license_id, text): KNOWN and the files, each as it is, without its title, under its usual titles, and without what
+    follows the end of its terms; BSD clauses also with bullets."""
+    bodies = [("MIT", f"{_MIT_GRANT}\n\n{_MIT_NO_WARRANTY}"), ("ISC", _ISC)]
+    bodies.append(("MIT-0", _MIT_GRANT.split(", subject to")[0] + ".\n\n" + _MIT_NO_WARRANTY))
+    bodies.append(("0BSD", re.sub(r", provided that.*?copies\.", ".", _ISC, count=1, flags=re.S)))
+    out = [*KNOWN, *HEADERS]
+    for path in sorted((Path(__file__).parent / "license_texts").glob("*.txt")):
+        name, text = path.stem, path.read_text(encoding="utf-8").strip()
+        out.append((name, text))
+        body = re.split(r"\n[ \t]*\n", text, maxsplit=1)[1] if name in TITLED else text
+        bodies.append((name, body))
+        if name.startswith("BSD-"):
+            bodies.append((name, re.sub(r"^\d\.", "*", body, flags=re.M)))
+        ends = [m.end() for m in re.finditer(r"^.*END OF TERMS AND CONDITIONS.*$", text, re.M)]
+        if ends:
+            out.append((name, text[: ends[0]]))
+            bodies.append((name, body[: ends[0] - len(text) + len(body)]))
+    for name, body in bodies:
+        out += [(name, body), *((name, f"{title}\n\n{body}") for title in TITLES.get(name, ()))]
+    return out
+
+
 def canonical(line: Column) -> Column:
     """A line's letters and digits in lower case, words apart by one blank; empty for a copyright line."""
     out = F.concat(F.lit(" "), F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
@@ -94,7 +147,7 @@ def registry(known: DataFrame) -> DataFrame:
 
 
 def default_known(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(KNOWN), "license_id string, text string")
+    return spark.createDataFrame(known_texts(), "license_id string, text string")
 
 
 def scan_licenses(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

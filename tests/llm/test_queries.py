@@ -338,6 +338,34 @@ def test_license_texts_by_canonical_digest(spark):
     assert got[2].part_licenses == ["Apache-2.0"]
 
 
+def scanned(spark, texts):
+    from pricelake.llm.licenses import scan_licenses
+
+    got = scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    return [r for _, r in sorted((r.doc_id, r) for r in got)]
+
+
+def test_usual_licenses_are_known(spark):
+    from pathlib import Path
+
+    from pricelake.llm import licenses
+
+    files = sorted((Path(licenses.__file__).parent / "license_texts").glob("*.txt"))
+    texts = {f.stem: f.read_text() for f in files}
+    assert {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "MPL-2.0", "Unlicense", "CC0-1.0"} <= set(texts)
+    mit, apache = licenses.KNOWN[1][1], texts["Apache-2.0"]
+    more = [
+        ("MIT", "MIT License\n\nCopyright (c) 2020 Someone\n\n" + mit),
+        ("MIT", "The MIT License (MIT)\n\n" + mit),
+        ("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2020, X\nAll rights reserved.\n\n" + texts["BSD-3-Clause"]),
+        ("Apache-2.0", apache[: apache.index("APPENDIX")]),
+        ("GPL-3.0", texts["GPL-3.0"].split("\n\n", 1)[1]),
+    ]
+    want = [*texts.items(), *more]
+    assert [r.license_id for r in scanned(spark, [t for _, t in want])] == [k for k, _ in want]
+    assert scanned(spark, ["x = 1\n\n" + apache[apache.index("   Licensed under the Apache") :]])[0].part_licenses == ["Apache-2.0"]
+
+
 def test_tokens_equal_the_library(rows, docs):
     P, tiktoken = pytest.importorskip("public_tokenizers"), pytest.importorskip("tiktoken")
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path("byte_bpe_multi_50k.tiktoken"), "rb"))}
