@@ -1,7 +1,7 @@
 """Licence scan by canonical digests (DataFrame functions only).
 
 A text is made canonical line by line: lower case, letters and digits only, equivalent spellings made one, copyright
-lines left out. The digests of whole texts, of their blocks (between blank lines) and of single lines are hash-joined
+notices left out. The digests of whole texts, of their blocks (between blank lines) and of single lines are hash-joined
 to the digests of the known licence texts, which go through the same functions.
 """
 
@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 #: Largest registry (characters of licence text) whose digests are broadcast; a larger one is joined by a shuffle.
 BROADCAST_CHARS = 256 << 20
 
-# Equivalent spellings, as the licence list matching guidelines have them (a part).
+# Equivalent spellings, as the licence list matching guidelines have them (a part); none has words of two lines.
 SPELLINGS = (
     ("licence", "license"), ("sublicence", "sublicense"), ("acknowledgement", "acknowledgment"), ("analogue", "analog"),
     ("centre", "center"), ("favour", "favor"), ("fulfil ", "fulfill "), ("judgement", "judgment"), ("labour", "labor"),
-    ("organisation", "organization"), ("recognise", "recognize"), ("whilst", "while"), ("copyright holder", "copyright owner"),
-    (" per cent ", " percent "), ("noncommercial", "non commercial"), ("http ", "https "),
+    ("organisation", "organization"), ("recognise", "recognize"), ("whilst", "while"), (" holder", " owner"),
+    (" percent ", " per cent "), ("noncommercial", "non commercial"), ("http ", "https "),
 )
 
 _MIT_GRANT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
@@ -111,15 +111,30 @@ def known_texts() -> list[tuple[str, str]]:
     return out
 
 
+#: Comment marks before a line's words; a bracket stays, as "(c)" begins a notice.
+MARKS = r"^(?:\s*(?:@?rem|dnl)(?=\s|$))?[^\p{L}\p{N}(©]*"
+# Words that follow "copyright" in the running text of licences, where a line may begin with it.
+_RUNNING = (
+    "act|and|are|as|at|by law|claims?|disclaimer|doctrines?|for|grants?|holders?|if|in|infringement|information|interests?|is|it|"
+    "laws?|licen[cs]es?|licensing|line|lines|management|material|may|notices?|of|on|or|owners?|ownership|patent|permissions?|"
+    "protection|resulting|rights?|shall|similar|statements?|status|term|terms|that|the (?:above|software|library|program|work)|this|to|treat(?:y|ies)|under|which|with|work"
+)
+#: A notice: copyright, (c) or the sign, and a year, a place for it or a holder.
+NOTICE = (
+    r"^(?:copyright[\s:]*(?:\(c\)|©|[<\[{]|(?:19|20)\d\d)|copyright:?\s+(?!(?:" + _RUNNING + r")(?![\p{L}\p{N}]))[\p{L}\p{N}]"
+    r"|©|\(c\)\s*(?:copyright|[<\[{]|(?:19|20)\d\d)|all rights reserved[^\p{L}\p{N}]*$)"
+)
+
+
 def canonical(line: Column) -> Column:
-    """A line's letters and digits in lower case, words apart by one blank; empty for a copyright line."""
-    out = F.concat(F.lit(" "), F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
+    """A line's letters and digits in lower case, words apart by one blank; empty for a copyright notice. Comment marks go
+    first."""
+    own = F.regexp_replace(F.lower(line), MARKS, "")
+    out = F.concat(F.lit(" "), F.regexp_replace(own, r"[^\p{L}\p{N}]+", " "), F.lit(" "))
     for a, b in SPELLINGS:
         out = F.replace(out, F.lit(a), F.lit(b))
-    out = F.trim(out)
-    own = F.lower(F.ltrim(line))
-    mark = own.startswith("copyright") | own.startswith("(c)") | own.startswith("©") | own.startswith("all rights reserved")
-    return F.when(mark, "").otherwise(out)
+    begins = own.startswith("copyright") | own.startswith("(c)") | own.startswith("©") | own.startswith("all rights reserved")
+    return F.when(begins & own.rlike(NOTICE), "").otherwise(F.trim(out))
 
 
 def digest(lines: Column) -> Column:
@@ -128,8 +143,8 @@ def digest(lines: Column) -> Column:
 
 
 def blocks_of(text: Column) -> Column:
-    """The canonical lines of each block (between blank lines), without empty ones."""
-    blocks = F.split(F.coalesce(text, F.lit("")), r"\r?\n[ \t]*\r?\n")
+    """The canonical lines of each block (between lines that are blank but for comment marks), without empty ones."""
+    blocks = F.split(F.coalesce(text, F.lit("")), r"\r?\n[ \t/*#;%!-]*\r?\n")
     return F.transform(blocks, lambda b: F.filter(F.transform(F.split(b, r"\r?\n"), canonical), lambda x: x != ""))
 
 

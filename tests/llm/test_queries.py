@@ -366,6 +366,33 @@ def test_usual_licenses_are_known(spark):
     assert scanned(spark, ["x = 1\n\n" + apache[apache.index("   Licensed under the Apache") :]])[0].part_licenses == ["Apache-2.0"]
 
 
+def test_licenses_at_any_width_and_in_comments(spark):
+    import textwrap
+    from pathlib import Path
+
+    from pricelake.llm import licenses
+
+    notice = re.compile(r"^\s*Copyright (\(C\)|\[yyyy)|^\s*all rights reserved", re.I)
+    known = [(f.stem, f.read_text()) for f in sorted((Path(licenses.__file__).parent / "license_texts").glob("*.txt"))]
+    known += [("MIT", licenses.KNOWN[1][1]), ("ISC", licenses._ISC)]
+    want, texts = [], []
+    for name, text in known:
+        kept = "\n".join(x for x in text.strip().split("\n") if not notice.search(x))
+        for width in (24, 40, 47, 60, 66, 72, 79, 100, 120):
+            blocks = re.split(r"\n\s*\n", kept)  # a block with a notice within it (how to apply the terms) stays
+            fill = [b if "Copyright (" in b else textwrap.fill(b, width, break_on_hyphens=False, break_long_words=False) for b in blocks]
+            body = "\n\n".join(fill)
+            want.append((name, width))
+            texts.append(body)
+        for mark in ("# ", "// ", " * ", "-- ", "; ", "dnl "):
+            want.append((name, mark))
+            texts.append("\n".join((mark + x).rstrip() for x in ["Copyright (c) 2020 X Y", "Copyright The Authors", "", *text.split("\n")]))
+    got = scanned(spark, texts)
+    assert Counter(w for w, r in zip(want, got, strict=True) if r.license_id != w[0]) == {}
+    header = "\n".join("# " + x for x in textwrap.wrap(dict(licenses.HEADERS)["MPL-2.0"], 70))
+    assert scanned(spark, ["#\n" + header + "\n#\nx = 1"])[0].part_licenses == ["MPL-2.0"]
+
+
 def test_tokens_equal_the_library(rows, docs):
     P, tiktoken = pytest.importorskip("public_tokenizers"), pytest.importorskip("tiktoken")
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path("byte_bpe_multi_50k.tiktoken"), "rb"))}
