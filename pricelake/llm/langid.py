@@ -158,7 +158,8 @@ def fit(
         return Model([], idf, np.zeros((BUCKETS, 0)), np.zeros(0), 1.0)
     share = max(2, sample_rows // len(classes))
     # about four times the share by hash, then the share: no label's rows meet in one task
-    limits = [(c, -(2**63) + min(2**64 - 1, int(4 * share / n * 2**64))) for c, n in sizes.items()]
+    texts = {r["label"]: r["count"] for r in keyed.select("label", "key").distinct().groupBy("label").count().collect()}  # copies count once
+    limits = [(c, -(2**63) + min(2**64 - 1, int(4 * share / n * 2**64))) for c, n in texts.items()]
     near = keyed.select("label", "key").join(F.broadcast(spark.createDataFrame(limits, "label string, most long")), "label")
     rank = F.row_number().over(Window.partitionBy("label").orderBy("key"))
     picks = near.where(F.col("key") <= F.col("most")).select("label", "key").distinct().withColumn("rank", rank)

@@ -393,6 +393,14 @@ def test_licenses_at_any_width_and_in_comments(spark):
     assert scanned(spark, ["#\n" + header + "\n#\nx = 1"])[0].part_licenses == ["MPL-2.0"]
 
 
+def test_language_with_many_copies(spark, monkeypatch):
+    texts = [(f"le mot {i} est ici", "fr") for i in range(30)] + [("le mot", "fr")] * 3000 + [(f"the word {i} is here", "en") for i in range(31)]
+    taken = []
+    monkeypatch.setattr(langid, "ftrl", lambda rows, labels, *a, ftrl=langid.ftrl: taken.append(Counter(labels.tolist())) or ftrl(rows, labels, *a))
+    langid.fit(spark.createDataFrame(texts, "text string, lang string"), sample_rows=40)
+    assert sum(taken[0].values()) == 32
+
+
 def test_tokens_equal_the_library(rows, docs):
     P, tiktoken = pytest.importorskip("public_tokenizers"), pytest.importorskip("tiktoken")
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path("byte_bpe_multi_50k.tiktoken"), "rb"))}
