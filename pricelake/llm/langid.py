@@ -205,7 +205,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     return picked.mapInArrow(run, schema)
 
 
-def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", min_score: float = 0.3) -> DataFrame:
+def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", min_score: float = 0.0) -> DataFrame:
     """The rows of ``docs``, all columns as they are, whose language is known (not ``und``) with at least ``min_score``."""
     shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
 

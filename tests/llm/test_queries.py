@@ -401,6 +401,13 @@ def test_language_with_many_copies(spark, monkeypatch):
     assert sum(taken[0].values()) == 32
 
 
+def test_texts_of_low_score_stay(spark):
+    none = np.zeros((langid.BUCKETS, 10))
+    model = langid.Model([f"l{i}" for i in range(10)], np.ones(langid.BUCKETS), none, np.zeros(10), 1.0)  # a score of 0.1 for all
+    docs = spark.createDataFrame([("short",), ("12 34",), (None,)], "text string")
+    assert [r.text for r in langid.keep_identified(docs, model).collect()] == ["short"]
+
+
 def test_tokens_equal_the_library(rows, docs):
     P, tiktoken = pytest.importorskip("public_tokenizers"), pytest.importorskip("tiktoken")
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path("byte_bpe_multi_50k.tiktoken"), "rb"))}
