@@ -81,6 +81,14 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(_table(spark, sf_dir, "documents", "doc_id"), ranks, public_tokenizers.PATTERN, with_ids=False)
 
 
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from pricelake.llm.token_files import token_file_round_trip
+
+    return token_file_round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
     "op2_exact_dedup": op2_exact_dedup,
@@ -92,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_licenses": op9_licenses,
     "op10_bpe": op10_bpe,
+    "op13_token_files": op13_token_files,
 }
 
 ORACLE: dict[str, str] = {
