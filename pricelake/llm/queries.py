@@ -81,6 +81,15 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(_table(spark, sf_dir, "documents", "doc_id"), ranks, public_tokenizers.PATTERN, with_ids=False)
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from pricelake.llm.alignment import align_tokenizers
+
+    files = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return align_tokenizers(_table(spark, sf_dir, "documents", "doc_id"), *files)
+
+
 def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -100,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_licenses": op9_licenses,
     "op10_bpe": op10_bpe,
+    "op12_alignment": op12_alignment,
     "op13_token_files": op13_token_files,
 }
 
