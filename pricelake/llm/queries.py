@@ -81,6 +81,12 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(_table(spark, sf_dir, "documents", "doc_id"), ranks, public_tokenizers.PATTERN, with_ids=False)
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pricelake.llm.spelling import spelling_variants
+
+    return spelling_variants(_table(spark, sf_dir, "documents", "doc_id"), drop_every=97)
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -109,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_licenses": op9_licenses,
     "op10_bpe": op10_bpe,
+    "op11_spelling": op11_spelling,
     "op12_alignment": op12_alignment,
     "op13_token_files": op13_token_files,
 }
