@@ -37,7 +37,7 @@ def exclude_values(
     return out
 
 
-def _match_key(c: Column, fold: bool) -> Column:
+def match_key(c: Column, fold: bool) -> Column:
     c = F.upper(c)
     if fold:
         # Accents and punctuation folded away: 'PRÉFECTURE DE FÈS' -> 'PREFECTUREDEFES'
@@ -50,7 +50,7 @@ def substring_table(dim: DataFrame, name_col: str, fold: bool = False, values: D
     matched) only substrings of their lengths are made and only those among them stay; else all (a key of length L gives
     at most L(L+1)/2 rows)."""
     keys = (
-        dim.select(_match_key(F.col(name_col), fold).alias("__name"))
+        dim.select(match_key(F.col(name_col), fold).alias("__name"))
         .where(F.col("__name").isNotNull() & (F.length("__name") > 0)).distinct()
         .withColumn("__nlen", F.length("__name"))
     )
@@ -70,7 +70,7 @@ def substring_table(dim: DataFrame, name_col: str, fold: bool = False, values: D
 
 def _counts(pieces: DataFrame, dim: DataFrame, name_col: str, fold: bool, count_col: str) -> DataFrame:
     """(``__v``, hits): the dimension rows are first counted per distinct name."""
-    names = dim.select(_match_key(F.col(name_col), fold).alias("__name")).groupBy("__name").agg(F.count(F.lit(1)).alias("__n"))
+    names = dim.select(match_key(F.col(name_col), fold).alias("__name")).groupBy("__name").agg(F.count(F.lit(1)).alias("__n"))
     return pieces.join(names, "__name").groupBy("__v").agg(F.sum("__n").alias(count_col))
 
 
@@ -81,7 +81,7 @@ def candidate_table(
     the dimension rows containing it and how many there are. The counts are joined back, so a short text that nearly
     every name contains needs no window over all its rows."""
     pieces = substring_table(dim, name_col, fold, values)
-    d = dim.select(_match_key(F.col(name_col), fold).alias("__name"), *take)
+    d = dim.select(match_key(F.col(name_col), fold).alias("__name"), *take)
     return pieces.join(d, "__name").drop("__name").join(_counts(pieces, dim, name_col, fold, count_col), "__v")
 
 
@@ -90,7 +90,7 @@ def substring_matches(
 ) -> DataFrame:
     """Pairs (value, dimension row) where the dimension name contains the value (case-insensitive; accent-folded
     when ``fold``); the result has ``value_col`` + ``take`` columns."""
-    v = values.select(F.col(value_col), _match_key(F.col(value_col), fold).alias("__v")).where(F.length("__v") > 0)
+    v = values.select(F.col(value_col), match_key(F.col(value_col), fold).alias("__v")).where(F.length("__v") > 0)
     cand = candidate_table(dim, name_col, take, fold, values=v.select("__v").distinct())
     return v.join(cand, "__v", "inner").select(value_col, *take)
 
@@ -116,13 +116,13 @@ def contains_join(
     adaptive execution measures the candidates and broadcasts them when small (then a city holding a third of all rows
     causes no skewed shuffle); otherwise it stays a shuffle join whose skewed partitions AQE splits.
     """
-    wanted = (facts if values is None else values).select(_match_key(F.col(city_col), fold).alias("__v"))
+    wanted = (facts if values is None else values).select(match_key(F.col(city_col), fold).alias("__v"))
     wanted = wanted.where(F.length("__v") > 0).distinct()
     if fan_out:
         cand = candidate_table(dim, name_col, take, fold, count_col, wanted)
     else:
         cand = _counts(substring_table(dim, name_col, fold, wanted), dim, name_col, fold, count_col)
-    out = facts.withColumn("__v", _match_key(F.col(city_col), fold)).join(cand, "__v", "left").drop("__v")
+    out = facts.withColumn("__v", match_key(F.col(city_col), fold)).join(cand, "__v", "left").drop("__v")
     return out.withColumn(count_col, F.coalesce(F.col(count_col), F.lit(0)))
 
 

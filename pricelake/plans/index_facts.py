@@ -18,6 +18,7 @@ from pricelake import constants as K
 from pricelake.functions.text import upper_trim
 from pricelake.operators import dims as D
 from pricelake.operators import facts as FA
+from pricelake.operators import likes as LK
 from pricelake.operators import match as M
 from pricelake.plans.tables import Tables
 from pricelake.session import cut_lineage
@@ -60,7 +61,8 @@ def build_index_fact(
     correct_province_name. ``target``: the current fact (``None`` = empty, as after the rebuild).
 
     ``compat=True`` applies the overrides after the dedupe and upsert, as the source system does (Q25): the
-    unmatched cities then collapse before they are fixed. ``fold=True`` matches accent-folded names (J5). ``cities``: a
+    unmatched cities then collapse before they are fixed; and the city text is a LIKE pattern (``_`` and ``%`` in it are
+    wildcards), not plain text. ``fold=True`` matches accent-folded names (J5). ``cities``: a
     column ``agglomeration`` that holds every city of the staging rows, if that is cheaper to read than they are.
     """
     # 1. normalise
@@ -79,7 +81,11 @@ def build_index_fact(
     # 3. match distinct cities (fan-out kept)
     prov = provinces.select("nom_province_prefecture", "id_province_prefecture", "id_region")
     values = cities.select(upper_trim("agglomeration").alias("agglomeration_raw")) if cities is not None else None
-    matched = M.contains_join(kept, "agglomeration_raw", prov, "nom_province_prefecture", ["id_province_prefecture", "id_region"], fold=fold, values=values)
+    ids = ["id_province_prefecture", "id_region"]
+    if compat:
+        matched = LK.like_join(kept, "agglomeration_raw", prov, "nom_province_prefecture", ids, values=values)
+    else:
+        matched = M.contains_join(kept, "agglomeration_raw", prov, "nom_province_prefecture", ids, fold=fold, values=values)
     matched = matched.drop("n_candidates").withColumn("match_quality", M.match_label("id_province_prefecture"))
     resolved = FA.resolve_overrides(overrides, prov) if overrides is not None else None
     # 4. overrides by name, before the dedupe
@@ -266,7 +272,7 @@ FROM src WHERE rn = 1
 )
 
 ORACLE_SQL_COMPAT = (
-    _SQL_COMMON
+    _SQL_COMMON.replace("instr(upper(d.n_name), f.agglomeration_raw) > 0", "upper(d.n_name) LIKE '%' || f.agglomeration_raw || '%'")
     + """
 , lk AS (
   SELECT m.*, CASE WHEN m.type_indice = 'T1' THEN v.id WHEN m.type_indice = 'T3' THEN pr.id END AS id_reference

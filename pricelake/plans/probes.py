@@ -11,6 +11,7 @@ shares are rounded doubles, counts are bigint.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,11 +21,13 @@ from pricelake import constants as K
 from pricelake.functions import text as X
 from pricelake.operators import dims as D
 from pricelake.operators import facts as FA
+from pricelake.operators import likes as LK
 from pricelake.operators import match as M
 from pricelake.operators import paths as P
 from pricelake.operators import quality as Q
 from pricelake.operators import refs as R
 from pricelake.operators import resolve as RS
+from pricelake.operators import suffixes as SX
 from pricelake.operators import weights as W
 from pricelake.plans.tables import TABLES, Tables
 from pricelake.sources import files as FS
@@ -199,6 +202,65 @@ def contains_join(spark, sf):
     return out.select("o_orderkey", "city", "id_match", F.col("n_candidates").cast("long").alias("n_candidates"))
 
 
+@probe(
+    "suffix_contains",
+    r"""
+WITH w AS (
+  SELECT DISTINCT upper(x) AS word FROM (SELECT unnest(regexp_extract_all(text, '[\p{L}]+')) AS x FROM documents)
+)
+SELECT w.word AS word, count(*) AS n_pages, min(p.page_id) AS first_page
+FROM w JOIN pages p ON instr(upper(p.url), w.word) > 0
+GROUP BY w.word
+""",
+)
+def suffix_contains(spark, sf):
+    """J4/J5 on long and many names: every word of the documents against whole urls, by the sorted suffix table."""
+    t = Tables(spark, sf, spread=True)
+    words = t.documents.select(F.explode(_tok_split(F.col("text"))).alias("w")).select(F.upper("w").alias("word")).distinct()
+    pages = t.pages.groupBy("url").agg(F.count(F.lit(1)).alias("n"), F.min("page_id").alias("first"))
+    hits = SX.suffix_matches(words, "word", pages, "url", ["n", "first"])
+    return hits.groupBy("word").agg(F.sum("n").cast("long").alias("n_pages"), F.min("first").alias("first_page"))
+
+
+@probe(
+    "like_join",
+    r"""
+WITH pat AS (
+  SELECT 'nation\_' || n_nationkey AS pattern FROM nation
+  UNION SELECT 'Nation_' || n_nationkey || '%' FROM nation
+  UNION SELECT replace(p_name, ' ', '_') FROM part
+  UNION SELECT substr(p_name, 1, 2) || '%' || substr(p_name, length(p_name) - 1) FROM part
+  UNION SELECT repeat('_', p_size) FROM part
+  UNION SELECT repeat('_', p_size) || '%' FROM part
+  UNION SELECT '%\#%' || substr(c_name, length(c_name) - 2) FROM customer
+  UNION SELECT '%' || substr(c_mktsegment, 2, 1) || '_' || substr(c_mktsegment, 4, 1) || '%' FROM customer
+), names AS (
+  SELECT p_name AS name FROM part UNION ALL SELECT p_type FROM part UNION ALL SELECT n_name FROM nation
+  UNION ALL SELECT c_name FROM customer UNION ALL SELECT c_mktsegment FROM customer
+)
+SELECT pattern, count(*) AS n_names, min(name) AS first_name
+FROM pat JOIN names ON upper(name) LIKE upper(pattern) ESCAPE '\'
+GROUP BY pattern
+""",
+)
+def like_join(spark, sf):
+    """Texts that are LIKE patterns (``%``, ``_``, escaped ones, wildcards only) against all names."""
+    t = Tables(spark, sf)
+    n, p, c = t.nation, t.part, t.customer
+    key, size, segment = F.col("n_nationkey").cast("string"), F.repeat(F.lit("_"), F.col("p_size")), F.col("c_mktsegment")
+    patterns = [
+        n.select(F.concat(F.lit("nation\\_"), key).alias("pattern")), n.select(F.concat(F.lit("Nation_"), key, F.lit("%"))),
+        p.select(F.replace("p_name", F.lit(" "), F.lit("_"))), p.select(F.concat(F.substring("p_name", 1, 2), F.lit("%"), F.substring("p_name", -2, 2))),
+        p.select(size), p.select(F.concat(size, F.lit("%"))),
+        c.select(F.concat(F.lit("%\\#%"), F.substring("c_name", -3, 3))),
+        c.select(F.concat(F.lit("%"), F.substring(segment, 2, 1), F.lit("_"), F.substring(segment, 4, 1), F.lit("%"))),
+    ]
+    names = [p.select(F.col("p_name").alias("name")), p.select("p_type"), n.select("n_name"), c.select("c_name"), c.select(segment)]
+    names = functools.reduce(DataFrame.union, names).groupBy(F.col("name")).agg(F.count(F.lit(1)).alias("n"))
+    hits = LK.like_matches(functools.reduce(DataFrame.union, patterns).distinct(), "pattern", names, "name", ["name", "n"])
+    return hits.groupBy("pattern").agg(F.sum("n").cast("long").alias("n_names"), F.min("name").alias("first_name"))
+
+
 @probe(
     "folded_contains_join",
     r"""
