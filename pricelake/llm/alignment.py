@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import column_texts, share_code, small_batches, written
+from pricelake.llm.common import byte_level_alphabet, column_texts, share_code, small_batches, written
 
 MAX_FILE_BYTES = 64 << 20
 #: Id pairs whose counts are broadcast at most (20 bytes each).
@@ -48,14 +48,6 @@ _NOT_PLAIN = re.compile(r"[^\t\n\r -~\xa0-ſ]")
 _BLOCK = "▁"
 
 
-def byte_level_alphabet() -> dict[str, int]:
-    """The byte of each character that byte-level vocabularies write: printable Latin-1 as it is, the others in order
-    from U+0100."""
-    own = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [b for b in range(256) if b not in own]
-    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 def chunks_of(text: str) -> Iterator[list[str]]:
     """The chunks of ``text`` (which begins with the added blank), a list per piece."""
     at = 0

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import column_texts, scratch_path, share_code, small_batches, written
+from pricelake.llm.common import byte_level_alphabet, column_texts, scratch_path, share_code, small_batches, written
 
 MAGIC = b"TOKIDS01"
 #: magic, range, shard of the range, documents, tokens, bytes of an id, documents without id, smallest document id
@@ -141,17 +141,18 @@ class Shard:
 
 # --- encoding --------------------------------------------------------------------------------------------------------
 
-CACHE_ENTRIES, CACHED_LENGTH, PIECE = 700_000, 48, 1 << 20
+CACHE_ENTRIES, PIECE = 800_000, 1 << 20
 _LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
-#: A word of Latin letters with one run of marks before and after it at most: its number of pre-tokens is plain to see.
-_SIMPLE = re.compile(rf'([("]?)[{_LATIN}]+([.,;:!?)"]*)')
+#: Marks, a word of Latin letters, marks: a pre-token each.
+_SIMPLE = re.compile(rf'([("]?)([{_LATIN}]+)([.,;:!?)"]*)')
 _BEYOND_LATIN = re.compile("[^\x00-\xff]")
 
 
 class Encoder:
     """Whole texts by the tokenizers library. Where the tokenizer drops white space (its pre-tokenizer keeps the matches
-    of a pattern without white space, its words end in a mark), a text is encoded blank by blank, and what stands between
-    blanks is looked up among those encoded before: the ids are the same, as no token reaches over a blank."""
+    of a pattern without white space), a text is encoded blank by blank, and what stands between blanks is looked up among
+    those encoded before: the ids are the same, as no token reaches over a blank. In the same way a word is looked up apart
+    from the marks around it."""
 
     def __init__(self, definition: str):
         import os
@@ -167,54 +168,55 @@ class Encoder:
         self.width = 2 if max(vocabulary.values(), default=0) < 1 << 16 else 4
         steps = (own.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
         lower = [n.get("type") for n in (own.get("normalizer") or {}).get("normalizers", [])]
-        mark = own["model"].get("end_of_word_suffix")
-        self.drops_blanks = bool(mark) and steps[0].get("behavior") == "Removed" and bool(steps[0].get("invert")) and lower == ["NFC", "Replace", "Lowercase"]
-        if self.drops_blanks:
-            self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-            self.ends[[i for t, i in vocabulary.items() if t.endswith(mark)]] = True
+        self.drops_blanks = steps[0].get("behavior") == "Removed" and bool(steps[0].get("invert")) and lower == ["NFC", "Replace", "Lowercase"]
+        letters = byte_level_alphabet()
+        self.written = {b: c for c, b in letters.items()}
+        self.splits_marks = self.drops_blanks and [p for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str('"aéz.,;:!?)"')] == ['"', self._in_bytes("aéz"), '.,;:!?)"']
         self.cache: dict[str, bytes] = {}
 
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+    def _in_bytes(self, word: str) -> str:
+        return word if word.isascii() else "".join([self.written[b] for b in word.encode()])
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
         got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, f"<u{self.width}") for e in got]
+        return [np.array(e.ids, f"<u{self.width}").tobytes() for e in got]
 
-    def _words(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
-        """Words in groups: simple ones as one text, cut after their numbers of word ends; others one by one."""
-        rest, simple, counts = [], [], []
+    def _words(self, words: set[str]) -> dict[str, bytes]:
+        """The ids of what stands between blanks, lower-cased unless it has characters beyond Latin-1. A word and the marks
+        around it are pre-tokens, which the tokenizer's model cuts up; anything else goes through the whole tokenizer."""
+        out, rest, cache, cut = {}, [], self.cache, self.tokenizer.model.tokenize
+        kind = f"<u{self.width}"
         for w in words:
-            if m := _SIMPLE.fullmatch(w):
-                simple.append(w)
-                counts.append(1 + bool(m[1]) + bool(m[2]))
-            else:
+            m = _SIMPLE.fullmatch(w) if self.splits_marks else None
+            if not m or m[2] != m[2].lower():
                 rest.append(w)
-        groups = [(simple[i : i + 64], counts[i : i + 64]) for i in range(0, len(simple), 64)]
-        for (group, n_ends), ids in zip(groups, self._ids([" ".join(g) for g, _ in groups]), strict=True):
-            cuts, ends = np.flatnonzero(self.ends[ids]) + 1, np.cumsum(n_ends)
-            if len(cuts) != ends[-1]:
-                rest += group
                 continue
-            yield from zip(group, (x.tobytes() for x in np.split(ids, cuts[ends[:-1] - 1])), strict=True)
-        yield from zip(rest, (x.tobytes() for x in self._ids(rest)), strict=True)
+            found = b""
+            for part in m.groups():
+                if part:
+                    if (ids := cache.get(part)) is None:
+                        ids = cache[part] = np.array([t.id for t in cut(self._in_bytes(part))], kind).tobytes()
+                    found += ids
+            out[w] = found
+        out.update(zip(rest, self._ids(rest), strict=True))
+        return out
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         """The ids of each text as bytes of ``width`` each."""
         if not self.drops_blanks:
-            return [x.tobytes() for x in self._ids(list(texts))]
-        if len(self.cache) > CACHE_ENTRIES:
-            self.cache.clear()
+            return self._ids(list(texts))
         cache, out = self.cache, []
         for text in texts:
             found = []
+            if len(cache) > CACHE_ENTRIES:
+                cache.clear()
             for piece in _pieces(text):
                 if not _BEYOND_LATIN.search(piece):
                     piece = piece.lower()  # as the tokenizer does; NFC changes nothing here
                 words = piece.replace("\n", " ").split(" ")
-                extra = {}
                 if missing := set(words).difference(cache):
-                    for w, ids in self._words(list(missing)):
-                        (cache if len(w) <= CACHED_LENGTH else extra)[w] = ids
-                get = {**extra, **{w: cache[w] for w in set(words) - extra.keys()}} if extra else cache
-                found.append(b"".join(map(get.__getitem__, words)))
+                    cache.update(self._words(missing))
+                found.append(b"".join(map(cache.__getitem__, words)))
             out.append(b"".join(found))
         return out
 
