@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +22,7 @@ from pricelake.operators import likes as LK
 from pricelake.operators import match as M
 from pricelake.plans.tables import Tables
 from pricelake.session import cut_lineage
+from pricelake.sources import partitioned as PT
 
 FACT_SCHEMA = T.StructType(
     [
@@ -131,6 +132,33 @@ def with_fact_ids(fact: DataFrame, tie_break: Sequence[str] = (), known: DataFra
     return joined.where("id_indice IS NOT NULL").unionByName(fresh)
 
 
+def upsert_fact(source: DataFrame, root: str, tie_break: Sequence[str] = (), best: bool = False) -> list[str | None]:
+    """U1 and D1 on the stored fact at ``root`` (see :mod:`pricelake.sources.partitioned`), partitioned by ``annee``: only
+    the years that ``source`` falls in are rewritten. ``source``: the fact's columns without ids, natural keys once each.
+
+    Matched keys keep their ids; they take the source's update columns, or, with ``best``, the row that comes first in the
+    order of the dedupe (W1), so that the result doesn't depend on the order in which sources come or come again. New keys
+    are numbered from the greatest id of the whole table on, which its manifest holds."""
+    spark = source.sparkSession
+    start = PT.max_id(spark, root)
+    columns = ["id_indice", *[f.name for f in FACT_SCHEMA.fields], *tie_break]
+
+    def merge(target: DataFrame, rows: DataFrame) -> DataFrame:
+        if best:
+            both = target.withColumn("__old", F.lit(0)).unionByName(rows.withColumn("__old", F.lit(1)))
+            same = Window.partitionBy(*NATURAL_KEY)
+            order = [FA.desc_nulls_as("prix_moyen", -1), FA.desc_nulls_as("valeur_indice", -1), *[F.col(c) for c in tie_break], F.col("__old")]
+            merged = both.withColumn("__id", F.max("id_indice").over(same)).withColumn("__rn", F.row_number().over(same.orderBy(*order)))
+            merged = merged.where("__rn = 1").withColumn("id_indice", F.col("__id")).select(*columns)
+        else:
+            merged = FA.upsert(target.select(*columns), rows, NATURAL_KEY, UPDATE_COLS)
+        merged = cut_lineage(merged)
+        fresh = D.assign_ids(merged.where("id_indice IS NULL").drop("id_indice"), [*NATURAL_KEY, *tie_break], "id_indice", start=start)
+        return merged.where("id_indice IS NOT NULL").unionByName(fresh.select(*columns))
+
+    return PT.upsert_partitions(source.select(F.lit(None).cast("long").alias("id_indice"), *columns[1:]), root, "annee", merge, "id_indice")
+
+
 # ------------------------------------------------------------------------------------------------ on the driver tables
 def _staging(spark: SparkSession, sf: str) -> DataFrame:
     """Price rows of the flagship: lineitem lines with the order year, the customer's nation name as city text

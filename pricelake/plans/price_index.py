@@ -196,18 +196,20 @@ def _overrides(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(K.CITY_OVERRIDES), "agglomeration_raw string, correct_province_name string, row_count int")
 
 
+def fact_references(spark: SparkSession, geo: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Provinces, exclusions and overrides as the index fact takes them."""
+    provinces = geo["province"].select(
+        F.col("nom").alias("nom_province_prefecture"), F.col("id").alias("id_province_prefecture"), F.col("id_parent").alias("id_region")
+    )
+    exclusions = spark.createDataFrame(list(K.CITY_EXCLUSIONS), "agglomeration_raw string, id_province_prefecture long")
+    return provinces, exclusions, _overrides(spark)
+
+
 def gold_facts(staging: DataFrame, geo: dict[str, DataFrame], trade: dict[str, DataFrame], compat: bool = False,
                target: DataFrame | None = None, known: DataFrame | None = None) -> DataFrame:
     """The index fact (see :func:`pricelake.plans.index_facts.build_index_fact`) with ids; natural keys of ``known`` (the
     last version of the fact) keep theirs."""
-    spark = staging.sparkSession
-    provinces = geo["province"].select(
-        F.col("nom").alias("nom_province_prefecture"), F.col("id").alias("id_province_prefecture"), F.col("id_parent").alias("id_region")
-    )
-    exclusions = spark.createDataFrame(
-        list(K.CITY_EXCLUSIONS), "agglomeration_raw string, id_province_prefecture long"
-    )
-    overrides = _overrides(spark)
+    provinces, exclusions, overrides = fact_references(staging.sparkSession, geo)
     tb = ["source_file", "row_index"]
     fact = build_index_fact(
         staging.select("annee", "indice", "prix_ttc", "file_type", "agglomeration", "produit", "variete", *tb),

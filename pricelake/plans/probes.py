@@ -710,6 +710,32 @@ def fact_upsert(spark, sf):
     new ones are numbered from the greatest on. The region key is NULL throughout: keys match null-safely."""
     from pricelake.plans import index_facts as IF
 
+    old, fresh = _yearly_facts(spark, sf)
+    merged = FA.upsert(old.drop("id_indice"), fresh, IF.NATURAL_KEY, IF.UPDATE_COLS)
+    out = IF.with_fact_ids(merged, known=old)
+    return out.select("annee", "id_reference", "id_province_prefecture", F.col("prix_moyen").cast("double").alias("prix_moyen"), "id_indice")
+
+
+@probe("fact_upsert_pruned", _FACT_IDS_SQL)
+def fact_upsert_pruned(spark, sf):
+    """U1/D1 on a stored fact: the same upsert, rewriting only the years from 1995 on; the folders of earlier years are
+    carried over by the version's manifest, which also holds the greatest id."""
+    from pricelake.plans import index_facts as IF
+    from pricelake.session import scratch_folder
+    from pricelake.sources import partitioned as PT
+
+    old, fresh = _yearly_facts(spark, sf)
+    root = scratch_folder(spark, "fact-upsert")
+    PT.write_partitions(old.select("id_indice", *[f.name for f in IF.FACT_SCHEMA.fields]), root, "annee", "id_indice")
+    IF.upsert_fact(fresh, root)
+    out = PT.read_partitions(spark, root)
+    return out.select("annee", "id_reference", "id_province_prefecture", F.col("prix_moyen").cast("double").alias("prix_moyen"), "id_indice")
+
+
+def _yearly_facts(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """An earlier version of the fact with ids (up to 1995) and its successor's rows from 1995 on."""
+    from pricelake.plans import index_facts as IF
+
     nat = (
         Tables(spark, sf).lineitem.groupBy(
             F.year("l_shipdate").cast("int").alias("annee"), F.lit("T1").alias("type_indice"), F.col("l_partkey").cast("long").alias("id_reference"),
@@ -719,10 +745,7 @@ def fact_upsert(spark, sf):
         .withColumn("match_quality", F.lit("X")).withColumn("agglomeration_raw", F.lit(None).cast("string"))
     )
     old = IF.with_fact_ids(nat.where("annee <= 1995"))
-    fresh = nat.where("annee >= 1995").withColumn("prix_moyen", (F.col("prix_moyen") + 1).cast("decimal(18,6)"))
-    merged = FA.upsert(old.drop("id_indice"), fresh, IF.NATURAL_KEY, IF.UPDATE_COLS)
-    out = IF.with_fact_ids(merged, known=old)
-    return out.select("annee", "id_reference", "id_province_prefecture", F.col("prix_moyen").cast("double").alias("prix_moyen"), "id_indice")
+    return old, nat.where("annee >= 1995").withColumn("prix_moyen", (F.col("prix_moyen") + 1).cast("decimal(18,6)"))
 
 
 # ---- overrides on unmatched cities (J7, U3, Q-10) and the reports over the result

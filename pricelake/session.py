@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,6 +56,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below ``spark.checkpoint.dir`` (shared storage), deleted when the driver's JVM ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)  # noqa: SLF001
+    return path
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """For CPU-heavy row work on an input with fewer splits than task slots (a file with one row group is read by one
     task): hash-partitions it by ``keys`` (deterministic on retry), or round-robin. An input of as many splits as slots

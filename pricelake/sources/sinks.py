@@ -13,12 +13,29 @@ def append_run(
     df: DataFrame, path: str, run_id: str, partition_col: str = "run_id", fmt: str = "parquet", by: Sequence[str] = ()
 ) -> None:
     """Write one run's rows under ``run_id=<id>`` (and below it by ``by``). A retried run replaces its own folder,
-    also where the retry has fewer rows or none (Q9 fix); other runs are untouched."""
-    fs, root, jvm = _fs(df.sparkSession, path)
-    own = jvm.org.apache.hadoop.fs.Path(root, f"{partition_col}={run_id}")
+    also where the retry has fewer rows or none (Q9 fix); other runs are untouched. The rows are written aside first (below
+    a folder that readers pass over) and take the place of the old ones by renames: a write that fails leaves these as
+    they were, and a swap that was cut short between its renames is made good by the next call for the run."""
+    fs, root, jvm = file_system(df.sparkSession, path)
+    at = jvm.org.apache.hadoop.fs.Path
+    own = at(root, f"{partition_col}={run_id}")
+    aside, old = at(root, f"_new-{partition_col}={run_id}"), at(root, f"_old-{partition_col}={run_id}")
+    if fs.exists(old) and not fs.exists(own):
+        fs.rename(old, own)
+    for rest in (aside, old):
+        fs.delete(rest, True)
+    df.write.partitionBy(*by).format(fmt).save(aside.toString())
     if fs.exists(own):
-        fs.delete(own, True)
-    df.withColumn(partition_col, F.lit(run_id)).write.mode("append").partitionBy(partition_col, *by).format(fmt).save(path)
+        fs.rename(own, old)
+    part = "part-" if not by else f"{by[0]}="
+    if any(st.getPath().getName().startswith(part) for st in fs.listStatus(aside)) and not _is_empty(df, aside.toString(), fmt):
+        fs.rename(aside, own)
+    for rest in (aside, old):
+        fs.delete(rest, True)
+
+
+def _is_empty(df: DataFrame, path: str, fmt: str) -> bool:
+    return df.sparkSession.read.schema(df.schema).format(fmt).load(path).isEmpty()
 
 
 def replace_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -27,7 +44,7 @@ def replace_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.mode("overwrite").format(fmt).save(path)
 
 
-def _fs(spark: SparkSession, root: str):
+def file_system(spark: SparkSession, root: str):
     jvm = spark.sparkContext._jvm  # noqa: SLF001
     conf = spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
     p = jvm.org.apache.hadoop.fs.Path(root)
@@ -36,7 +53,7 @@ def _fs(spark: SparkSession, root: str):
 
 def versions(spark: SparkSession, root: str) -> list[str]:
     """Committed versions of a table (folders ``v=<n>`` holding a ``_SUCCESS`` marker), oldest first."""
-    fs, p, jvm = _fs(spark, root)
+    fs, p, jvm = file_system(spark, root)
     if not fs.exists(p):
         return []
     out = []

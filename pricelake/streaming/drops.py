@@ -41,21 +41,32 @@ def stream_files(spark: SparkSession, root: str, glob: str = "*.csv", max_files_
     return df.withColumn("archive", F.lit("")).withColumn("rel_path", rel)
 
 
+def with_members(files: DataFrame) -> DataFrame:
+    """archive, rel_path, content: the files that aren't ZIP drops, and the CSV members of those that are."""
+    is_zip = F.lower("rel_path").endswith(".zip")
+    columns = ["archive", "rel_path", "content"]
+    members = S.explode_archives(files.where(is_zip)).where(F.lower("rel_path").endswith(".csv"))
+    return files.where(~is_zip).select(*columns).unionByName(members.select(*columns))
+
+
+def write_raw(files: DataFrame, out_path: str, run_id: str) -> DataFrame:
+    """Parses files (archive, rel_path, content) and writes run ``run_id`` with the schema of the batch plan: ``raw_rows``
+    below ``out_path``, and ``raw_files`` and ``skipped_rows`` beside them. Returns the raw rows written."""
+    parsed = cut_lineage(S.to_rows(S.sniff(files)))
+    out = out_path.rstrip("/")
+    raw = raw_rows(parsed, run_id)
+    SK.append_run(raw.drop("run_id"), f"{out}/raw_rows", run_id, by=["dataset"])
+    SK.append_run(S.manifest(parsed, run_id).drop("run_id"), f"{out}/raw_files", run_id)
+    SK.append_run(S.skipped_rows(parsed), f"{out}/skipped_rows", run_id)
+    return raw
+
+
 def rows_sink(out_path: str, run_prefix: str = "stream") -> Callable[[DataFrame, int], None]:
     """foreachBatch handler: parse the batch's files (and the members of its ZIP drops) and write them as run
-    ``<prefix>-<batch>``, with the schema of the batch plan: ``raw_rows`` below ``out_path``, and ``raw_files`` and
-    ``skipped_rows`` beside them. The batch id is stable across replays, so a replay overwrites its own run."""
+    ``<prefix>-<batch>`` (:func:`write_raw`). The batch id is stable across replays, so a replay overwrites its own run."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        run_id = f"{run_prefix}-{batch_id:08d}"
-        is_zip = F.lower("rel_path").endswith(".zip")
-        columns = ["archive", "rel_path", "content"]
-        members = S.explode_archives(batch.where(is_zip)).where(F.lower("rel_path").endswith(".csv"))
-        parsed = cut_lineage(S.to_rows(S.sniff(batch.where(~is_zip).select(*columns).unionByName(members.select(*columns)))))
-        out = out_path.rstrip("/")
-        SK.append_run(raw_rows(parsed, run_id).drop("run_id"), f"{out}/raw_rows", run_id, by=["dataset"])
-        SK.append_run(S.manifest(parsed, run_id).drop("run_id"), f"{out}/raw_files", run_id)
-        SK.append_run(S.skipped_rows(parsed), f"{out}/skipped_rows", run_id)
+        write_raw(with_members(batch), out_path, f"{run_prefix}-{batch_id:08d}")
 
     return handle
 
