@@ -23,15 +23,24 @@ from pricelake.operators.resolve import first_col, pick_name_column, resolve_fie
 from pricelake.plans.index_facts import build_index_fact, with_fact_ids
 from pricelake.session import cut_lineage
 from pricelake.sources import files as S
+from pricelake.sources import ranges as RG
 from pricelake.sources import sinks as SK
 
 
+#: CSV files beyond this size are read in byte ranges instead of as one record.
+LARGE_BYTES = 256 << 20
+
+
 # --------------------------------------------------------------------------------------------------------- bronze
 def land_rows(spark: SparkSession, landing_root: str, ref_root: str | None = None, compat: bool = False,
-              drops: str = "newest") -> DataFrame:
+              drops: str = "newest", large_bytes: int = LARGE_BYTES) -> DataFrame:
     """Bronze: the rows (all statuses, see :func:`S.to_rows`) of the CSV files, of the newest ZIP drop (S3; ``drops="all"``:
-    of every drop) and of the reference CSVs, which join the run under their own folder (S12)."""
+    of every drop) and of the reference CSVs, which join the run under their own folder (S12). CSV files of more than
+    ``large_bytes`` are read in byte ranges (not with ``compat``)."""
     files = S.scan_tree(spark, landing_root, "*.csv")
+    large = [] if compat else files.where(F.col("length") > large_bytes).select("path", "rel_path").collect()  # a row per large file
+    if large:
+        files = files.where(F.col("length") <= large_bytes)
     zips = S.scan_tree(spark, landing_root, "*.zip")
     if drops == "newest":
         zips = zips.where(F.col("path") == zips.select(F.max("path")).scalar())
@@ -41,7 +50,10 @@ def land_rows(spark: SparkSession, landing_root: str, ref_root: str | None = Non
     if ref_root:
         refs = S.scan_tree(spark, ref_root, "*.csv")
         files = files.unionByName(refs.select("archive", F.concat(F.lit(K.REFERENCE_FOLDER + "/"), "rel_path").alias("rel_path"), "content"))
-    return S.to_rows(S.sniff(files), compat=compat)
+    rows = S.to_rows(S.sniff(files), compat=compat)
+    if large:
+        rows = rows.unionByName(RG.read_csv_ranges(spark, [r["path"] for r in large], {r["path"]: r["rel_path"] for r in large}))
+    return rows
 
 
 def raw_rows(parsed: DataFrame, run_id: str) -> DataFrame:

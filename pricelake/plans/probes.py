@@ -31,6 +31,7 @@ from pricelake.operators import suffixes as SX
 from pricelake.operators import weights as W
 from pricelake.plans.tables import TABLES, Tables
 from pricelake.sources import files as FS
+from pricelake.sources import ranges as RG
 
 Probe = Callable[[SparkSession, str], DataFrame]
 PROBES: dict[str, Probe] = {}
@@ -486,6 +487,22 @@ FROM customer
 """
 
 
+@probe(
+    "csv_ranges",
+    "SELECT conv_id, turn, coalesce(role, '') AS role, md5(coalesce(text, '')) AS text_md5, length(coalesce(text, '')) AS n_chars FROM conversations",
+)
+def csv_ranges(spark, sf):
+    """S4/S5 for files of any size: the conversations as quoted CSV with line breaks in cells, read back in byte ranges."""
+    from pricelake.session import scratch_folder
+
+    path = scratch_folder(spark, "csv-ranges")
+    t = Tables(spark, sf).conversations.select("conv_id", "turn", "role", "text")
+    t.write.csv(path, header=True, quoteAll=True, escape='"', lineSep="\n", nullValue="", emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    m = FS.row_map("row_json")
+    rows = RG.read_csv_ranges(spark, [path]).where("status = 'ok'").select(m.alias("m")).select(*[F.col("m")[c].alias(c) for c in t.columns])
+    return rows.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", F.md5(F.col("text").cast("binary")).alias("text_md5"), F.length("text").cast("long").alias("n_chars"))
+
+
 def _customer_files(spark, sf) -> DataFrame:
     """Every customer as a small CSV file of its own; separator, quoting, line ends and header differ by segment."""
     key, name, nation = (F.col(c).cast("string") for c in ("c_custkey", "c_name", "c_nationkey"))
