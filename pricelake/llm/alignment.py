@@ -36,28 +36,31 @@ MAX_FILE_BYTES = 64 << 20
 #: Id pairs whose counts are broadcast at most (20 bytes each).
 HOT_PAIRS = 1 << 18
 #: Distinct chunks that a worker keeps, and chunks counted before they are handed on.
-KEPT_CHUNKS, COUNTED_CHUNKS = 500_000, 300_000
+KEPT_CHUNKS, COUNTED_CHUNKS = 700_000, 300_000
 #: Texts are cut into chunks in pieces of about this many characters.
 PIECE = 1 << 20
 
 _CHUNK = re.compile(r"\s*\S+(?:(?! \S)\s+\S+)*(?:\s+\Z)?|\s+\Z")
 _CUT = re.compile(r"(?<=\S)(?= \S)")
-_REGULAR = re.compile(r" \S(?:.*\S)?", re.DOTALL)
+_ODD_BLANKS = re.compile(r"\s\s|\A\s|\s\Z")
 _PLAIN = "\t\n\r" + "".join(map(chr, [*range(32, 127), *range(0xA0, 0x180)]))
 _NOT_PLAIN = re.compile(r"[^\t\n\r -~\xa0-ſ]")
 _BLOCK = "▁"
 
 
 def chunks_of(text: str) -> Iterator[list[str]]:
-    """The chunks of ``text`` (which begins with the added blank), a list per piece."""
-    at = 0
+    """The chunks of a text without the blank that each begins with (the first with the added one), a list per piece."""
+    if len(text) <= PIECE and not _ODD_BLANKS.search(text):
+        yield text.split(" ")
+        return
+    text, at = " " + text, 0
     while len(text) - at > PIECE:
         cut = _CUT.search(text, at + PIECE)
         if not cut:
             break
-        yield _CHUNK.findall(text[at : cut.start()])
+        yield [c[1:] for c in _CHUNK.findall(text[at : cut.start()])]
         at = cut.start()
-    yield _CHUNK.findall(text[at:] if at else text)
+    yield [c[1:] for c in _CHUNK.findall(text[at:])]
 
 
 class Tokenizers:
@@ -96,11 +99,14 @@ class Tokenizers:
     def joined_b(self, text: str) -> str:
         return b"".join(self.b_bytes[i] for i in self.b.encode(text)).decode("utf-8", "replace")
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The A and B ids of all texts (each with its added blank), one after the other."""
-        a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
-        b = self.b.encode([t[1:] for t in texts], num_threads=1)
-        return tuple(np.fromiter(itertools.chain.from_iterable(x), np.int64) for x in (a, b))
+    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """The A ids of each text behind a blank, the B ids of each text (which adds the blank)."""
+        a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
+        return [e.ids for e in a], self.b.encode(texts, num_threads=1)
+
+    def keeps(self, a: list[int], b: list[int], raw: bytes) -> bool:
+        """Both sides' bytes are ``raw``."""
+        return b"".join([self.a_bytes[i] for i in a]) == raw and b"".join([self.b_bytes[i] for i in b]) == raw
 
 
 def groups_of(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -145,8 +151,12 @@ class Aligned:
 
     def ids(self, chunks: list[str]) -> np.ndarray:
         """The index of each chunk; new ones are aligned."""
-        if missing := set(chunks).difference(self.index):
-            self._add(list(missing))
+        if missing := [*set(chunks).difference(self.index)]:
+            for i in range(0, len(missing), 1 << 15):
+                self._add(missing[i : i + (1 << 15)])
+        return self.known(chunks)
+
+    def known(self, chunks: list[str]) -> np.ndarray:
         return np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks))
 
     def make_room(self) -> None:
@@ -155,21 +165,29 @@ class Aligned:
             self.clear()
 
     def _add(self, chunks: list[str]) -> None:
-        regular = [c for c in chunks if _REGULAR.fullmatch(c)]
-        texts = ["".join(regular[i : i + 64]) for i in range(0, len(regular), 64)]
-        rest = [c for c in chunks if not _REGULAR.fullmatch(c)]
-        order, tools = regular + rest, self.tools
-        a, b = tools.encode(texts + rest)
-        raw = "".join(order).encode()
-        if b"".join([tools.a_bytes[i] for i in a]) == raw and b"".join([tools.b_bytes[i] for i in b]) == raw:
-            lengths = np.fromiter((len(c) if c.isascii() else len(c.encode()) for c in order), np.int64, len(order))
-            self._align(order, np.cumsum(lengths), a, b)
-        elif len(order) > 1:
-            for half in (order[: len(order) // 2], order[len(order) // 2 :]):
-                self._add(half)
-        else:
-            self.unequal.add(self.n)
-            self._keep(order, [""], np.zeros((1, 6), np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64))
+        """Aligns new chunks: those that neither begin nor end with white space in texts of 64, others one by one. Where a
+        text isn't kept by both sides, its chunks are looked at one by one."""
+        regular = [c for c in chunks if c and not c[0].isspace() and not c[-1].isspace()]
+        rest = [[c] for c in (set(chunks).difference(regular) if len(regular) < len(chunks) else ())]
+        groups = [regular[i : i + 64] for i in range(0, len(regular), 64)] + rest
+        texts = [" ".join(g) for g in groups]
+        a, b = self.tools.encode(texts)
+        flat = [*itertools.chain.from_iterable(a)], [*itertools.chain.from_iterable(b)]
+        if not self.tools.keeps(*flat, "".join([" " + t for t in texts]).encode()):
+            good = [self.tools.keeps(x, y, f" {t}".encode()) for x, y, t in zip(a, b, texts, strict=True)]
+            bad = [g for g, ok in zip(groups, good, strict=True) if not ok]
+            for c in (g[0] for g in bad if len(g) == 1):
+                self.unequal.add(self.n)
+                self._keep([c], [""], np.zeros((1, 6), np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64))
+            for g in bad:
+                for c in g if len(g) > 1 else ():
+                    self._add([c])
+            groups = [g for g, ok in zip(groups, good, strict=True) if ok]
+            flat = [[i for x, ok in zip(side, good, strict=True) if ok for i in x] for side in (a, b)]
+        order = [*itertools.chain.from_iterable(groups)]
+        if order:
+            lengths = np.fromiter((len(c) if c.isascii() else len(c.encode()) for c in order), np.int64, len(order)) + 1
+            self._align(order, np.cumsum(lengths), *(np.array(x, np.int64) for x in flat))
 
     def _align(self, chunks: list[str], ends: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
         a_ends, b_ends = np.cumsum(self.tools.a_length[a]), np.cumsum(self.tools.b_length[b])
@@ -251,21 +269,29 @@ class Reader:
         return cls.aligned[1]
 
 
-class Text:
-    """A text through its chunks: their ids and, if any chunk isn't kept by both tokenizers, the whole text as one."""
-
-    def __init__(self, aligned: Aligned, text: str):
+def read_texts(aligned: Aligned, texts: list[str]) -> Iterator[list[np.ndarray]]:
+    """For each text the indices of its chunks, in pieces; none if it is empty or not kept by both tokenizers. If any chunk
+    isn't kept, the whole text is looked at as one chunk. The new chunks of many texts are aligned together; indices hold
+    until the next text is asked for."""
+    at = 0
+    while at < len(texts):
+        end, size = at, 0
+        while end < len(texts) and (end == at or size + len(texts[end]) <= 4 * PIECE):
+            size += len(texts[end])
+            end += 1
+        group, at = texts[at:end], end
         aligned.make_room()
-        lists = chunks_of(" " + text) if aligned.tools.cuts else [[" " + text]]
-        self.lists, ok = [], True
-        for chunks in lists:
-            self.lists.append(aligned.ids(chunks))
-            ok = ok and not (aligned.unequal and aligned.unequal.intersection(self.lists[-1].tolist()))
-        if not ok and aligned.tools.cuts:
-            self.lists = [aligned.ids([" " + text])]
-            ok = not aligned.unequal.intersection(self.lists[0].tolist())
-        if not ok:
-            self.lists = []
+        cut = [[*chunks_of(t)] if aligned.tools.cuts else [[t]] for t in group] if len(group) > 1 else []
+        if cut:
+            aligned.ids([c for lists in cut for chunks in lists for c in chunks])
+        for k, text in enumerate(group):
+            lists = cut[k] if cut else chunks_of(text) if aligned.tools.cuts else [[text]]
+            found = [aligned.known(c) if cut else aligned.ids(c) for c in lists] if text else []
+            if aligned.unequal and any(not aligned.unequal.isdisjoint(x.tolist()) for x in found):
+                found = [aligned.ids([text])]
+                if not aligned.unequal.isdisjoint(found[0].tolist()):
+                    found = []
+            yield found
 
 
 def count_chunks(docs: DataFrame, text_col: str, shared) -> DataFrame:
@@ -280,15 +306,17 @@ def count_chunks(docs: DataFrame, text_col: str, shared) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(counts.values(), pa.int64())], names=["chunk", "n"])
 
         for b in small_batches(batches, 4 << 20):
+            other = []
             for text in column_texts(b.column(0)):
-                if not text:
-                    continue
                 if aligned.tools.plain_is_kept and not _NOT_PLAIN.search(text):
-                    for chunks in chunks_of(" " + text):
+                    for chunks in chunks_of(text) if text else ():
                         counts.update(chunks)
-                elif (found := Text(aligned, text)).lists:
-                    whole = len(found.lists) == 1 and len(found.lists[0]) == 1
-                    for chunks in [[" " + text]] if whole else chunks_of(" " + text):
+                else:
+                    other.append(text)
+            for text, found in zip(other, read_texts(aligned, other), strict=True):
+                if found:
+                    whole = not aligned.tools.cuts or len(found) == 1 and len(found[0]) == 1
+                    for chunks in [[text]] if whole else chunks_of(text):
                         counts.update(chunks)
             if len(counts) > COUNTED_CHUNKS:
                 yield out()
@@ -367,9 +395,8 @@ def align_tokenizers(
         row = TaskContext.get().partitionId() << 36
         for b in small_batches(batches, 4 << 20):
             rows, digests, rest, groups = np.zeros((b.num_rows, 7), np.int64), [], ([], []), []
-            for i, text in enumerate(column_texts(b.column(1))):
+            for i, lists in enumerate(read_texts(aligned, [*column_texts(b.column(1))])):
                 rows[i, 0], row = row, row + 1
-                lists = Text(aligned, text).lists if text else []
                 digest, kept, rare = hashlib.sha256(), [], []
                 for k, ids in enumerate(lists):
                     part = ";" * bool(k) + ";".join([aligned.groups[j] for j in ids.tolist()])

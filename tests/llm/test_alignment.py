@@ -104,18 +104,20 @@ def test_chunks_give_the_whole_texts_tokens(plain):
     for t in texts(1500, 5):
         if not t:
             continue
-        chunks = [c for part in A.chunks_of(" " + t) for c in part]
-        assert "".join(chunks) == " " + t
-        assert [i for c in chunks for i in tools.encode([c])[0]] == plain.a.encode(" " + t, add_special_tokens=False).ids
-        assert [i for c in chunks for i in tools.encode([c])[1]] == plain.b.encode(t)
+        chunks = [c for part in A.chunks_of(t) for c in part]
+        assert " ".join(chunks) == t
+        assert [i for x in tools.encode(chunks)[0] for i in x] == plain.a.encode(" " + t, add_special_tokens=False).ids
+        assert [i for x in tools.encode(chunks)[1] for i in x] == plain.b.encode(t)
 
 
 def test_long_text_in_pieces(monkeypatch):
+    t = "some words,  and\n more " * 40
+    whole = [c for x in A.chunks_of(t) for c in x]
     monkeypatch.setattr(A, "PIECE", 50)
-    t = " some words,  and\n more " * 40
     lists = [*A.chunks_of(t)]
     assert len(lists) > 10
-    assert [c for x in lists for c in x] == A._CHUNK.findall(t)
+    assert [c for x in lists for c in x] == whole
+    assert [c for x in A.chunks_of("plain words " * 30 + "end") for c in x] == ["plain", "words"] * 30 + ["end"]
 
 
 def test_groups_by_doubling():
