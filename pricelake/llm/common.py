@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
+import weakref
 import zipfile
 from collections.abc import Iterator
 
@@ -44,11 +46,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+_WRITTEN: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to shared storage and read back: cuts the lineage and survives lost executors."""
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _WRITTEN[out] = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables of :func:`written` that nothing will read again: call it when what was made of them is written. The
+    driver's garbage goes too, so that Spark's cleaner drops the shuffles that led to them."""
+    for t in tables:
+        jvm = t.sparkSession.sparkContext._jvm  # noqa: SLF001
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop(t))
+        path.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)  # noqa: SLF001
+    if tables:
+        gc.collect()
+        jvm.System.gc()
 
 
 def column_bytes(column: pa.Array) -> Iterator[bytes]:

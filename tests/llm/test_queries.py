@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -446,3 +447,40 @@ def test_pipeline(spark, docs, rows):
     assert len(want ^ {r.doc_id for r in got}) <= 2  # the join's recall
     tokens = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in rows("op10_bpe")}
     assert all(tokens[r.doc_id] == (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in got)
+
+
+def shifted_pairs(n_words, n_put_in, places, n_pairs, seed):
+    """Texts with a passage, and with the passage after words were put in at some places; the passages' tokens."""
+    rng = random.Random(seed)
+
+    def junk(n):
+        return [f"j{rng.randrange(10**9)}" for _ in range(n)]
+
+    for _ in range(n_pairs):
+        own = junk(n_words)
+        other = own[:]
+        for k in range(places):
+            at = (k + 1) * n_words // (places + 1) + rng.randrange(-8, 9)
+            other[at:at] = junk(n_put_in // places)
+        yield junk(rng.randrange(20, 200)), own, other, junk(rng.randrange(20, 200))
+
+
+@pytest.mark.parametrize("n_words, n_put_in, places", [(90, 4, 1), (80, 6, 1), (60, 3, 1), (100, 10, 1), (120, 8, 2), (150, 9, 3), (200, 15, 1)])
+def test_words_put_in_move_a_passage(spark, n_words, n_put_in, places):
+    """Near duplicates of 0.8 and more whose shift changes by any number of words: recall of at least 0.9."""
+    rows, want = [], {}
+    for i, (before, own, other, after) in enumerate(shifted_pairs(n_words, n_put_in, places, 30, n_words)):
+        sets = [set(shingle_hashes(word_hashes(" ".join(x).encode())).tolist()) for x in (own, other)]
+        assert len(sets[0] & sets[1]) >= 0.8 * len(sets[0] | sets[1])
+        for k, passage in ((0, own), (1, other)):
+            rows.append((2 * i + k, " ".join(before[k * 7 :] + passage + after[: len(after) - k * 9])))
+            want[2 * i + k] = len(before[k * 7 :]), len(passage)
+            before, after = [x + "z" for x in before], [x + "z" for x in after]
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = 0
+    for r in got:
+        first, n = want[r.doc_id]
+        words_in = {w for s in r.spans.split(",") if s for w in range(*map(int, s.split(":")))}
+        assert len(words_in - set(range(first, first + n))) <= 10  # little beyond the passage
+        found += len(words_in) >= 0.8 * n
+    assert found >= 0.9 * len(rows)
