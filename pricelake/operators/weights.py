@@ -88,6 +88,7 @@ def weight_fact(
     regions: DataFrame,
     target: DataFrame | None = None,
     fold: bool = False,
+    communes: DataFrame | None = None,
 ) -> DataFrame:
     """The weight fact (annee, poids, niveau, id_reference, id_province_prefecture, id_commune, id_region).
 
@@ -95,7 +96,8 @@ def weight_fact(
     city is matched to provinces by substring (J4, or J5 with ``fold``) and takes the province's region; a region
     row is looked up by region name. One row per natural key (W1: greatest weight, then place name), upserted
     null-safely into ``target`` (U1). ``provinces``: nom, id, id_parent; ``regions``: nom, id; ``varieties``:
-    name, id."""
+    name, id. With ``communes`` (nom, id, id_parent), a city that is in no province's name is looked up among their names
+    and takes the commune (of several of one name the smallest id), its province and that province's region."""
     from pricelake.operators.dims import lookup
     from pricelake.operators.facts import desc_nulls_as, top1, upsert
     from pricelake.operators.match import contains_join
@@ -109,11 +111,19 @@ def weight_fact(
         "nom",
         ["id_province_prefecture", "id_region"],
         fold=fold,
-    ).drop("n_candidates")
+    ).drop("n_candidates").withColumn("id_commune", F.lit(None).cast("long"))
+    if communes is not None:
+        own = communes.select(upper_trim("nom").alias("k"), F.struct(F.col("id").cast("long").alias("id"), F.col("id_parent").cast("long").alias("id_parent")).alias("c"))
+        own = own.groupBy("k").agg(F.min("c").alias("c")).select("k", F.col("c.id").alias("__c"), F.col("c.id_parent").alias("__p"))
+        above = provinces.select(F.col("id").alias("__p"), F.col("id_parent").alias("__r"))
+        city = city.join(own.join(above, "__p", "left"), F.col("lieu_key") == F.col("k"), "left")
+        found = F.col("id_province_prefecture").isNull() & F.col("__c").isNotNull()
+        new = {"id_commune": "__c", "id_province_prefecture": "__p", "id_region": "__r"}
+        city = city.withColumns({k: F.when(found, F.col(c)).otherwise(F.col(k)) for k, c in new.items()}).drop("k", "__c", "__p", "__r")
     reg = lookup(
         f.where(F.col("niveau") != K.LEVEL_CITY), "lieu_key", regions.select(upper_trim("nom").alias("k"), F.col("id").alias("id_region")), "k", ["id_region"], normalise=False
-    ).withColumn("id_province_prefecture", F.lit(None).cast("long"))
-    both = city.unionByName(reg).withColumn("id_commune", F.lit(None).cast("long"))
+    ).withColumns({k: F.lit(None).cast("long") for k in ("id_province_prefecture", "id_commune")})
+    both = city.unionByName(reg)
     cols = ["annee", "poids", "niveau", "id_reference", "id_province_prefecture", "id_commune", "id_region"]
     typed = both.select(
         F.col("annee").cast("int"), F.col("poids").cast("decimal(18,6)"), F.col("niveau").cast("string"),

@@ -259,7 +259,7 @@ def gold_weights(verbatim: dict[str, DataFrame | None], geo: dict[str, DataFrame
         return None
     staged = W.stage_weight_table(src)
     # no loader exists in the source system for this fact; places are matched accent-folded (J5), as its notes ask
-    return W.weight_fact(staged, trade["variete"], geo["province"], geo["region"], target=target, fold=True)
+    return W.weight_fact(staged, trade["variete"], geo["province"], geo["region"], target=target, fold=True, communes=geo.get("commune"))
 
 
 def dropped_by_level(staging: DataFrame) -> DataFrame:

@@ -21,6 +21,7 @@ from pricelake import constants as K
 from pricelake.functions import text as X
 from pricelake.operators import dims as D
 from pricelake.operators import facts as FA
+from pricelake.operators import hierarchies as HI
 from pricelake.operators import likes as LK
 from pricelake.operators import match as M
 from pricelake.operators import paths as P
@@ -1000,6 +1001,23 @@ def hierarchy_counts(spark, sf):
     return Q.ordered_sample(counts, [F.col("r_name").desc()], 10)
 
 
+@probe("hierarchy_counts_bitmap", ORACLE["hierarchy_counts"])
+def hierarchy_counts_bitmap(spark, sf):
+    """A8 by bitmaps that add up over runs: the customers in debt are one run, the others the next; the second run's bitmaps
+    are merged with the first's."""
+    t = Tables(spark, sf)
+    geo = t.region.select("r_regionkey", "r_name").join(t.nation.select(F.col("n_regionkey").alias("r_regionkey"), "n_nationkey"), "r_regionkey", "left")
+    state = None
+    in_debt = F.coalesce(F.col("c_acctbal") < 0, F.lit(False))
+    for run in (in_debt, ~in_debt):
+        chains = geo.join(t.customer.where(run).select(F.col("c_nationkey").alias("n_nationkey"), "c_custkey"), "n_nationkey", "left")
+        fresh = HI.distinct_bitmaps(chains, ["r_name"], {"nation": "n_nationkey", "customer": "c_custkey"})
+        state = HI.merge_bitmaps(state, fresh, ["r_name"])
+    counts = t.region.select("r_name").distinct().join(HI.bitmap_counts(state, ["r_name"], ["nation", "customer"]), "r_name", "left")
+    counts = counts.select("r_name", *[F.coalesce(f"n_{k}", F.lit(0)).cast("long").alias(f"n_{k}") for k in ("nation", "customer")])
+    return Q.ordered_sample(counts, [F.col("r_name").desc()], 10)
+
+
 @probe(
     "fk_orphans",
     """
@@ -1429,6 +1447,82 @@ _register_flagship()
 
 
 # =============================================================================================== weight fact
+@probe(
+    "weight_rollup",
+    """
+WITH RECURSIVE e AS (
+  SELECT 'S' || s_suppkey AS child, 'N' || s_nationkey AS parent FROM supplier
+  UNION SELECT 'N' || n_nationkey, 'R' || n_regionkey FROM nation
+  UNION SELECT 'R' || r_regionkey, 'WORLD' FROM region
+), up AS (
+  SELECT child AS node, child AS ancestor FROM e UNION SELECT parent, parent FROM e
+  UNION SELECT up.node, e.parent FROM up JOIN e ON up.ancestor = e.child
+), v AS (
+  SELECT CAST(year(l_shipdate) AS INTEGER) AS annee, 'S' || l_suppkey AS node, sum(l_quantity) AS q FROM lineitem GROUP BY 1, 2
+)
+SELECT v.annee, coalesce(up.ancestor, v.node) AS node, round(sum(v.q), 2) AS value, count(*) AS n_nodes
+FROM v LEFT JOIN up ON v.node = up.node GROUP BY 1, 2
+""",
+)
+def weight_rollup(spark, sf):
+    """Yearly quantities of suppliers summed to nation, region and the whole, by a recursive closure."""
+    t = Tables(spark, sf)
+
+    def node(letter: str, key: str) -> Column:
+        return F.concat(F.lit(letter), F.col(key).cast("string"))
+
+    edges = t.supplier.select(node("S", "s_suppkey").alias("child"), node("N", "s_nationkey").alias("parent"))
+    edges = edges.unionByName(t.nation.select(node("N", "n_nationkey").alias("child"), node("R", "n_regionkey").alias("parent")))
+    edges = edges.unionByName(t.region.select(node("R", "r_regionkey").alias("child"), F.lit("WORLD").alias("parent")))
+    values = t.lineitem.select(F.year("l_shipdate").alias("annee"), node("S", "l_suppkey").alias("place"), "l_quantity")
+    out = HI.rollup(values, "place", "l_quantity", edges, ["annee"])
+    return out.select("annee", "node", F.round("value", 2).alias("value"), "n_nodes")
+
+
+@probe(
+    "names_per_region",
+    """
+SELECT 'region' AS level, r.r_name AS name, string_agg(n.n_name, ', ' ORDER BY n.n_name) AS names, count(*) AS n
+FROM region r JOIN nation n ON n.n_regionkey = r.r_regionkey GROUP BY r.r_name
+UNION ALL
+SELECT 'nation', n.n_name, string_agg(s.s_name, ', ' ORDER BY s.s_name), count(*)
+FROM nation n JOIN supplier s ON s.s_nationkey = n.n_nationkey GROUP BY n.n_name
+UNION ALL
+SELECT 'brand', p_brand, string_agg(DISTINCT p_name, ', ' ORDER BY p_name), count(DISTINCT p_name) FROM part GROUP BY p_brand
+UNION ALL
+SELECT 'type', p_type, string_agg(p_brand, ', ' ORDER BY p_brand), count(p_brand) FROM part GROUP BY p_type
+""",
+)
+def names_per_region(spark, sf):
+    """The names below each region, nation, brand (each once) and type (each as often as it comes), in order."""
+    t = Tables(spark, sf)
+    nations = t.nation.join(t.region.select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("name")), "n_regionkey")
+    suppliers = t.supplier.join(t.nation.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("name")), "s_nationkey")
+    parts = {
+        "region": HI.ordered_list(nations, ["name"], "n_name"),
+        "nation": HI.ordered_list(suppliers, ["name"], "s_name"),
+        "brand": HI.ordered_list(t.part.select(F.col("p_brand").alias("name"), "p_name"), ["name"], "p_name", distinct=True),
+        "type": HI.ordered_list(t.part.select(F.col("p_type").alias("name"), "p_brand"), ["name"], "p_brand"),
+    }
+    return functools.reduce(DataFrame.unionByName, [df.select(F.lit(k).alias("level"), "name", "names", "n") for k, df in parts.items()])
+
+
+@probe(
+    "variant_fields",
+    """
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, json_extract_string(props, '$.k') AS k_text,
+       json_extract_string(props, '$.absent') AS absent
+FROM events
+""",
+)
+def variant_fields(spark, sf):
+    """The row objects of all events as VARIANT, their fields by type."""
+    e = Tables(spark, sf).events.select("event_id", FS.row_variant("props").alias("v"))
+    number, = FS.variant_fields("v", {"k": "bigint"})
+    text, absent = FS.variant_fields("v", {"k": "string", "absent": "string"})
+    return e.select("event_id", number, text.alias("k_text"), absent)
+
+
 @probe(
     "weight_fact",
     """

@@ -16,7 +16,7 @@ import json
 import re
 import sys
 import zipfile
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -218,6 +218,29 @@ def row_map(c: Column | str = "row_json") -> Column:
     return F.from_json(c if isinstance(c, Column) else F.col(c), "map<string,string>")
 
 
+def row_variant(c: Column | str = "row_json") -> Column:
+    """row object text -> VARIANT, parsed once for all readers; null where it isn't valid JSON."""
+    return F.try_parse_json(c if isinstance(c, Column) else F.col(c))
+
+
+def variant_fields(v: Column | str, fields: Mapping[str, str]) -> list[Column]:
+    """Typed fields of a VARIANT row object: one column per ``{header: type}``, null where the header is missing or its
+    value isn't of the type. A header is taken as it is, whatever characters it has."""
+    v = v if isinstance(v, Column) else F.col(v)
+
+    def field(header: str, kind: str) -> Column:
+        if "'" in header and '"' in header:  # a path can't name it
+            return F.try_variant_get(F.try_variant_get(v, "$", "map<string,variant>")[header], "$", kind)
+        return F.try_variant_get(v, f'$["{header}"]' if "'" in header else f"$['{header}']", kind)
+
+    return [field(h, t).alias(h) for h, t in fields.items()]
+
+
+def variant_schema(rows: DataFrame, v: str) -> Column:
+    """The schema of all row objects together, as a scalar: the headers with the types that hold their values."""
+    return rows.select(F.schema_of_variant_agg(v)).scalar()
+
+
 # ---------------------------------------------------------------------------------------------------------- S6, S8
 def manifest(rows: DataFrame, run_id: str) -> DataFrame:
     """One row per file with data rows, from the rows of :func:`to_rows`: run, archive, path, dataset class, data
