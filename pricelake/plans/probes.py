@@ -517,7 +517,7 @@ def _customer_files(spark, sf) -> DataFrame:
         .otherwise(F.concat(F.lit("Nom ;Nation;Clé\n"), F.concat_ws(";", name, nation, key), F.lit("\n\n")))
     )
     rel = F.concat(F.lit("x/"), F.col("c_custkey").cast("string"), F.lit("_T1.csv"))
-    return Tables(spark, sf).customer.select(seg.alias("archive"), rel.alias("rel_path"), F.encode(text, "UTF-8").alias("content"))
+    return Tables(spark, sf, spread=True).customer.select(seg.alias("archive"), rel.alias("rel_path"), F.encode(text, "UTF-8").alias("content"))
 
 
 @probe(

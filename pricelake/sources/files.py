@@ -19,6 +19,7 @@ import zipfile
 from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -104,7 +105,9 @@ def sniff(files: DataFrame, separators: Sequence[str] = K.CSV_SEPARATORS) -> Dat
     # the first two lines that aren't blank
     two = r"\A(?:[ \t]*(?:\r?\n|\r))*([^\r\n]+)(?:(?:\r?\n|\r)[ \t]*)*([^\r\n]*)"
     bare = F.regexp_replace(text, r'"(?:[^"]|"")*+"', '""')
-    header, first = F.regexp_extract(bare, two, 1), F.regexp_extract(bare, two, 2)
+    # in a projection of their own: each is used many times below
+    files = files.withColumns({"__header": F.regexp_extract(bare, two, 1), "__first": F.regexp_extract(bare, two, 2)})
+    header, first = F.col("__header"), F.col("__first")
 
     def n_fields(line: Column, sep: str) -> Column:
         return F.size(F.split(line, re.escape(sep), -1))
@@ -115,7 +118,7 @@ def sniff(files: DataFrame, separators: Sequence[str] = K.CSV_SEPARATORS) -> Dat
         any_sep = F.when(found, F.lit(s)).otherwise(any_sep)
         consistent = F.when(found & ((first == "") | (n_fields(first, s) == n_fields(header, s))), F.lit(s)).otherwise(consistent)
     sep = F.coalesce(consistent, any_sep, F.lit(separators[0]))
-    return files.withColumn("charset", charset).withColumn("has_bom", F.coalesce(bom, F.lit(False))).withColumn("sep", sep)
+    return files.withColumn("charset", charset).withColumn("has_bom", F.coalesce(bom, F.lit(False))).withColumn("sep", sep).drop("__header", "__first")
 
 
 # ---------------------------------------------------------------------------------------------------------------- S5
@@ -185,11 +188,18 @@ def to_rows(files: DataFrame, compat: bool = False) -> DataFrame:
 
     ``compat=True`` ignores the sniffed dialect and takes the first separator x encoding that parses."""
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cols = ["archive", "rel_path", "row_index", "row_json", "status"]
-        for pdf in batches:
-            for archive, rel, blob, sep, charset in zip(*(pdf[c] for c in ("archive", "rel_path", "content", "sep", "charset"))):
-                out, n, ended = [], 0, "file"
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["archive", "rel_path", "row_index", "row_json", "status"]
+        kinds = pa.string(), pa.string(), pa.int32(), pa.string(), pa.string()
+        out: list[tuple] = []  # rows of as many files as fill a batch
+
+        def batch() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
+
+        for b in batches:
+            archives, paths, seps, charsets = (b.column(i).to_pylist() for i in (0, 1, 3, 4))
+            for archive, rel, blob, sep, charset in zip(archives, paths, b.column(2), seps, charsets, strict=True):
+                blob, n, ended = blob.as_py(), 0, "file"
                 dialect = _compat_parse(blob) if compat else (sep, charset)
                 try:
                     records = parse_csv(blob, *dialect) if dialect else iter(())
@@ -200,17 +210,18 @@ def to_rows(files: DataFrame, compat: bool = False) -> DataFrame:
                             out.append((archive, rel, 0, None, "rejected"))
                         else:
                             n += 1
-                            cells = json.dumps(dict(zip(header, rec)), ensure_ascii=False, separators=(",", ":"))
-                            out.append((archive, rel, n, cells, "ok"))
+                            out.append((archive, rel, n, encode(dict(zip(header, rec))), "ok"))
                         if len(out) >= BATCH_ROWS:
-                            yield pd.DataFrame(out, columns=cols)
-                            out = []
+                            yield batch()
+                            out.clear()
                 except (UnicodeDecodeError, csv.Error):
                     ended = "unreadable"
                 out.append((archive, rel, n, hashlib.md5(blob).hexdigest(), ended))
-                yield pd.DataFrame(out, columns=cols)
+        if out:
+            yield batch()
 
-    return files.select("archive", "rel_path", "content", "sep", "charset").mapInPandas(parse, PARSE_SCHEMA)
+    encode = json.JSONEncoder(ensure_ascii=False, separators=(",", ":")).encode
+    return files.select("archive", "rel_path", "content", "sep", "charset").mapInArrow(parse, PARSE_SCHEMA)
 
 
 def row_map(c: Column | str = "row_json") -> Column:
