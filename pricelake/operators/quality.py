@@ -258,6 +258,3 @@ def sample_with(
         wanted = F.broadcast(top.select(F.col(fk).alias(key)).distinct())
         out = out.join(dim.select(key, *take).join(wanted, key, "left_semi").withColumnRenamed(key, fk), fk, "left")
     return out.orderBy(*order)
-
-
-__all__ = [n for n in dir() if not n.startswith("_") and n not in {"Column", "DataFrame", "SparkSession", "F"}]

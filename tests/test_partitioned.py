@@ -133,14 +133,12 @@ def test_stream_reaches_the_fact(spark, tmpdir_path):
 
 def test_better_rows_win_whenever_they_come(spark, tmpdir_path):
     p = build_landing(tmpdir_path)
-    results = []
-    for k, order in enumerate((["low", "high"], ["high", "low"])):
-        inbox, out = f"{tmpdir_path}/in{k}", f"{tmpdir_path}/out{k}"
-        SF.load_geography(spark, p["refs"], out)
-        for name in order:
-            os.makedirs(f"{inbox}/FES", exist_ok=True)
-            with open(f"{inbox}/FES/{name}_T1.csv", "w", encoding="utf-8") as f:
-                f.write("\n".join([HEADER_T1, *price_rows(base=100.0 if name == "low" else 300.0)]) + "\n")
-            SF.start_facts(spark, inbox, out, f"{tmpdir_path}/ck{k}").awaitTermination(300)
-        results.append(named(SF.read_fact(spark, out), SF._dims(spark, out, SF.TRADE)))
-    assert results[0] == results[1] and all(float(r[7]) >= 300 for r in results[0])
+    out = f"{tmpdir_path}/out"
+    SF.load_geography(spark, p["refs"], out)
+    handle = SF.facts_sink(out)
+    for i, base in enumerate((300.0, 100.0)):  # the better prices come first
+        text = "\n".join([HEADER_T1, *price_rows(base=base)]) + "\n"
+        handle(spark.createDataFrame([("", f"FES/{i}_T1.csv", text.encode())], "archive string, rel_path string, content binary"), i)
+    fact = SF.read_fact(spark, out)
+    assert fact.count() == 4 and fact.where("prix_moyen < 300").isEmpty()
+    assert {r["id_indice"] for r in fact.collect()} == {1, 2, 3, 4}
