@@ -173,17 +173,18 @@ def scan_licenses(docs: DataFrame, known: DataFrame | None = None, id_col: str =
     wanted = registry(known)
     if (known.agg(F.sum(F.length("text"))).first()[0] or 0) <= BROADCAST_CHARS:
         wanted = F.broadcast(wanted)
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    base = base.withColumn("key", F.xxhash64("doc_id", "text")).withColumn("blocks", blocks_of(F.col("text")))
-    whole = base.select("doc_id", "key", digest(F.flatten("blocks")).alias("digest"))
-    whole = whole.join(wanted, "digest", "left").select("doc_id", "key", F.col("digest").alias("canonical_sha256"), "license_id")
-    parts = base.select("doc_id", "key", F.explode(parts_of(F.col("blocks"))).alias("part"))
-    hits = (
-        parts.select("doc_id", "key", F.sha2("part", 256).alias("digest")).join(wanted, "digest")
-        .groupBy("doc_id", "key").agg(F.array_sort(F.collect_set("license_id")).alias("found"), F.count(F.lit(1)).alias("n"))
-        .select(F.col("doc_id").alias("id2"), F.col("key").alias("key2"), "found", "n")
+    base = docs.select(F.col(id_col).alias("doc_id"), blocks_of(F.col(text_col)).alias("blocks"), F.monotonically_increasing_id().alias("row"))
+    # one canonical pass: the whole text's digest (part is false) and those of its parts, which mostly end at the join
+    parts = F.transform(parts_of(F.col("blocks")), lambda p: F.struct(F.lit(True).alias("part"), F.sha2(p, 256).alias("digest")))
+    whole = F.array(F.struct(F.lit(False).alias("part"), digest(F.flatten("blocks")).alias("digest")))
+    each = base.select("doc_id", "row", F.explode(F.concat(whole, parts)).alias("d")).select("doc_id", "row", "d.part", "d.digest")
+    each = each.join(wanted, "digest", "left").where(~F.col("part") | F.col("license_id").isNotNull())
+    own = F.struct("doc_id", F.col("digest").alias("canonical_sha256"), "license_id")
+    out = (
+        each.groupBy("row")
+        .agg(F.max(F.when(~F.col("part"), own)).alias("own"), F.array_sort(F.collect_set(F.when(F.col("part"), F.col("license_id")))).alias("found"), F.count_if("part").alias("n"))
+        .select("own.*", "found", "n")
     )
-    out = whole.join(hits, whole["doc_id"].eqNullSafe(hits["id2"]) & (whole["key"] == hits["key2"]), "left")
     return out.select(
         "doc_id", "license_id",
         F.coalesce("found", F.array().cast("array<string>")).alias("part_licenses"),
