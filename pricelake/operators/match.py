@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from pricelake import constants as K
 from pricelake.functions.text import _col, fold_accents, upper_trim
+from pricelake.session import cut_lineage
 
 
 def exclude_values(
@@ -111,18 +112,28 @@ def contains_join(
     row per fact with its ``n_candidates`` only (no dimension columns).
 
     Plan: only the substrings of dimension names that occur among the distinct city values are made; the facts are
-    equi-joined to them on the normalised key. ``values`` (a column ``city_col`` holding at least the facts' values) stands
-    for the distinct values where it is cheaper to have than a second pass over ``facts``. No size guess is made here:
+    equi-joined to them on the normalised key (with ``fold`` on the text itself, whose key is made once per distinct text).
+    ``values`` (a column ``city_col`` holding at least the facts' values) stands for the distinct values where it is cheaper
+    to have than a second pass over ``facts``. No size guess is made here:
     adaptive execution measures the candidates and broadcasts them when small (then a city holding a third of all rows
     causes no skewed shuffle); otherwise it stays a shuffle join whose skewed partitions AQE splits.
     """
-    wanted = (facts if values is None else values).select(match_key(F.col(city_col), fold).alias("__v"))
-    wanted = wanted.where(F.length("__v") > 0).distinct()
+    if fold:
+        # the fold is dear: every distinct text is folded once, and the facts meet the texts as they are
+        texts = (facts if values is None else values).select(F.col(city_col).alias("__text")).where("__text IS NOT NULL").distinct()
+        keyed = cut_lineage(texts.select("__text", match_key(F.col("__text"), True).alias("__v")))
+        wanted = keyed.select("__v").where(F.length("__v") > 0).distinct()
+    else:
+        wanted = (facts if values is None else values).select(match_key(F.col(city_col), False).alias("__v"))
+        wanted = wanted.where(F.length("__v") > 0).distinct()
     if fan_out:
         cand = candidate_table(dim, name_col, take, fold, count_col, wanted)
     else:
         cand = _counts(substring_table(dim, name_col, fold, wanted), dim, name_col, fold, count_col)
-    out = facts.withColumn("__v", match_key(F.col(city_col), fold)).join(cand, "__v", "left").drop("__v")
+    if fold:
+        out = facts.withColumn("__text", F.col(city_col)).join(keyed.join(cand, "__v").drop("__v"), "__text", "left").drop("__text")
+    else:
+        out = facts.withColumn("__v", match_key(F.col(city_col), False)).join(cand, "__v", "left").drop("__v")
     return out.withColumn(count_col, F.coalesce(F.col(count_col), F.lit(0)))
 
 
