@@ -36,7 +36,9 @@ IDENTIFIER = re.compile(r"[A-Za-z_][\w.]*\Z")
 BARE = re.compile(r"""[^\s,;'"`()\[\]{}<>&|]+""")
 CONCAT = re.compile(r"[ \t]*(?:\+|\.\.?)[ \t]*(?=[\"'`$A-Za-z_])")
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
-NAME_LENGTH = 128
+NAME_CHARS = re.compile(r"[\w.$-]*\Z")
+NAME_REST = re.compile(r"""[\w.$-]*["'`]?\]?[ \t]*\Z""")
+ELEMENT = re.compile(r"<([A-Za-z_][\w.-]*)(?:\s[^<>]*)?>[ \t]*([^<>\s](?:[^<>]*[^<>\s])?)[ \t]*</\1>")
 
 # Weights of name parts, and values that stand for no secret.
 SENSITIVE = {
@@ -79,12 +81,25 @@ def _value(text: str, pos: int) -> tuple[str, str, int, int, int] | None:
     return None
 
 
+def _name(text: str, end: int) -> str | None:
+    """The target name that ends before ``end``, however long: the window is doubled while all of it, or all before the
+    name found, could belong to a name."""
+    size = 64
+    while True:
+        low = max(0, end - size)
+        found = NAME_BEFORE.search(text, low, end)
+        within = NAME_CHARS.match(text, low, found.start()) if found else NAME_REST.match(text, low, end)
+        if not low or not within:
+            return found[1] if found else None
+        size *= 2
+
+
 def assignments(text: str) -> Iterator[tuple[str, list[tuple[str, str, int, int]]]]:
     """(target name, parts of its value); a part is (kind, value, start, end)."""
     at = 0
     while op := OPERATOR.search(text, at):
         at = op.end()
-        name = NAME_BEFORE.search(text, max(0, op.start() - NAME_LENGTH), op.start())
+        name = _name(text, op.start())
         if not name:
             continue
         parts, pos = [], op.end()
@@ -95,33 +110,57 @@ def assignments(text: str) -> Iterator[tuple[str, list[tuple[str, str, int, int]
                 break
             pos = more.end()
         if parts:
-            yield name[1], parts
+            yield name, parts
             if parts[-1][0] == "literal":
                 at = max(at, parts[-1][3])
+    if "</" in text:
+        for m in ELEMENT.finditer(text):
+            yield m[1], [("literal", m[2], m.start(2), m.end(2))]
 
 
 def literal_spans(text: str, threshold: float = 0.5) -> list[tuple[int, int, float]]:
     """(start, end, score) of the literals that score at least ``threshold``."""
-    if "=" not in text and ":" not in text:
+    if "=" not in text and ":" not in text and "</" not in text:
         return []
-    constants: dict[str, list[tuple[str, int, int]]] = {}
-    best: dict[tuple[int, int], float] = {}
+    nodes: list[tuple[list[tuple[str, int, int]], list[int]]] = []  # of each assignment: its literals, the ones it names
+    constants: dict[str, int] = {}  # a name's last assignment so far
+    later: dict[str, list[int]] = {}  # assignments that name what isn't assigned yet
+    weights: list[tuple[float, int]] = []
     for name, parts in assignments(text):
-        weight, reached = name_score(name), []
+        weight, own, refs, open_refs = name_score(name), [], [], []
         for kind, value, start, end in parts:
             if kind == "literal":
-                reached.append((value, start, end))
+                own.append((value, start, end))
             elif value in constants:
-                reached.extend(constants[value])
+                refs.append(constants[value])
             elif kind == "bare" and weight >= 0.8 and literal_score(value) >= 0.6 and any(c.isdigit() for c in value):
-                reached.append((value, start, end))  # an unquoted value, as in configuration files
-        reached = list(dict.fromkeys(reached))
-        if reached:
-            constants[name] = reached
-        for value, start, end in reached if weight else ():
-            score = weight * literal_score(value)
-            if score >= threshold:
-                best[start, end] = max(score, best.get((start, end), 0.0))
+                own.append((value, start, end))  # an unquoted value, as in configuration files
+            else:
+                open_refs.append(value)
+        if own or refs or open_refs:
+            i = len(nodes)
+            nodes.append((own, refs))
+            for value in open_refs:
+                later.setdefault(value, []).append(i)
+            if own or refs:
+                constants[name] = i
+                for j in later.pop(name, ()):
+                    nodes[j][1].append(i)
+            if weight:
+                weights.append((weight, i))
+    # every assignment is visited once, from the heaviest name that reaches it: that name gives its literals' scores
+    best, seen = {}, set()
+    for weight, i in sorted(weights, key=lambda w: -w[0]):
+        stack = [i]
+        while stack:
+            if (j := stack.pop()) in seen:
+                continue
+            seen.add(j)
+            stack += nodes[j][1]
+            for value, start, end in nodes[j][0]:
+                score = weight * literal_score(value)
+                if score >= threshold:
+                    best[start, end] = max(score, best.get((start, end), 0.0))
     return sorted((s, e, v) for (s, e), v in best.items())
 
 
