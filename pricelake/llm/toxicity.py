@@ -10,6 +10,8 @@ The lexicon and the curve are learned from a bounded sample of labelled rows (``
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import re
 import unicodedata
 from collections import Counter, defaultdict
@@ -55,9 +57,8 @@ def terms(fold: str) -> set[str]:
     """The candidate entries of a folded text: " word " and " begin"."""
     found = set()
     for w in set(fold.split()):
-        if len(w) <= 40:
-            found.add(f" {w} ")
-            found.update(" " + w[:n] for n in PREFIXES if n <= len(w))
+        found.add(f" {w} ")
+        found.update(" " + w[:n] for n in PREFIXES if n <= len(w))
     return found
 
 
@@ -89,7 +90,15 @@ class Lexicon:
         for end, (entry, harmless) in self._automaton.iter(fold):
             (spared if harmless else hits).append((end + 1 - len(entry), end + 1, entry))
         if spared:
-            hits = [h for h in hits if not any(s <= h[0] and h[0] + len(h[2].rstrip()) <= e for s, e, _ in spared)]
+            spared.sort()
+            starts = [s for s, _, _ in spared]
+            furthest = [*itertools.accumulate((e for _, e, _ in spared), max)]  # of the phrases that begin up to there
+
+            def harmless(start: int, end: int) -> bool:
+                i = bisect.bisect_right(starts, start)
+                return i > 0 and end <= furthest[i - 1]
+
+            hits = [h for h in hits if not harmless(h[0], h[0] + len(h[2].rstrip()))]
         return hits
 
     def inputs(self, fold: str) -> tuple[float, float]:
@@ -185,18 +194,19 @@ def _counted(rows: DataFrame, wanted=None) -> DataFrame:
     return rows.select("text").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
-def fit(labelled: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS, candidates: int = 200_000, curve_rows: int = 20_000) -> Lexicon:
-    """labelled: text, toxic (0/1, no nulls), a bounded sample. ``candidates`` bounds the entries looked at, the most
-    frequent in toxic texts first; ``curve_rows`` the rows of the curve."""
+def fit(labelled: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS, curve_rows: int = 20_000) -> Lexicon:
+    """labelled: text, toxic (0/1, no nulls), a bounded sample, which bounds everything here: the entries looked at are in
+    ``LEAST_SUPPORT`` of its toxic texts at least, the phrases learned in five of its clean ones; ``curve_rows`` bounds the
+    rows of the curve."""
     spark = labelled.sparkSession
     n = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_pos, n_neg = n.get(1, 0), n.get(0, 0)
-    rows = _counted(labelled.where("toxic = 1")).where(F.col("n") >= LEAST_SUPPORT).orderBy(F.desc("n"), "term").limit(candidates).collect()
+    rows = _counted(labelled.where("toxic = 1")).where(F.col("n") >= LEAST_SUPPORT).orderBy(F.desc("n"), "term").collect()
     pos = {r["term"]: r["n"] for r in rows}
     neg: dict[str, int] = {}
     if pos and n_neg:
         wanted = spark.sparkContext.broadcast(frozenset(pos))
-        neg = {r["term"]: r["n"] for r in _counted(labelled.where("toxic = 0"), wanted).collect()}  # candidates at most
+        neg = {r["term"]: r["n"] for r in _counted(labelled.where("toxic = 0"), wanted).collect()}  # no more than in pos
     good = significant([(t, p, neg.get(t, 0)) for t, p in pos.items()], n_pos, n_neg)
     shared_good = spark.sparkContext.broadcast(frozenset(good))
 
@@ -217,7 +227,7 @@ def fit(labelled: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS, candidate
     contexts: dict[str, set[int]] = defaultdict(set)
     if good:
         pairs = labelled.where("toxic = 1").select("text").mapInArrow(beside, "term string, context long")
-        for r in pairs.distinct().toLocalIterator():  # bounded by the sample and the candidates
+        for r in pairs.distinct().toLocalIterator():  # bounded by the sample
             contexts[r["term"]].add(r["context"])
     weights = choose(good, contexts, n_pos, n_neg)
     lexicon = spark.sparkContext.broadcast(Lexicon(weights, exceptions))
@@ -241,7 +251,7 @@ def fit(labelled: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS, candidate
     learned = (
         labelled.select("text", F.col("toxic").cast("int")).mapInArrow(phrases, "phrase string, clean long, toxic long")
         .groupBy("phrase").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-        .where("clean >= 5 AND clean > 2 * toxic").orderBy(F.desc("clean"), "phrase").limit(10_000).collect()
+        .where("clean >= 5 AND clean > 2 * toxic").orderBy(F.desc("clean"), "phrase").collect()
     )
     best = Lexicon(weights, exceptions + tuple(r["phrase"] for r in learned))
     shared = spark.sparkContext.broadcast(best)
@@ -261,7 +271,7 @@ def fit(labelled: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS, candidate
 def score(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3, extra: tuple[Column, ...] = ()) -> DataFrame:
     """One row per row of ``docs``: doc_id, score (0 to 1), predicted (1 from ``threshold`` on), then ``extra``.
     Null text is empty; an empty text has the score of a text without matches."""
-    shared = docs.sparkSession.sparkContext.broadcast(lexicon)  # bounded by its candidates
+    shared = docs.sparkSession.sparkContext.broadcast(lexicon)  # bounded by the sample it was learned from
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("__text"), *extra)
     rest = [f for f in picked.schema.fields if f.name not in ("doc_id", "__text")]
     schema = f"doc_id {picked.schema['doc_id'].dataType.simpleString()}, score double, predicted int" + "".join(
