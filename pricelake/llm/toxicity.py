@@ -194,14 +194,14 @@ def _counted(rows: DataFrame, wanted=None) -> DataFrame:
     return rows.select("text").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
-def fit(labelled: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS, curve_rows: int = 20_000) -> Lexicon:
-    """labelled: text, toxic (0/1, no nulls), a bounded sample, which bounds everything here: the entries looked at are in
-    ``LEAST_SUPPORT`` of its toxic texts at least, the phrases learned in five of its clean ones; ``curve_rows`` bounds the
-    rows of the curve."""
+def fit(labelled: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS, candidates: int = 200_000, learned_phrases: int = 10_000, curve_rows: int = 20_000) -> Lexicon:
+    """labelled: text, toxic (0/1, no nulls), a bounded sample. ``candidates`` bounds the entries looked at, the most
+    frequent in toxic texts first; ``learned_phrases`` the exception phrases learned beside the given ones, the most frequent
+    in clean texts first; ``curve_rows`` the rows of the curve. They bound the lexicon, not the texts it is matched with."""
     spark = labelled.sparkSession
     n = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_pos, n_neg = n.get(1, 0), n.get(0, 0)
-    rows = _counted(labelled.where("toxic = 1")).where(F.col("n") >= LEAST_SUPPORT).orderBy(F.desc("n"), "term").collect()
+    rows = _counted(labelled.where("toxic = 1")).where(F.col("n") >= LEAST_SUPPORT).orderBy(F.desc("n"), "term").limit(candidates).collect()
     pos = {r["term"]: r["n"] for r in rows}
     neg: dict[str, int] = {}
     if pos and n_neg:
@@ -251,7 +251,7 @@ def fit(labelled: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS, curve_row
     learned = (
         labelled.select("text", F.col("toxic").cast("int")).mapInArrow(phrases, "phrase string, clean long, toxic long")
         .groupBy("phrase").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-        .where("clean >= 5 AND clean > 2 * toxic").orderBy(F.desc("clean"), "phrase").collect()
+        .where("clean >= 5 AND clean > 2 * toxic").orderBy(F.desc("clean"), "phrase").limit(learned_phrases).collect()
     )
     best = Lexicon(weights, exceptions + tuple(r["phrase"] for r in learned))
     shared = spark.sparkContext.broadcast(best)
