@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from pricelake import constants as K
 from pricelake.functions.text import _col, fold_accents, upper_trim
-from pricelake.session import cut_lineage
+from pricelake.session import cut_lineage, stored
 
 
 def exclude_values(
@@ -131,7 +131,10 @@ def contains_join(
     else:
         cand = _counts(substring_table(dim, name_col, fold, wanted), dim, name_col, fold, count_col)
     if fold:
-        out = facts.withColumn("__text", F.col(city_col)).join(keyed.join(cand, "__v").drop("__v"), "__text", "left").drop("__text")
+        hits = keyed.join(cand, "__v").drop("__v")
+        if not fan_out:
+            hits = stored(hits, "hits")  # at most a row per distinct text, so that no fact is shuffled where they are few
+        out = facts.withColumn("__text", F.col(city_col)).join(hits, "__text", "left").drop("__text")
     else:
         out = facts.withColumn("__v", match_key(F.col(city_col), False)).join(cand, "__v", "left").drop("__v")
     return out.withColumn(count_col, F.coalesce(F.col(count_col), F.lit(0)))

@@ -31,6 +31,7 @@ from pricelake.operators import resolve as RS
 from pricelake.operators import suffixes as SX
 from pricelake.operators import weights as W
 from pricelake.plans.tables import TABLES, Tables
+from pricelake.session import stored
 from pricelake.sources import files as FS
 from pricelake.sources import ranges as RG
 
@@ -58,6 +59,17 @@ def _tok_split(c: Column) -> Column:
     return F.filter(F.split(c, r"[^\p{L}]+"), lambda t: t != "")
 
 
+def _distinct_words(docs: DataFrame) -> DataFrame:
+    """(doc_id, tok): the distinct words of each doc_id. The words of a row are made distinct in place; only those of a
+    doc_id that several rows have meet in a shuffle."""
+    repeated = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("__id"))
+    repeated = stored(repeated, "repeated")
+    words = F.explode(F.array_distinct(_tok_split(F.col("text")))).alias("tok")
+    same = F.col("doc_id").eqNullSafe(F.col("__id"))
+    once, often = (docs.join(repeated, same, how).select("doc_id", words) for how in ("left_anti", "left_semi"))
+    return once.unionByName(often.distinct())
+
+
 # =============================================================================================== dimensions (J1-J3, ...)
 @probe(
     "dim_lookup",
@@ -287,9 +299,9 @@ def folded_contains_join(spark, sf):
     """Accent- and punctuation-folded substring match of every distinct word of every document (whole texts)
     against part names; per document: distinct words, words with a hit, and candidates (fan-out)."""
     t = Tables(spark, sf, spread=True)
-    toks = t.documents.select("doc_id", F.explode(_tok_split(F.col("text"))).alias("tok")).distinct()
-    dim = t.part.select("p_name", "p_partkey")
-    per_tok = M.contains_join(toks, "tok", dim, "p_name", [], fold=True, count_col="n_parts", fan_out=False)
+    docs, dim = t.documents, t.part.select("p_name", "p_partkey")
+    values = docs.select(F.explode(_tok_split(F.col("text"))).alias("tok"))
+    per_tok = M.contains_join(_distinct_words(docs), "tok", dim, "p_name", [], fold=True, count_col="n_parts", fan_out=False, values=values)
     return per_tok.groupBy("doc_id").agg(
         F.count(F.lit(1)).cast("long").alias("n_tokens"),
         F.count_if(F.col("n_parts") > 0).cast("long").alias("n_matched_tokens"),

@@ -165,3 +165,25 @@ def test_known_fact_keys_keep_their_ids(spark):
     rows = [(2019, "T1", 5, None, None), (2020, "T1", 5, None, None), (2021, "T1", 5, 1, 1), (2022, "T3", None, 1, 1)]
     again = {r["annee"]: r["id_indice"] for r in with_fact_ids(spark.createDataFrame(rows, schema), known=first).collect()}
     assert again == {2020: 1, 2021: 2, 2019: 3, 2022: 4} and len(NATURAL_KEY) == 5
+
+
+def test_folded_words_meet_their_hits_without_a_shuffle(spark, tmpdir_path):
+    from pricelake.plans import probes
+
+    texts = [(1, "Été sur la Mer"), (1, "mer MER ete"), (2, None), (2, ""), (None, "la mer"), (None, "la fin"), (3, "ÿ ß la la"), (4, "!?")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    spark.createDataFrame([(1, "Le l'Été"), (2, "la mér"), (3, "La Mer"), (4, None), (5, "ss")], "p_partkey long, p_name string").write.parquet(f"{tmpdir_path}/part.parquet")
+    docs.write.parquet(f"{tmpdir_path}/documents.parquet")
+    out = probes.folded_contains_join(spark, tmpdir_path)
+    assert sorted(map(tuple, out.collect()), key=str) == [(1, 7, 6, 10), (3, 3, 2, 3), (None, 3, 2, 4)]
+    words = probes._distinct_words(docs)
+    assert sorted(map(tuple, words.collect()), key=str) == sorted({(i, w) for i, t in texts for w in probes_words(t)}, key=str)
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" not in plan
+    assert plan.count("BroadcastHashJoin") == 3  # rows of ids that come once, of others, and the words' hits
+
+
+def probes_words(text):
+    import re
+
+    return re.findall(r"[^\W\d_]+", text or "")
