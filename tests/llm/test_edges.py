@@ -3,10 +3,11 @@
 import hashlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pricelake.llm import decontaminate, exact_dedup, langid, licenses, ngram_join, passages, secrets, toxicity, warc
+from pricelake.llm import common, decontaminate, exact_dedup, langid, licenses, ngram_join, passages, secrets, toxicity, warc
 
 # columns that clash with names that the operators use or return
 CLASH = ("score", "key", "id", "content", "n", "text_sha256", "spans", "keep_id", "row", "sha", "tid", "segment", "toxic", "__text")
@@ -166,3 +167,15 @@ def test_bpe(docs, none):
     texts = Counter(hashlib.sha256((t or "").encode()).hexdigest() for _, t in ROWS)
     assert Counter(r.decoded_sha256 for r in got) == texts and all(r.n_tokens == len(r.ids) for r in got)
     assert encode_documents(none, path, public_tokenizers.PATTERN).count() == 0
+
+
+def test_texts_hashed_together_are_hashed_alike():
+    rng = np.random.default_rng(3)
+    parts = [b"ab", b"C", b"9", b" ", b"\xc3\xa9", b"-", b"\n", b"\x85"]
+    texts = [b"".join(parts[i] for i in rng.integers(0, 8, n)) for n in [0, 1, 3, 70, 900] * 40] + [b"", b"x" * 100_000, b"ab " * 50_000, b""]
+    alone, together = [common.word_hashes(t) for t in texts], list(common.all_word_hashes(iter(texts)))
+    assert len(alone) == len(together) and all(np.array_equal(a, b) for a, b in zip(alone, together, strict=True))
+    assert [common.count_words(t) for t in texts] == [len(common.words(t)) for t in texts] == list(map(len, alone))
+    for size in (1, 2, 5, 20, 46):
+        plain = [sum(int(x) * common._STEP ** (size - 1 - j) for j, x in enumerate(alone[4][i : i + size])) % 2**64 for i in range(len(alone[4]) - size + 1)]
+        assert np.array_equal(common.shingle_hashes(alone[4], size), common.mix(np.array(plain, np.uint64)))
